@@ -29,8 +29,10 @@ from sitegauge.sources.schemas import QUESTIONS
 PREMIUM_PRIORITIES = ("1-URGENT", "2-HIGH")
 LOYALTY_SHARE = "0.15"
 ANSWER_CODES = ("Yes", "Caution", "No")      # code 3 -> missing answer
-HASH_MULTIPLIER = 2654435761
-HASH_MODULUS = 4294967296
+# Survey answers come from a Lehmer (MINSTD) step on a per-row seed: the
+# product stays below 2^47, so no 64-bit overflow at any key size.
+HASH_MULTIPLIER = 48271
+HASH_MODULUS = 2147483647
 SKIPPED_REGION_NAME = "ASIA"
 SKIP_MARK = "SKIP FOR NOW"
 UNASSIGNED_NATION_KEY = 0
@@ -60,7 +62,7 @@ def _money(c: str) -> Column:
 
 
 def _answer(h: Column, k: int) -> Column:
-    code = (h / (4 ** k)).cast("long") % 4
+    code = F.shiftright(h, 2 * k) % 4
     out = F.lit(None).cast("string")
     expr = F.when(code == 0, F.lit(ANSWER_CODES[0]))
     for i, a in enumerate(ANSWER_CODES[1:], start=1):
@@ -70,7 +72,7 @@ def _answer(h: Column, k: int) -> Column:
 
 def _survey_rows(seeds: DataFrame, managers: DataFrame) -> DataFrame:
     """seeds: (site_id, wave_id, seed) -> canonical survey rows."""
-    h = (F.col("seed") * F.lit(HASH_MULTIPLIER)) % F.lit(HASH_MODULUS)
+    h = ((F.col("seed") % F.lit(HASH_MODULUS)) * F.lit(HASH_MULTIPLIER)) % F.lit(HASH_MODULUS)
     return seeds.join(managers, "site_id", "left").select(
         "site_id", "wave_id", "territory_manager", "sales_manager",
         *[_answer(h, k).alias(q.lower()) for k, q in enumerate(QUESTIONS)],
