@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sitegauge.functions.calendar import ReportingCalendar, reporting_calendar
 from sitegauge.functions.columns import growth, ieee_ratio, normalise_label
@@ -61,10 +62,13 @@ class Scorecard:
 
 
 def prepare_roster(roster: DataFrame) -> DataFrame:
-    """Site key as text (through bigint, so ``101.0`` never appears, D18),
-    region title-cased and trimmed once, here (D10)."""
+    """Site key as text (a numeric key goes through bigint, so ``101.0``
+    never appears, D18), region title-cased and trimmed once, here (D10)."""
+    site = F.col("site_id")
+    if isinstance(roster.schema["site_id"].dataType, T.NumericType):
+        site = site.cast("bigint")
     return roster.select(
-        F.col("site_id").cast("bigint").cast("string").alias("site_id"),
+        site.cast("string").alias("site_id"),
         normalise_label("region").alias("region"), "district")
 
 
