@@ -23,3 +23,13 @@ def score_by_denominator(scored: DataFrame, den: str, num: str, values) -> DataF
 def wave_counts(survey: DataFrame, wave: str = "wave_id") -> DataFrame:
     """Non-NULL counts of every column per wave."""
     return non_null_counts(survey, wave)
+
+
+def observe_rows(df: DataFrame, name: str):
+    """Row count of ``df`` collected as a side metric of whatever action runs
+    it next (S13: the reference prints shapes before and after a step).
+    Returns ``(df_with_metric, observation)``; read ``observation.get``
+    after the action. No extra job is run."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -86,7 +86,20 @@ def write_reports(sc: Scorecard, assignment: DataFrame, root: str) -> dict[str,
     paths = {}
     for name, df in out.items():
         path = f"{root}/{name}"
-        (_partition_keys(df).repartition("region", "owner_name")
-         .write.mode("overwrite").partitionBy("region", "owner_name").parquet(path))
+        df = _partition_keys(df)
+        if "site_id" in df.columns:
+            # Range-partition with the site as tie-breaker: a (region, owner)
+            # pair that holds a large share of all sites is split over several
+            # tasks, and each task still writes few, contiguous partitions.
+            df = df.repartitionByRange("region", "owner_name", "site_id")
+        df.write.mode("overwrite").partitionBy("region", "owner_name").parquet(path)
         paths[name] = path
     return paths
+
+
+def report_for(df: DataFrame, region: str, owner: str) -> DataFrame:
+    """Ad hoc selection of one report's rows (F10): column expressions, so
+    quotes in names cannot break the predicate (D17)."""
+    from sitegauge.functions.columns import normalise_label
+    return df.where((normalise_label("region") == normalise_label(F.lit(region)))
+                    & (F.col("owner_name") == owner))

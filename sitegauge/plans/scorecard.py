@@ -33,6 +33,7 @@ from sitegauge.operators.joins import existence_flag, not_equal_keep_null, null_
 from sitegauge.operators.ranking import rank_within
 from sitegauge.plans.periods import Pair, PeriodPlan, period_facts, period_totals, plan_pairs
 from sitegauge.plans.survey_scores import survey_ratios
+from sitegauge.session import freeze
 from sitegauge.sources.survey import normalise_files
 
 # Fixed values of the scoring rule (points per KPI band).
@@ -160,7 +161,9 @@ def build_scorecard(world) -> Scorecard:
     calendar = reporting_calendar(world.run_date)
     roster = prepare_roster(world.roster)
     monthly, window = period_facts(world, calendar)
-    survey = survey_table(world)
+    # The survey feeds the wave list, the score join and both sides of the
+    # members-vs-others comparison: materialise it once.
+    survey = freeze(survey_table(world))
     totals = period_totals(monthly, window) if window is not None else None
     waves = {r[0] for r in survey.select("wave_id").distinct().collect()}
     plan = plan_pairs(totals, window, waves) if totals is not None else PeriodPlan(None)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,12 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder and cut its lineage.
+def freeze(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the checkpoint folder and read
+    it back, which cuts its lineage.
 
     Used where a result feeds both a small driver-side decision and the main
     plan, or where a non-deterministic step (range sampling) must be seen
-    identically by two consumers. A reliable checkpoint survives executor loss.
+    identically by every consumer. The table sits on the shared storage named
+    by ``spark.checkpoint.dir``, so it survives executor loss; unlike
+    ``Dataset.checkpoint`` on an unpersisted plan it is computed once, and
+    readers get column pruning and filter pushdown.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/sitegauge-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
