@@ -36,7 +36,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     # counts and the row numbers below see the same slices.
     sliced = freeze(df.where(has_group)
                     .repartitionByRange(n, *sort_keys)
-                    .withColumn("_slice", F.spark_partition_id()))
+                    .withColumn("_slice", F.spark_partition_id()), "rank")
     counts = sliced.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy(*group).orderBy("_slice")
               .rowsBetween(Window.unboundedPreceding, -1))

@@ -107,12 +107,20 @@ def monthly_facts(volume_records: DataFrame, loyalty_records: DataFrame,
     return flagged.where((F.col("source") == LOYALTY) | (F.col("_member") == 1)).drop("_member")
 
 
-def data_window(monthly: DataFrame) -> PeriodWindow | None:
-    """Latest month per fact (A5), then the earlier of the two.
-    Reads one row per source."""
-    rows = (monthly.groupBy("source")
-            .agg(F.max(F.struct("year", "month")).alias("last")).collect())
-    latest = {r["source"]: (r["last"]["year"], r["last"]["month"]) for r in rows}
+def present_months(monthly: DataFrame) -> set[tuple[str, int, int]]:
+    """The (source, year, month) triples that have at least one fact row.
+
+    One small read, bounded by the calendar (sources x months), that decides
+    both the data window and which period slots exist."""
+    rows = monthly.select("source", "year", "month").distinct().collect()
+    return {(r["source"], int(r["year"]), int(r["month"])) for r in rows}
+
+
+def data_window(months: set[tuple[str, int, int]]) -> PeriodWindow | None:
+    """Latest month per fact (A5), then the earlier of the two."""
+    latest: dict[str, tuple[int, int]] = {}
+    for src, y, m in months:
+        latest[src] = max(latest.get(src, (y, m)), (y, m))
     return earliest_window(latest.get(VOLUME), latest.get(LOYALTY))
 
 
@@ -212,29 +220,31 @@ class PeriodPlan:
         return None
 
 
-def plan_pairs(totals: DataFrame, window: PeriodWindow | None, survey_waves: set[str]) -> PeriodPlan:
+def plan_pairs(months: set[tuple[str, int, int]], window: PeriodWindow | None,
+               survey_waves: set[str]) -> PeriodPlan:
     """Which KPI and score blocks can run (K4, K7): the reference skips a
     (year, period) as a whole when any input column is missing, i.e. when a
-    fact has no row at all for that period. Reads at most one row per slot."""
+    fact has no row at all in the months that feed that slot. Decided from
+    the months present, with the same tagging rules as :func:`_tags`."""
     if window is None:
         return PeriodPlan(None)
-    rows = (totals.groupBy("year", "trimester", "is_ptd")
-            .agg(F.max(F.col("n_volume") > 0).alias("v"),
-                 F.max(F.col("n_loyalty") > 0).alias("l")).collect())
-    present = set()
-    for r in rows:
-        if r["v"]:
-            present.add((VOLUME, r["year"], r["trimester"], r["is_ptd"]))
-        if r["l"]:
-            present.add((LOYALTY, r["year"], r["trimester"], r["is_ptd"]))
+    Y, M, ppe, label = window.max_year, window.max_month, window.prev_period_end, window.label
 
     def has(src, y, t, ptd):
-        return (src, y, t, ptd) in present
-
+        if ptd:
+            feeds = [m for m in range(ppe + 1, M + 1)] if (
+                window.is_open and t == label and y in (Y - 1, Y)) else []
+        else:
+            feeds = [m for m in range(4 * t - 3, 4 * t + 1)
+                     if not (window.is_open and y == Y and m > ppe)]
+        return any((src, y, m) in months for m in feeds)
+
+    present = {(src, y, t, ptd) for src in (VOLUME, LOYALTY) for y in range(Y - 2, Y + 1)
+               for t in range(1, PERIODS_PER_YEAR + 1) for ptd in (False, True)
+               if has(src, y, t, ptd)}
     pairs = []
-    Y = window.max_year
     if window.is_open:
-        t = window.label
+        t = label
         g = has(VOLUME, Y, t, True) and has(VOLUME, Y - 1, t, True)
         p = g and has(LOYALTY, Y, t, True)
         if g:
@@ -250,7 +260,8 @@ def plan_pairs(totals: DataFrame, window: PeriodWindow | None, survey_waves: set
 
 def period_facts(world, calendar: ReportingCalendar):
     """Monthly facts of a world, frozen (they feed the window decision, the
-    slot plan and the main plan), plus the window."""
+    slot plan and the main plan), the months present and the window."""
     monthly = freeze(monthly_facts(world.volume_records, world.loyalty_records,
-                                   world.roster, calendar))
-    return monthly, data_window(monthly)
+                                   world.roster, calendar), "monthly")
+    months = present_months(monthly)
+    return monthly, months, data_window(months)

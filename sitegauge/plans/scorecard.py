@@ -160,13 +160,13 @@ def score_table(kpis: DataFrame, survey: DataFrame) -> DataFrame:
 def build_scorecard(world) -> Scorecard:
     calendar = reporting_calendar(world.run_date)
     roster = prepare_roster(world.roster)
-    monthly, window = period_facts(world, calendar)
+    monthly, months, window = period_facts(world, calendar)
     # The survey feeds the wave list, the score join and both sides of the
     # members-vs-others comparison: materialise it once.
-    survey = freeze(survey_table(world))
+    survey = freeze(survey_table(world), "survey")
     totals = period_totals(monthly, window) if window is not None else None
     waves = {r[0] for r in survey.select("wave_id").distinct().collect()}
-    plan = plan_pairs(totals, window, waves) if totals is not None else PeriodPlan(None)
+    plan = plan_pairs(months, window, waves)
     if totals is None:
         totals = monthly.limit(0)
     kpis = kpi_table(roster, totals, plan)

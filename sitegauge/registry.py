@@ -21,7 +21,8 @@ from sitegauge.operators.quality import zero_rows
 from sitegauge.operators.ranking import running_sum
 from sitegauge.operators.reshape import mean_pivot, melt, strict_pivot
 from sitegauge.plans import scorecard as sc_mod
-from sitegauge.plans.periods import at_or_after, daily_volume, flatten_loyalty
+from sitegauge.plans.periods import (at_or_after, daily_volume, flatten_loyalty, period_facts,
+                                     period_totals)
 from sitegauge.plans.prices import (cleaned_log, dedupe_first, nav_link_pairs,
                                     page_texts)
 from sitegauge.plans.survey_scores import WIDE_LABELS
@@ -191,9 +192,13 @@ TOTAL_COLS = ("site_id", "year", "trimester", "is_ptd", "volume", "premium_volum
               "loyalty_volume", "prev_volume", "prev_premium_volume")
 
 
+def _period_totals(world) -> DataFrame:
+    monthly, _, window = period_facts(world, reporting_calendar(world.run_date))
+    return period_totals(monthly, window)
+
+
 def _totals(world) -> DataFrame:
-    card = sc_mod.build_scorecard(world)
-    return card.totals.select(*TOTAL_COLS)
+    return _period_totals(world).select(*TOTAL_COLS)
 
 
 def q_period_closed(spark, sf_dir):
@@ -205,8 +210,8 @@ def q_period_open(spark, sf_dir):
 
 
 def q_running_sum(spark, sf_dir):
-    card = sc_mod.build_scorecard(customer_world(spark, sf_dir))
-    closed = card.totals.where(~F.col("is_ptd") & F.col("volume").isNotNull()).select(
+    totals = _period_totals(customer_world(spark, sf_dir))
+    closed = totals.where(~F.col("is_ptd") & F.col("volume").isNotNull()).select(
         "site_id", "year", "trimester", "volume",
         F.col("volume_exact").alias("_exact"))
     out = running_sum(closed, ["site_id"], ["year", "trimester"], "_exact", "_run")
