@@ -32,21 +32,26 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     has_group = _all_not_null(group)
     sort_keys = [F.col(g).asc_nulls_last() for g in group] + list(order)
-    # Range partitioning samples its input; freeze the slice assignment so the
-    # counts and the row numbers below see the same slices.
-    sliced = freeze(df.where(has_group)
-                    .repartitionByRange(n, *sort_keys)
+    # Range partitioning samples its input in a job of its own: keep the input
+    # cached for that job and the write below, so it is computed once. Once
+    # the bounds are fixed a row's slice depends on its values only, so a
+    # recomputed (lost) cache block lands in the same slices. The slice ids
+    # are then frozen so the counts and the row numbers see the same slices.
+    src = df.persist()
+    sliced = freeze(src.repartitionByRange(n, *sort_keys)
                     .withColumn("_slice", F.spark_partition_id()), "rank")
-    counts = sliced.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_n"))
+    src.unpersist()
+    grouped = sliced.where(has_group)
+    counts = grouped.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy(*group).orderBy("_slice")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(
         "_slice", *group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     in_slice = Window.partitionBy("_slice", *group).orderBy(*order)
-    ranked = (sliced.join(offsets, ["_slice", *group])
+    ranked = (grouped.join(offsets, ["_slice", *group])
               .withColumn(out, (F.row_number().over(in_slice) + F.col("_offset")).cast("long"))
               .drop("_slice", "_offset"))
-    no_group = df.where(~has_group).withColumn(out, F.lit(None).cast("long"))
+    no_group = sliced.where(~has_group).drop("_slice").withColumn(out, F.lit(None).cast("long"))
     return ranked.unionByName(no_group)
 
 
