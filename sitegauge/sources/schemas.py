@@ -64,3 +64,47 @@ REGION_ASSIGNMENT = T.StructType([
     T.StructField("territory_manager", T.StringType()),
     T.StructField("region", T.StringType()),
 ])
+
+# The driver's tables used as stand-in inputs (FIXTURES.md section 4), declared
+# so that reading them needs no schema-inference job.
+_NTZ = T.TimestampNTZType()
+DRIVER_TABLES = {
+    "region": T.StructType([T.StructField("r_regionkey", T.IntegerType()),
+                            T.StructField("r_name", T.StringType())]),
+    "nation": T.StructType([T.StructField("n_nationkey", T.IntegerType()),
+                            T.StructField("n_name", T.StringType()),
+                            T.StructField("n_regionkey", T.IntegerType())]),
+    "customer": T.StructType([T.StructField("c_custkey", T.LongType()),
+                              T.StructField("c_name", T.StringType()),
+                              T.StructField("c_nationkey", T.IntegerType()),
+                              T.StructField("c_acctbal", T.DoubleType()),
+                              T.StructField("c_mktsegment", T.StringType())]),
+    "supplier": T.StructType([T.StructField("s_suppkey", T.LongType()),
+                              T.StructField("s_name", T.StringType()),
+                              T.StructField("s_nationkey", T.IntegerType()),
+                              T.StructField("s_acctbal", T.DoubleType())]),
+    "part": T.StructType([T.StructField("p_partkey", T.LongType()),
+                          T.StructField("p_name", T.StringType()),
+                          T.StructField("p_brand", T.StringType()),
+                          T.StructField("p_type", T.StringType()),
+                          T.StructField("p_size", T.IntegerType()),
+                          T.StructField("p_retailprice", T.DoubleType())]),
+    "orders": T.StructType([T.StructField("o_orderkey", T.LongType()),
+                            T.StructField("o_custkey", T.LongType()),
+                            T.StructField("o_orderstatus", T.StringType()),
+                            T.StructField("o_totalprice", T.DoubleType()),
+                            T.StructField("o_orderdate", _NTZ),
+                            T.StructField("o_orderpriority", T.StringType())]),
+    "lineitem": T.StructType([T.StructField("l_orderkey", T.LongType()),
+                              T.StructField("l_partkey", T.LongType()),
+                              T.StructField("l_suppkey", T.LongType()),
+                              T.StructField("l_linenumber", T.IntegerType()),
+                              T.StructField("l_quantity", T.DoubleType()),
+                              T.StructField("l_extendedprice", T.DoubleType()),
+                              T.StructField("l_discount", T.DoubleType()),
+                              T.StructField("l_tax", T.DoubleType()),
+                              T.StructField("l_returnflag", T.StringType()),
+                              T.StructField("l_linestatus", T.StringType()),
+                              T.StructField("l_shipdate", _NTZ)]),
+    "pages": PAGES,
+}

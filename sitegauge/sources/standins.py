@@ -54,7 +54,12 @@ class World:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, read with its declared schema (no inference job)."""
+    from sitegauge.sources.schemas import DRIVER_TABLES
+    reader = spark.read
+    if name in DRIVER_TABLES:
+        reader = reader.schema(DRIVER_TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _money(c: str) -> Column:
