@@ -382,6 +382,12 @@ def _sql_queries() -> dict[str, str]:
             CAST(rank AS BIGINT) AS rank FROM {w}_ranked"""),
         "owner_region_avg": per_world(f"""SELECT region, owner_name, wave_id,
             {rnd('owner_avg')} AS owner_avg, {rnd('region_avg')} AS region_avg FROM {{w}}_owner_avg"""),
+        "score_average_sheet": per_world(f"""
+            SELECT region, owner_name, wave_id AS period, owner_name AS label, {rnd('owner_avg')} AS value
+            FROM {{w}}_owner_avg
+            UNION ALL
+            SELECT region, owner_name, wave_id, region || {q(' Region Average')}, {rnd('region_avg')}
+            FROM {{w}}_owner_avg"""),
         "member_vs_other": per_world("SELECT region, wave_id, " + ", ".join(
             f"{rnd(c)} AS {c}" for c in _MVO) + " FROM {w}_mvo"),
         "owner_vs_region_survey": per_world(

@@ -216,6 +216,25 @@ def owner_region_averages(sc: Scorecard) -> DataFrame:
     return owner_avg.join(region_avg, ["region", "wave_id"], "left")
 
 
+# Fixed value: label suffix of the region row in the owner's score sheet.
+REGION_AVERAGE_SUFFIX = " Region Average"
+
+
+def score_average_sheet(sc: Scorecard) -> DataFrame:
+    """The owner's score-average sheet in long form (K8 presentation, R4,
+    X9): per (region, owner, period) one row labelled with the owner name
+    (owner mean) and one labelled ``<region> Region Average`` (region mean).
+    Pivoting the label into columns is left to the reader of one report:
+    owner names are unbounded, so they never become columns here."""
+    avg = owner_region_averages(sc)
+    long = avg.unpivot(["region", "owner_name", "wave_id"], ["owner_avg", "region_avg"],
+                       "variable", "value")
+    label = F.when(F.col("variable") == "region_avg",
+                   F.concat(F.col("region"), F.lit(REGION_AVERAGE_SUFFIX))).otherwise(F.col("owner_name"))
+    return long.select("region", "owner_name", F.col("wave_id").alias("period"),
+                       label.alias("label"), "value")
+
+
 def site_regions(survey: DataFrame, assignment: DataFrame) -> DataFrame:
     """Region of every surveyed site from the territory manager of its latest
     wave (A10, J7); NULL managers match NULL assignment keys like pandas."""

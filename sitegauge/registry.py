@@ -247,6 +247,12 @@ def q_owner_region_avg(world, card):
                       _r(F.col("region_avg")).alias("region_avg"))
 
 
+@_per_world
+def q_score_average_sheet(world, card):
+    out = sc_mod.score_average_sheet(card)
+    return out.select("region", "owner_name", "period", "label", _r(F.col("value")).alias("value"))
+
+
 _MVO = [f"{m}_{g}" for m in ("service", "facility", "experience")
         for g in ("member", "non_member")]
 
@@ -304,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "points_total": q_points_total,
     "region_rank": q_region_rank,
     "owner_region_avg": q_owner_region_avg,
+    "score_average_sheet": q_score_average_sheet,
     "member_vs_other": q_member_vs_other,
     "owner_vs_region_survey": q_owner_vs_region_survey,
     "distinct_pairs": q_distinct_pairs,
