@@ -22,6 +22,19 @@ from sitegauge.sources.standins import PRICE_INGEST_ORDER, price_log_records
 
 LOG_KEY = ("product", "date")
 
+# The price-comparison page's selections. Product names are the
+# text of elements whose class equals PRODUCT_CLASS; each vendor's price is
+# the text of the <a> inside elements whose class contains its cell class.
+PRODUCT_CLASS = "product-name"
+VENDOR_CELL_CLASSES = {
+    "apple": "cell zero",
+    "amazon": "cell one",
+    "adorama": "cell two",
+    "macmall": "cell three",
+    "bestbuy": "cell four",
+    "b_and_h": "cell five",
+}
+
 # Which page parts are extracted, as (kind, tag, class,
 # class match, child tag).
 PAGE_SELECTIONS = (
@@ -69,6 +82,22 @@ def scraped_rows(products: DataFrame, run_date: dt.date) -> DataFrame:
     return clean_prices(stamped)
 
 
+def product_lists(pages: DataFrame) -> DataFrame:
+    """Product names and the six vendor price lists of each comparison page,
+    all extracted in one projection (S2, S3)."""
+    return pages.select(
+        "page_id",
+        element_texts("html", "div", PRODUCT_CLASS).alias("product"),
+        *[element_texts("html", "div", cls, "contains", "a").alias(v)
+          for v, cls in VENDOR_CELL_CLASSES.items()])
+
+
+def scrape_prices(pages: DataFrame, run_date: dt.date) -> DataFrame:
+    """One cleaned row per product and page for ``run_date``, with the ingest
+    order (page, position) kept for keep-first."""
+    return scraped_rows(product_lists(pages), run_date)
+
+
 def cleaned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in price log, money parsed, ingest order kept."""
     raw = price_log_records(spark, sf_dir)

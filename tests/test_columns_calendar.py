@@ -3,7 +3,6 @@ import math
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from sitegauge.functions.calendar import PeriodWindow, earliest_window, reporting_calendar, trimester, trimester_of
 from sitegauge.functions.columns import (growth, ieee_ratio, last_chars, nan_to_null, normalise_label,

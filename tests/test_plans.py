@@ -3,10 +3,8 @@ map-side combine before every shuffle of raw facts."""
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from conftest import SF001
-from sitegauge.operators.dedupe import keep_first
 from sitegauge.operators.quality import observe_rows
 from sitegauge.operators.reshape import pivot_single
 from sitegauge.plans import scorecard as sc
