@@ -30,6 +30,10 @@ from sitegauge.sources.schemas import PRICE_LOG_TEXT, VENDORS
 
 SCRAPE_SCHEMA = T.StructType(PRICE_LOG_TEXT.fields + [T.StructField("ingest_seq", T.LongType())])
 KEY = ("product", "date")
+FINAL_SCHEMA = T.StructType(
+    [T.StructField("product", T.StringType())]
+    + [T.StructField(v, T.DoubleType()) for v in VENDORS]
+    + [T.StructField("date", T.StringType()), T.StructField("day", T.StringType())])
 
 
 def _day(c: str = "date") -> F.Column:
@@ -38,7 +42,8 @@ def _day(c: str = "date") -> F.Column:
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        # Declared schema: the partition column ``day`` stays ISO text.
+        return spark.read.schema(FINAL_SCHEMA).parquet(path)
     except AnalysisException:
         return None
 
@@ -46,16 +51,23 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 def process_batch(batch: DataFrame, batch_id: int, log_path: str, final_path: str) -> None:
     spark = batch.sparkSession
     parsed = batch.select("product", *[parse_money(v).alias(v) for v in VENDORS], "date",
-                          "ingest_seq").withColumn("day", _day())
-    (parsed.withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(log_path))
-    firsts = keep_first(parsed, list(KEY), ["ingest_seq"], keep=[*VENDORS, "day"])
-    seen = _existing(spark, final_path)
-    if seen is not None:
-        firsts = firsts.join(seen.select(*KEY, "day"), [*KEY, "day"], "left_anti")
-    firsts.select("product", *VENDORS, "date", "day").write.mode("append") \
-        .partitionBy("day").parquet(final_path)
+                          "ingest_seq").withColumn("day", _day()).persist()
+    try:
+        (parsed.withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(log_path))
+        firsts = keep_first(parsed, list(KEY), ["ingest_seq"], keep=[*VENDORS, "day"])
+        seen = _existing(spark, final_path)
+        if seen is not None:
+            # A scrape batch covers a handful of days: filter the final table
+            # on its partition column so only those days are listed and read.
+            days = [r[0] for r in parsed.select("day").distinct().collect()]
+            seen = seen.where(F.col("day").isin(days)).select(*KEY, "day")
+            firsts = firsts.join(seen, [*KEY, "day"], "left_anti")
+        firsts.select("product", *VENDORS, "date", "day").write.mode("append") \
+            .partitionBy("day").parquet(final_path)
+    finally:
+        parsed.unpersist()
 
 
 def start(spark: SparkSession, source_dir: str, log_path: str, final_path: str,
