@@ -61,6 +61,23 @@ def run_scorecard(world, out: str) -> dict:
             "zero_service_scores": zero}
 
 
+def _world_from_folder(spark: SparkSession, folder: str, run_date: dt.date):
+    import glob
+    import os
+
+    from sitegauge.sources.inputs import world_from_files
+
+    def one(role):
+        found = sorted(glob.glob(os.path.join(folder, f"{role}.*")))
+        if not found:
+            raise FileNotFoundError(f"no {role}.csv or {role}.parquet in {folder}")
+        return found[0]
+
+    surveys = sorted(glob.glob(os.path.join(folder, "survey*")))
+    return world_from_files(spark, run_date, one("roster"), one("hierarchy"), surveys,
+                            one("volume"), one("loyalty"), one("assignment"))
+
+
 def main(argv: list[str] | None = None) -> None:
     from sitegauge.session import build_session
     from sitegauge.sources.standins import customer_world, supplier_world
@@ -72,8 +89,12 @@ def main(argv: list[str] | None = None) -> None:
     pr.add_argument("--run-date", required=True, type=dt.date.fromisoformat)
     pr.add_argument("--out", required=True)
     sc = sub.add_parser("scorecard")
-    sc.add_argument("--sf-dir", required=True)
+    sc.add_argument("--sf-dir", help="run on the stand-in tables of this folder")
     sc.add_argument("--world", choices=["customer", "supplier"], default="customer")
+    sc.add_argument("--run-date", type=dt.date.fromisoformat,
+                    help="with --inputs: the run date")
+    sc.add_argument("--inputs", help="folder with roster, hierarchy, volume, loyalty, "
+                    "assignment (.csv or .parquet) and survey*.csv files")
     sc.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -83,6 +104,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "prices":
         pages = spark.read.schema(PAGES).parquet(args.pages)
         result = run_price_history(spark, pages, args.run_date, args.out)
+    elif args.inputs:
+        result = run_scorecard(_world_from_folder(spark, args.inputs, args.run_date), args.out)
     else:
         build = customer_world if args.world == "customer" else supplier_world
         result = run_scorecard(build(spark, args.sf_dir), args.out)

@@ -41,3 +41,35 @@ def test_scorecard_job_on_tables(spark, scratch):
     raw = spark.read.parquet(res["reports"]["raw"])
     assert raw.count() > 0 and {"region", "owner_name", "rank"} <= set(raw.columns)
     assert spark.read.parquet(res["scored"]).count() > 0
+
+
+def test_scorecard_from_exported_files(spark, scratch):
+    """Source-named CSV exports (spaces, CRM suffixes, two survey layouts)."""
+    folder = os.path.join(scratch, "inputs")
+    os.makedirs(folder)
+    files = {
+        "roster.csv": 'OPCO,CO/DO,LOCATION NO\n"NORTH ",d1,101\nnorth,d1,102\n',
+        "hierarchy.csv": "Location_Number__c,Sold_To_Name__c,Sold_To_Number__c,Street__c,City__c\n"
+                         "101,Own1,1,a st,x\n102,Own1,1,b st,y\n",
+        "volume.csv": "Location_Number,Date,Gas,VPower\n"
+                      "101,2017-06-15,100,200\n101,2018-06-15,102,207\n101,2018-02-01,50,0\n"
+                      "101,2017-02-01,40,0\n102,2017-05-20,0,0\n102,2018-05-20,5,5\n",
+        "loyalty.csv": "Location_Number,Date,Loyalty\n101,2018-06-20,10\n102,2018-05-21,0.5\n",
+        "assignment.csv": "TERRITORY MANAGER,OPCO/Region\nTM1,NORTH\n",
+        "survey_2017.csv": "LocationCode,WavId,Territory Manager,Sales Manager,Q7_Response,Q8_Response,"
+                           "Q9_Response,Q10_Response,Q11_Response,Q12_Response,Q15_Response,Q19_Response,SEScore\n"
+                           "101,20172,TM1,S,Yes,Yes,Yes,Yes,Yes,Yes,Yes,Yes,70\n",
+        "survey_2018.csv": "LOCATION#,WAVID,TERRITORY MANAGER,SALES MANAGER,Q7,Q8,Q9,Q10,Q11,Q12,Q14,Q18,SESCORE\n"
+                           "101,20182,TM1,S,Yes,Yes,Yes,Yes,Yes,Yes,Yes,Yes,80\n"
+                           "102,20182,TM1,S,Yes,Yes,Yes,Yes,Yes,Yes,Yes,Yes,60\n",
+    }
+    for name, text in files.items():
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+    from sitegauge.jobs import _world_from_folder
+    world = _world_from_folder(spark, folder, dt.date(2018, 8, 10))
+    res = run_scorecard(world, os.path.join(scratch, "out"))
+    assert res["window"] == [2018, 6]
+    raw = {r["site_id"]: r for r in spark.read.parquet(res["reports"]["raw"]).collect()}
+    assert raw["102"]["rank"] == 1 and raw["101"]["rank"] == 2
+    assert raw["101"]["region"] == "North"
