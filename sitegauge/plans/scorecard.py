@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitegauge.functions.calendar import ReportingCalendar, reporting_calendar
-from sitegauge.functions.columns import growth, ieee_ratio, normalise_label
+from sitegauge.functions.columns import flag_label, growth, ieee_ratio, normalise_label
 from sitegauge.operators.aggregates import mean_by
 from sitegauge.operators.dedupe import latest_per_key
 from sitegauge.operators.joins import existence_flag, not_equal_keep_null, null_safe_left_join
@@ -257,16 +257,17 @@ def member_vs_other(sc: Scorecard, assignment: DataFrame) -> DataFrame:
             .where(not_equal_keep_null("region", SKIP_REGION))
             .withColumn("region", normalise_label("region")))
     flagged = existence_flag(rows, sc.roster, "site_id", "member")
+    labels = ("member", "non_member")
     means = (flagged.where(F.col("region").isNotNull())
+             .withColumn("group", flag_label("member", *labels))
              .groupBy("region", "wave_id")
-             .pivot("member", [1, 0])
+             .pivot("group", list(labels))
              .agg(F.avg("service_ratio").alias("service"),
                   F.avg("facility_ratio").alias("facility"),
                   F.avg("experience_score").alias("experience")))
     out = ["region", "wave_id"]
     for metric in ("service", "facility", "experience"):
-        out.append(F.col(f"1_{metric}").alias(f"{metric}_member"))
-        out.append(F.col(f"0_{metric}").alias(f"{metric}_non_member"))
+        out += [F.col(f"{g}_{metric}").alias(f"{metric}_{g}") for g in labels]
     return means.select(*out)
 
 
