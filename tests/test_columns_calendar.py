@@ -91,3 +91,11 @@ def test_period_windows():
     assert earliest_window((2018, 7), (2018, 8)) == PeriodWindow(2018, 7)
     assert earliest_window(None, (2018, 8)) == PeriodWindow(2018, 8)
     assert earliest_window(None, None) is None
+
+
+def test_penetration_bands(spark):
+    # FIXTURES 3.3: loyalty / volume at the band edges, computed in double
+    from sitegauge.plans.scorecard import penetration_points
+    rows = [(5.0, 100.0), (9.99, 100.0), (10.0, 100.0), (4.99, 100.0), (None, 100.0), (1.0, 0.0)]
+    got = one(spark, penetration_points(ieee_ratio("l", "v")), rows, "l double, v double")
+    assert got == [25, 25, 30, 0, 0, 30]
