@@ -19,19 +19,19 @@ def page(products, apple, amazon):
 def test_price_history_two_runs(spark, scratch):
     out = os.path.join(scratch, "prices")
     day1 = spark.createDataFrame(
-        [(1, "u1", page(["Mac A", "Mac B", "Mac A"], ["$1,299.00", "$999", "$5"], ["N/A", "$990.50", "$6"]))],
+        [(1, "u1", page(["Item A", "Item B", "Item A"], ["$1,299.00", "$999", "$5"], ["N/A", "$990.50", "$6"]))],
         "page_id long, url string, html string")
     r1 = run_price_history(spark, day1, dt.date(2018, 8, 26), out)
     assert r1 == {"scraped_today": 3, "final_rows": 2}
-    day2 = spark.createDataFrame([(1, "u1", page(["Mac A"], ["$1,199.00"], ["N/A"]))],
+    day2 = spark.createDataFrame([(1, "u1", page(["Item A"], ["$1,199.00"], ["N/A"]))],
                                  "page_id long, url string, html string")
     run_price_history(spark, day2, dt.date(2018, 8, 27), out)
     r3 = run_price_history(spark, day2, dt.date(2018, 8, 27), out)        # re-run: no duplicates
     assert r3["final_rows"] == 3
     final = {(r["product"], r["date"]): r for r in spark.read.option("header", True).csv(f"{out}/final").collect()}
-    assert final[("Mac A", "08/26/2018")]["apple"] == "1299.0"             # first Mac A row of the page
-    assert final[("Mac A", "08/27/2018")]["apple"] == "1199.0"
-    assert final[("Mac B", "08/26/2018")]["amazon"] == "990.5"
+    assert final[("Item A", "08/26/2018")]["apple"] == "1299.0"             # first Mac A row of the page
+    assert final[("Item A", "08/27/2018")]["apple"] == "1199.0"
+    assert final[("Item B", "08/26/2018")]["amazon"] == "990.5"
 
 
 def test_scorecard_job_on_tables(spark, scratch):
