@@ -21,7 +21,7 @@ LOG = """product,apple,amazon,adorama,macmall,bestbuy,b_and_h,date
 
 
 def test_read_dedupe_write_golden(spark, scratch):
-    path = os.path.join(scratch, "my_csv.csv")
+    path = os.path.join(scratch, "price_log.csv")
     with open(path, "w") as f:
         f.write(LOG)
     log = read_price_log_csv(spark, path)
@@ -34,7 +34,7 @@ def test_read_dedupe_write_golden(spark, scratch):
     mb = rows[("Laptop 13in: 1.3 GHz, 512 GB - Gray", "08/26/2018")]
     assert mb["amazon"] == 1402.1 and mb["adorama"] is None        # first row kept
     assert rows[('Desktop 21in" 2.3 GHz', "08/27/2018")]["apple"] == 1099.0   # "$1,099.00" cleaned
-    out = os.path.join(scratch, "Final_List")
+    out = os.path.join(scratch, "final_list")
     write_final_csv(sort_final(final.select("product", *VENDORS, "date")), out)
     back = spark.read.option("header", True).csv(out)
     assert back.count() == 3 and back.columns == ["product", *VENDORS, "date"]
