@@ -86,6 +86,17 @@ def normalise_label(c: str | Column) -> Column:
     return F.trim(title_case(c))
 
 
+def key_text(df, c: str) -> Column:
+    """A key column as text. A numeric key (spreadsheets store ids as
+    doubles) goes through bigint first, so ``101.0`` never appears and joins
+    on text keys still match (D18, P14); NULL stays NULL."""
+    from pyspark.sql import types as T
+    col = F.col(f"`{c}`")
+    if isinstance(df.schema[c].dataType, T.NumericType):
+        col = col.cast("bigint")
+    return col.cast("string")
+
+
 def split_part(c: str | Column, sep: str, n: int) -> Column:
     """1-based part ``n`` of ``c`` split on ``sep``; NULL-safe."""
     return F.split_part(_col(c), F.lit(sep), F.lit(n))

@@ -23,10 +23,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sitegauge.functions.calendar import ReportingCalendar, reporting_calendar
-from sitegauge.functions.columns import flag_label, growth, ieee_ratio, normalise_label
+from sitegauge.functions.columns import flag_label, growth, ieee_ratio, key_text, normalise_label
 from sitegauge.operators.aggregates import mean_by
 from sitegauge.operators.dedupe import latest_per_key
 from sitegauge.operators.joins import existence_flag, not_equal_keep_null, null_safe_left_join
@@ -65,11 +64,8 @@ class Scorecard:
 def prepare_roster(roster: DataFrame) -> DataFrame:
     """Site key as text (a numeric key goes through bigint, so ``101.0``
     never appears, D18), region title-cased and trimmed once, here (D10)."""
-    site = F.col("site_id")
-    if isinstance(roster.schema["site_id"].dataType, T.NumericType):
-        site = site.cast("bigint")
     return roster.select(
-        site.cast("string").alias("site_id"),
+        key_text(roster, "site_id").alias("site_id"),
         normalise_label("region").alias("region"), "district")
 
 

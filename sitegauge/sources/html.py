@@ -36,10 +36,12 @@ def _open_tag(tag: str, cls: str | None, match: str) -> str:
     if cls is None:
         return rf"<{t}(?:\s[^>]*)?>"
     v = re.escape(cls)
+    # Either quote style; alternation rather than a back-reference, so the
+    # same pattern also runs on engines without back-references.
     if match == "equals":
-        attr = rf'class="{v}"'
+        attr = rf"""(?:class="{v}"|class='{v}')"""
     elif match == "contains":
-        attr = rf'class="[^"]*{v}[^"]*"'
+        attr = rf"""(?:class="[^"]*{v}[^"]*"|class='[^']*{v}[^']*')"""
     else:
         raise ValueError(f"match must be 'equals' or 'contains', not {match!r}")
     return rf"<{t}\s(?:[^>]*\s)?{attr}[^>]*>"

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitegauge.functions.columns import key_text
 from sitegauge.sources.schemas import QUESTIONS
 
 # The two survey layouts. The older one names the shop question
@@ -64,8 +65,8 @@ def normalise(df: DataFrame, layout: str) -> DataFrame:
     """Project one file to the canonical survey schema."""
     inverse = {new: old for old, new in LAYOUT_RENAMES[layout].items()}
     return df.select(
-        F.col("`LOCATION#`").cast("string").alias("site_id"),
-        F.col("WAVID").cast("string").alias("wave_id"),
+        key_text(df, "LOCATION#").alias("site_id"),
+        key_text(df, "WAVID").alias("wave_id"),
         F.col("`TERRITORY MANAGER`").cast("string").alias("territory_manager"),
         F.col("`SALES MANAGER`").cast("string").alias("sales_manager"),
         *[F.col(inverse.get(q, q)).cast("string").alias(q.lower()) for q in QUESTIONS],

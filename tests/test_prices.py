@@ -94,3 +94,10 @@ def test_append_log_is_idempotent(spark, scratch):
     append_log(df, path)
     append_log(df.withColumn("snapshot_date", F.lit("2018-08-27")), path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_single_quoted_class(spark):
+    pages = spark.createDataFrame([(1, "u", "<div class='x cell one'><a>$3</a></div><div class=\"cell one\"><a>$4</a></div>")],
+                                  "page_id long, url string, html string")
+    r = pages.select(element_texts("html", "div", "cell one", "contains", "a").alias("v")).first()
+    assert r["v"] == ["$3", "$4"]

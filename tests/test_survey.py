@@ -65,3 +65,12 @@ def test_unknown_layout_is_not_appended(spark):
         normalise_files([_current(spark), bad])
     good, rejected = normalise_files([_current(spark), bad], quarantine=True)
     assert good.count() == 1 and len(rejected) == 1
+
+
+def test_numeric_ids_never_print_as_doubles(spark):
+    df = spark.createDataFrame([(101.0, 20172.0, "T", "S") + ("Yes",) * 8 + (1.0,)],
+                               "`LOCATION#` double, WAVID double, `TERRITORY MANAGER` string, "
+                               "`SALES MANAGER` string, Q7 string, Q8 string, Q9 string, Q10 string, "
+                               "Q11 string, Q12 string, Q14 string, Q18 string, SESCORE double")
+    r = normalise_files([df]).first()
+    assert (r["site_id"], r["wave_id"]) == ("101", "20172")
