@@ -91,6 +91,7 @@ class PeriodWindow:
 
     max_year: int
     max_month: int
+    label_override: int | None = None   # D2: a caller-chosen period label
 
     @property
     def is_open(self) -> bool:
@@ -104,6 +105,10 @@ class PeriodWindow:
 
     @property
     def label(self) -> int:
+        """Period number of the open (or last closed) period: the trimester of
+        the latest data month unless overridden."""
+        if self.label_override is not None:
+            return self.label_override
         return trimester_of(self.max_month)
 
     def kpi_years(self) -> tuple[int, int]:

@@ -58,6 +58,10 @@ def run_scorecard(world, out: str) -> dict:
             "window": None if card.plan.window is None else
             [card.plan.window.max_year, card.plan.window.max_month],
             "slots": [[p.year, p.trimester, p.is_ptd, p.score_ok] for p in card.plan.pairs],
+            "latest_by_source": {k: list(v) for k, v in card.plan.latest.items()},
+            "facts_disagree": card.plan.facts_disagree,
+            "current_slot": None if card.plan.current is None else
+            [card.plan.current.year, card.plan.current.trimester, card.plan.current.is_ptd],
             "zero_service_scores": zero}
 
 

@@ -23,7 +23,7 @@ and become double only at the end.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,11 +116,17 @@ def present_months(monthly: DataFrame) -> set[tuple[str, int, int]]:
     return {(r["source"], int(r["year"]), int(r["month"])) for r in rows}
 
 
-def data_window(months: set[tuple[str, int, int]]) -> PeriodWindow | None:
-    """Latest month per fact (A5), then the earlier of the two."""
+def latest_by_source(months: set[tuple[str, int, int]]) -> dict[str, tuple[int, int]]:
+    """Latest (year, month) of each fact (A5)."""
     latest: dict[str, tuple[int, int]] = {}
     for src, y, m in months:
         latest[src] = max(latest.get(src, (y, m)), (y, m))
+    return latest
+
+
+def data_window(months: set[tuple[str, int, int]]) -> PeriodWindow | None:
+    """Latest month per fact (A5), then the earlier of the two."""
+    latest = latest_by_source(months)
     return earliest_window(latest.get(VOLUME), latest.get(LOYALTY))
 
 
@@ -206,6 +212,13 @@ class PeriodPlan:
     window: PeriodWindow | None
     present: set = field(default_factory=set)    # (source, year, trim, is_ptd)
     pairs: list = field(default_factory=list)    # [Pair]
+    latest: dict = field(default_factory=dict)   # source -> (year, month)
+
+    @property
+    def facts_disagree(self) -> bool:
+        """The facts end in different months (D4): the window uses the
+        earlier one, and the later months of the other fact are not scored."""
+        return len(set(self.latest.values())) > 1
 
     @property
     def current(self) -> Pair | None:
@@ -255,13 +268,17 @@ def plan_pairs(months: set[tuple[str, int, int]], window: PeriodWindow | None,
                   and has(LOYALTY, y, t, False))
             if ok:
                 pairs.append(Pair(y, t, False, True, True, f"{y}{t}" in survey_waves))
-    return PeriodPlan(window, present, pairs)
+    return PeriodPlan(window, present, pairs, latest_by_source(months))
 
 
-def period_facts(world, calendar: ReportingCalendar):
+def period_facts(world, calendar: ReportingCalendar, period_label: int | None = None):
     """Monthly facts of a world, frozen (they feed the window decision, the
-    slot plan and the main plan), the months present and the window."""
+    slot plan and the main plan), the months present and the window.
+    ``period_label`` overrides the data-derived period number (D2)."""
     monthly = freeze(monthly_facts(world.volume_records, world.loyalty_records,
                                    world.roster, calendar), "monthly")
     months = present_months(monthly)
-    return monthly, months, data_window(months)
+    window = data_window(months)
+    if window is not None and period_label is not None:
+        window = replace(window, label_override=period_label)
+    return monthly, months, window

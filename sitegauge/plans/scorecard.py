@@ -153,10 +153,13 @@ def score_table(kpis: DataFrame, survey: DataFrame) -> DataFrame:
         + F.col("service_points") + F.col("facility_points"))
 
 
-def build_scorecard(world) -> Scorecard:
+def build_scorecard(world, period_label: int | None = None) -> Scorecard:
+    """Everything a run derives. ``period_label`` overrides the period
+    number taken from the data (D2); by default it is the trimester of the
+    latest data month."""
     calendar = reporting_calendar(world.run_date)
     roster = prepare_roster(world.roster)
-    monthly, months, window = period_facts(world, calendar)
+    monthly, months, window = period_facts(world, calendar, period_label)
     # The survey feeds the wave list, the score join and both sides of the
     # members-vs-others comparison: materialise it once.
     survey = freeze(survey_table(world), "survey")

@@ -99,3 +99,8 @@ def test_penetration_bands(spark):
     rows = [(5.0, 100.0), (9.99, 100.0), (10.0, 100.0), (4.99, 100.0), (None, 100.0), (1.0, 0.0)]
     got = one(spark, penetration_points(ieee_ratio("l", "v")), rows, "l double, v double")
     assert got == [25, 25, 30, 0, 0, 30]
+
+
+def test_period_label_override():
+    w = PeriodWindow(2018, 5, label_override=3)
+    assert w.label == 3 and w.prev_period_end == 4 and w.is_open

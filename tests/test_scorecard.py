@@ -116,3 +116,8 @@ def test_wide_names(card):
     for c in ("PMTDR_Score_2018PTD2", "Gas_Growth_2018PTD2", "Loyalty_Pen_Score_2018PTD2", "Rank_20182"):
         assert c in wide.columns
     assert wide.count() == 3
+
+
+def test_latest_months_reported(card):
+    assert card.plan.latest == {"volume": (2018, 7), "loyalty": (2018, 7)}
+    assert not card.plan.facts_disagree
