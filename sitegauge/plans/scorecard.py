@@ -28,7 +28,8 @@ from sitegauge.functions.calendar import ReportingCalendar, reporting_calendar
 from sitegauge.functions.columns import flag_label, growth, ieee_ratio, key_text, normalise_label
 from sitegauge.operators.aggregates import mean_by
 from sitegauge.operators.dedupe import latest_per_key
-from sitegauge.operators.joins import existence_flag, not_equal_keep_null, null_safe_left_join
+from sitegauge.operators.joins import (broadcast_bounded, existence_flag, not_equal_keep_null,
+                                       null_safe_left_join)
 from sitegauge.operators.ranking import rank_within
 from sitegauge.plans.periods import Pair, PeriodPlan, period_facts, period_totals, plan_pairs
 from sitegauge.plans.survey_scores import survey_ratios
@@ -234,11 +235,21 @@ def score_average_sheet(sc: Scorecard) -> DataFrame:
                        label.alias("label"), "value")
 
 
+# Most rows the region assignment (one per territory manager) may have to be
+# broadcast; beyond it the join stays a shuffle join with AQE skew handling.
+ASSIGNMENT_BROADCAST_ROWS = 100_000
+
+
 def site_regions(survey: DataFrame, assignment: DataFrame) -> DataFrame:
     """Region of every surveyed site from the territory manager of its latest
-    wave (A10, J7); NULL managers match NULL assignment keys like pandas."""
+    wave (A10, J7); NULL managers match NULL assignment keys like pandas.
+
+    One manager may cover a large share of all sites, so the assignment
+    (bounded by the number of managers, checked) is broadcast: the site side
+    is never shuffled by manager."""
     latest = latest_per_key(survey, "site_id", "wave_id", ["territory_manager"])
-    return null_safe_left_join(latest.select("site_id", "territory_manager"), assignment,
+    assign = broadcast_bounded(assignment, ASSIGNMENT_BROADCAST_ROWS)
+    return null_safe_left_join(latest.select("site_id", "territory_manager"), assign,
                                ["territory_manager"]).select("site_id", "region")
 
 
