@@ -38,7 +38,9 @@ def run_price_history(spark: SparkSession, pages: DataFrame, run_date: dt.date,
         F.lit(run_date.isoformat()).alias("snapshot_date"))
     today, seen = observe_rows(today, "scraped")
     append_log(today, f"{out}/log")
-    log = spark.read.parquet(f"{out}/log")
+    # Declared schema: a run that scraped nothing still reads (and keeps) the
+    # history, and the partition column stays ISO text.
+    log = spark.read.schema(today.schema).parquet(f"{out}/log")
     final = keep_first(log, ["product", "date"], ["snapshot_date", "ingest_page", "ingest_pos"],
                        keep=["product", *VENDORS, "date"])
     final, kept = observe_rows(final.select("product", *VENDORS, "date"), "final")

@@ -73,3 +73,10 @@ def test_scorecard_from_exported_files(spark, scratch):
     raw = {r["site_id"]: r for r in spark.read.parquet(res["reports"]["raw"]).collect()}
     assert raw["102"]["rank"] == 1 and raw["101"]["rank"] == 2
     assert raw["101"]["region"] == "North"
+
+
+def test_price_history_empty_scrape(spark, scratch):
+    out = os.path.join(scratch, "prices")
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")      # no price cells on these pages
+    assert run_price_history(spark, pages, dt.date(2018, 8, 26), out) == {
+        "scraped_today": 0, "final_rows": 0}
