@@ -26,5 +26,6 @@ def read_or_build_snapshot(spark: SparkSession, root: str, name: str, run_date:
         return spark.read.parquet(path)
     except AnalysisException:
         pass
-    build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    built = build()
+    built.write.mode("overwrite").parquet(path)
+    return spark.read.schema(built.schema).parquet(path)
