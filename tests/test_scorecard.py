@@ -121,3 +121,14 @@ def test_wide_names(card):
 def test_latest_months_reported(card):
     assert card.plan.latest == {"volume": (2018, 7), "loyalty": (2018, 7)}
     assert not card.plan.facts_disagree
+
+
+def test_no_facts_gives_empty_outputs(world):
+    import dataclasses
+    empty = dataclasses.replace(world, volume_records=world.volume_records.limit(0),
+                                loyalty_records=world.loyalty_records.limit(0))
+    card = sc.build_scorecard(empty)
+    assert card.plan.window is None and card.plan.pairs == []
+    assert card.scored.count() == 0
+    assert sc.region_rank(card).count() == 0
+    assert sc.owner_region_averages(card).count() == 0
