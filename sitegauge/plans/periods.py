@@ -278,7 +278,12 @@ def period_facts(world, calendar: ReportingCalendar, period_label: int | None =
     monthly = freeze(monthly_facts(world.volume_records, world.loyalty_records,
                                    world.roster, calendar), "monthly")
     months = present_months(monthly)
+    return monthly, months, window_of(months, period_label)
+
+
+def window_of(months: set[tuple[str, int, int]], period_label: int | None = None):
+    """The data window, with the period label overridden if asked."""
     window = data_window(months)
     if window is not None and period_label is not None:
         window = replace(window, label_override=period_label)
-    return monthly, months, window
+    return window

@@ -31,9 +31,10 @@ from sitegauge.operators.dedupe import latest_per_key
 from sitegauge.operators.joins import (broadcast_bounded, existence_flag, not_equal_keep_null,
                                        null_safe_left_join)
 from sitegauge.operators.ranking import rank_within
-from sitegauge.plans.periods import Pair, PeriodPlan, period_facts, period_totals, plan_pairs
+from sitegauge.plans.periods import (Pair, PeriodPlan, monthly_facts, period_totals, plan_pairs,
+                                     present_months, window_of)
 from sitegauge.plans.survey_scores import survey_ratios
-from sitegauge.session import freeze
+from sitegauge.session import concurrently, freeze_many
 from sitegauge.sources.survey import normalise_files
 
 # Fixed values of the scoring rule (points per KPI band).
@@ -160,12 +161,20 @@ def build_scorecard(world, period_label: int | None = None) -> Scorecard:
     latest data month."""
     calendar = reporting_calendar(world.run_date)
     roster = prepare_roster(world.roster)
-    monthly, months, window = period_facts(world, calendar, period_label)
-    # The survey feeds the wave list, the score join and both sides of the
-    # members-vs-others comparison: materialise it once.
-    survey = freeze(survey_table(world), "survey")
+    # Monthly facts feed the window, the slot plan and the totals; the survey
+    # feeds the wave list, the score join and both sides of the
+    # members-vs-others comparison. Both are materialised once, side by side
+    # (independent inputs), then the two small driver reads run side by side.
+    frozen = freeze_many({
+        "monthly": monthly_facts(world.volume_records, world.loyalty_records, world.roster,
+                                 calendar),
+        "survey": survey_table(world)})
+    monthly, survey = frozen["monthly"], frozen["survey"]
+    months, waves = concurrently(
+        lambda: present_months(monthly),
+        lambda: {r[0] for r in survey.select("wave_id").distinct().collect()})
+    window = window_of(months, period_label)
     totals = period_totals(monthly, window) if window is not None else None
-    waves = {r[0] for r in survey.select("wave_id").distinct().collect()}
     plan = plan_pairs(months, window, waves)
     if totals is None:
         totals = monthly.limit(0)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,3 +75,22 @@ def freeze(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{root}/sitegauge-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def concurrently(*jobs: Callable):
+    """Run independent driver-side actions at the same time and return their
+    results in order. Spark schedules jobs from several driver threads side
+    by side, so two materialisations that each leave executors idle (a
+    narrow scan, a small aggregate) overlap instead of queueing."""
+    if len(jobs) == 1:
+        return [jobs[0]()]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
+
+
+def freeze_many(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """:func:`freeze` several independent DataFrames concurrently."""
+    names = list(frames)
+    done = concurrently(*[(lambda n=n: freeze(frames[n], n)) for n in names])
+    return dict(zip(names, done))
