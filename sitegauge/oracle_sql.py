@@ -399,6 +399,8 @@ def _sql_queries() -> dict[str, str]:
         "hierarchy_enrich": cw + """SELECT site_id, region, district, owner_name, owner_number, address, city
             FROM customer_sites""",
         "title_case_names": f"SELECT p_partkey, p_name, {title('p_name')} AS title_name FROM part",
+        "title_region": cw + f"""SELECT h.site_id, r.region AS raw_region, {title('r.region')} AS region
+            FROM customer_hier h JOIN customer_roster_raw r ON r.site_id = h.site_id""",
     }
     return out
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegauge.functions.calendar import reporting_calendar
-from sitegauge.functions.columns import split_part, title_case
+from sitegauge.functions.columns import normalise_label, split_part, title_case
 from sitegauge.operators.aggregates import contingency, latest_month, non_null_counts
 from sitegauge.operators.dedupe import latest_per_key
 from sitegauge.operators.quality import zero_rows
@@ -286,6 +286,15 @@ def q_title_case_names(spark, sf_dir):
     return part.select("p_partkey", "p_name", title_case("p_name").alias("title_name"))
 
 
+def q_title_region(spark, sf_dir):
+    """Region text of every site, normalised once."""
+    world = customer_world(spark, sf_dir)
+    return world.hierarchy.select("site_id").join(
+        world.roster.select("site_id", F.col("region").alias("raw_region")),
+        "site_id").select("site_id", "raw_region",
+                          normalise_label("raw_region").alias("region"))
+
+
 QUERIES: dict[str, Query] = {
     "prices_clean": q_prices_clean,
     "prices_dedupe_first": q_prices_dedupe_first,
@@ -316,4 +325,5 @@ QUERIES: dict[str, Query] = {
     "distinct_pairs": q_distinct_pairs,
     "hierarchy_enrich": q_hierarchy_enrich,
     "title_case_names": q_title_case_names,
+    "title_region": q_title_region,
 }
