@@ -388,6 +388,11 @@ def _sql_queries() -> dict[str, str]:
             UNION ALL
             SELECT region, owner_name, wave_id, region || {q(' Region Average')}, {rnd('region_avg')}
             FROM {{w}}_owner_avg"""),
+        "scored_wide": per_world("SELECT site_id, " + ", ".join(
+            f"max(CASE WHEN wave_id = {q(wv)} THEN {c} END) AS {n}_{wv}"
+            for wv in waves for c, n in (("total", "PMTDR_Score"), ("volume_growth", "Gas_Growth"),
+                                         ("penetration", "Loyalty_Pen")))
+            + " FROM {w}_scored WHERE NOT is_ptd GROUP BY site_id"),
         "member_vs_other": per_world("SELECT region, wave_id, " + ", ".join(
             f"{rnd(c)} AS {c}" for c in _MVO) + " FROM {w}_mvo"),
         "owner_vs_region_survey": per_world(

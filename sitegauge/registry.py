@@ -253,6 +253,24 @@ def q_score_average_sheet(world, card):
     return out.select("region", "owner_name", "period", "label", _r(F.col("value")).alias("value"))
 
 
+WIDE_MEASURES = {"total": "PMTDR_Score", "volume_growth": "Gas_Growth",
+                 "penetration": "Loyalty_Pen"}
+
+
+@_per_world
+def q_scored_wide(world, card):
+    """Closed periods of the report years as reference-named columns
+    (``PMTDR_Score_20012`` ...), one row per scored roster site (P7, P8, Z3).
+    The column set comes from the run date, so it is fixed per run; periods
+    without a score are NULL columns."""
+    slots = report_waves(world.run_date)
+    long = card.scored.where(~F.col("is_ptd")).select(
+        "site_id", F.concat(F.col("year").cast("string"), F.col("trimester").cast("string")).alias("slot"),
+        *[F.col(c).alias(n) for c, n in WIDE_MEASURES.items()])
+    wide = strict_pivot(long, ["site_id"], "slot", slots, list(WIDE_MEASURES.values()))
+    return wide.select("site_id", *[F.col(f"{n}_{w}") for w in slots for n in WIDE_MEASURES.values()])
+
+
 _MVO = [f"{m}_{g}" for m in ("service", "facility", "experience")
         for g in ("member", "non_member")]
 
@@ -321,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "owner_region_avg": q_owner_region_avg,
     "score_average_sheet": q_score_average_sheet,
     "member_vs_other": q_member_vs_other,
+    "scored_wide": q_scored_wide,
     "owner_vs_region_survey": q_owner_vs_region_survey,
     "distinct_pairs": q_distinct_pairs,
     "hierarchy_enrich": q_hierarchy_enrich,
