@@ -2,6 +2,7 @@
 
     python -m sitegauge.jobs prices --pages PAGES.parquet --run-date 2018-08-26 --out OUT
     python -m sitegauge.jobs scorecard --sf-dir /root/testdata/sf0.01 --world customer --out OUT
+    python -m sitegauge.jobs price-stream --source DROPS/ --out OUT --checkpoint CKPT [--continuous]
 
 Both take the run date as a parameter (never the clock) and write
 idempotently: re-running a day replaces that day's output only.
@@ -94,6 +95,12 @@ def main(argv: list[str] | None = None) -> None:
     pr.add_argument("--pages", required=True)
     pr.add_argument("--run-date", required=True, type=dt.date.fromisoformat)
     pr.add_argument("--out", required=True)
+    st = sub.add_parser("price-stream")
+    st.add_argument("--source", required=True, help="folder the scraper drops Parquet files into")
+    st.add_argument("--out", required=True)
+    st.add_argument("--checkpoint", required=True, help="streaming checkpoint (shared storage)")
+    st.add_argument("--continuous", action="store_true",
+                    help="keep running (one micro-batch a minute) instead of draining once")
     sc = sub.add_parser("scorecard")
     sc.add_argument("--sf-dir", help="run on the stand-in tables of this folder")
     sc.add_argument("--world", choices=["customer", "supplier"], default="customer")
@@ -107,7 +114,14 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(master=args.master) if args.master else \
         SparkSession.builder.getOrCreate()
-    if args.job == "prices":
+    if args.job == "price-stream":
+        from sitegauge.streaming.price_history import start
+        out = args.out.rstrip("/")
+        query = start(spark, args.source, f"{out}/log", f"{out}/final", args.checkpoint,
+                      available_now=not args.continuous)
+        query.awaitTermination()
+        result = {"log": f"{out}/log", "final": f"{out}/final"}
+    elif args.job == "prices":
         pages = spark.read.schema(PAGES).parquet(args.pages)
         result = run_price_history(spark, pages, args.run_date, args.out)
     elif args.inputs:

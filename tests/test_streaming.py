@@ -27,3 +27,13 @@ def test_incremental_keep_first(spark, scratch):
     start(spark, f"{src}/*", log, final, ckpt).awaitTermination()
     assert spark.read.parquet(final).count() == 3
     assert spark.read.parquet(final).where(F.col("day") == "2018-08-27").count() == 1
+
+
+def test_stream_command_line(spark, scratch):
+    from sitegauge.jobs import main
+    src = os.path.join(scratch, "drops")
+    os.makedirs(src)
+    drop(spark, src, "run1", [ROW + (1,)])
+    out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+    main(["price-stream", "--source", f"{src}/*", "--out", out, "--checkpoint", ckpt])
+    assert spark.read.parquet(f"{out}/final").count() == 1
