@@ -135,8 +135,10 @@ def _tags(window: PeriodWindow) -> Column:
     y, m = F.col("year"), F.col("month")
     Y, M, ppe, label = window.max_year, window.max_month, window.prev_period_end, window.label
 
+    # Slot keys are produced as long, the type of every downstream join key,
+    # so the totals keep the partitioning of their aggregate into the joins.
     def tag(year: Column, trim: Column, ptd: bool, role: str) -> Column:
-        return F.struct(year.cast("int").alias("p_year"), trim.cast("int").alias("p_trim"),
+        return F.struct(year.cast("long").alias("p_year"), trim.cast("long").alias("p_trim"),
                         F.lit(ptd).alias("is_ptd"), F.lit(role).alias("role"))
 
     trim = trimester(m)

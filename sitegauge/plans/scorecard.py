@@ -134,12 +134,20 @@ def score_table(kpis: DataFrame, survey: DataFrame) -> DataFrame:
     is in pandas); a missing survey ratio makes its points and the total
     NULL. Thresholds are compared on the unrounded double KPIs (T15).
     """
+    # The survey row of wave yyyy+t serves the closed slot (yyyy, t) and the
+    # period-to-date slot of the same label. Keying the join exactly like the
+    # KPI rows (site, year, trimester, is_ptd) means only the survey side is
+    # shuffled; the KPI rows keep the partitioning of the totals join.
+    ratios = survey.select(
+        "site_id",
+        F.substring("wave_id", 1, 4).try_cast("long").alias("year"),
+        F.expr("substring(wave_id, 5)").try_cast("long").alias("trimester"),
+        F.explode(F.array(F.lit(False), F.lit(True))).alias("is_ptd"),
+        "service_ratio", "facility_ratio", "experience_score")
     wave = F.concat(F.col("year").cast("string"), F.col("trimester").cast("string"))
-    ratios = survey.select("site_id", "wave_id", "service_ratio", "facility_ratio",
-                           "experience_score")
     scored = (kpis.where(F.col("score_ok")).drop("score_ok")
-              .withColumn("wave_id", wave)
-              .join(ratios, ["site_id", "wave_id"], "left"))
+              .join(ratios, ["site_id", "year", "trimester", "is_ptd"], "left")
+              .withColumn("wave_id", wave))
     pts = scored.select(
         "*",
         penetration_points(F.col("penetration")).alias("penetration_points"),
