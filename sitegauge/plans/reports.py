@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from sitegauge.operators.reshape import strict_pivot
 from sitegauge.plans.periods import Pair
-from sitegauge.plans.scorecard import (Scorecard, owner_region_averages, owner_vs_region_survey,
-                                       region_rank)
+from sitegauge.plans.scorecard import (CARRIED, Scorecard, owner_region_averages,
+                                       owner_vs_region_survey, region_rank)
 
 # Output names of the long measures in the wide scored table.
 WIDE_NAMES = {
@@ -62,7 +62,8 @@ def _partition_keys(df: DataFrame) -> DataFrame:
 def write_scored(sc: Scorecard, root: str, run_date: dt.date) -> str:
     """The full long scored table under ``run_date=`` (Z3)."""
     path = f"{root.rstrip('/')}/scored/run_date={run_date.isoformat()}"
-    sc.scored.join(sc.sites, "site_id", "left").write.mode("overwrite").parquet(path)
+    extra = sc.sites.drop(*[c for c in CARRIED if c in sc.scored.columns])
+    sc.scored.join(extra, "site_id", "left").write.mode("overwrite").parquet(path)
     return path
 
 

@@ -93,20 +93,28 @@ def _slot_array(pairs: list[Pair]) -> Column:
         for p in pairs])
 
 
+# Site attributes carried along every slot row, so that ranking and averages
+# need no join back to the sites (the slot rows keep the totals' partitioning).
+CARRIED = ("region", "owner_name")
+
+
 def kpi_table(roster: DataFrame, totals: DataFrame, plan: PeriodPlan) -> DataFrame:
     """Growth and penetration per roster site and KPI slot (K1-K4).
 
     A slot is present for every roster site once its inputs exist for any
     site; a site without rows gets NULL KPIs, which later earn 0 points.
     """
+    carry = [c for c in CARRIED if c in roster.columns]
     if not plan.pairs:
-        return (roster.select("site_id").limit(0)
-                .select("site_id", *[F.lit(None).cast(t).alias(c) for c, t in _KPI_TYPES]))
-    slots = roster.select("site_id", F.explode(_slot_array(plan.pairs)).alias("s")).select(
-        "site_id", *[F.col(f"s.{c}").alias(c) for c in (*PAIR_COLS, "pen_ok", "score_ok")])
+        return (roster.select("site_id", *carry).limit(0)
+                .select("site_id", *carry,
+                        *[F.lit(None).cast(t).alias(c) for c, t in _KPI_TYPES]))
+    slots = roster.select("site_id", *carry, F.explode(_slot_array(plan.pairs)).alias("s")).select(
+        "site_id", *carry,
+        *[F.col(f"s.{c}").alias(c) for c in (*PAIR_COLS, "pen_ok", "score_ok")])
     joined = slots.join(totals, ["site_id", *PAIR_COLS], "left")
     return joined.select(
-        "site_id", *PAIR_COLS, "score_ok",
+        "site_id", *carry, *PAIR_COLS, "score_ok",
         "volume", "prev_volume", "premium_volume", "prev_premium_volume", "loyalty_volume",
         growth("volume", "prev_volume").alias("volume_growth"),
         growth("premium_volume", "prev_premium_volume").alias("premium_growth"),
@@ -186,9 +194,9 @@ def build_scorecard(world, period_label: int | None = None) -> Scorecard:
     plan = plan_pairs(months, window, waves)
     if totals is None:
         totals = monthly.limit(0)
-    kpis = kpi_table(roster, totals, plan)
-    scored = score_table(kpis, survey)
     sites = enrich_sites(roster, world.hierarchy)
+    kpis = kpi_table(sites, totals, plan)
+    scored = score_table(kpis, survey)
     return Scorecard(world.name, calendar, plan, roster, sites, survey, totals, kpis, scored)
 
 
@@ -206,7 +214,7 @@ def region_rank(sc: Scorecard) -> DataFrame:
     total descending, NULL totals last, ties by site id; NULL region ->
     NULL rank. No current slot (its inputs are missing) -> empty (D19)."""
     cur = current_slot(sc)
-    base = sc.scored.join(sc.sites.select("site_id", "region", "owner_name"), "site_id", "left")
+    base = sc.scored
     if cur is None:
         base = base.limit(0)
     else:
@@ -222,14 +230,16 @@ def owner_region_averages(sc: Scorecard) -> DataFrame:
     slot of the report years (K8, A4, J6). NULL owners or regions form no
     group; the region mean covers every site of the region."""
     years = sc.calendar.report_years()
-    scored = (sc.scored.where(F.col("year").isin(*years))
-              .join(sc.sites.select("site_id", "region", "owner_name"), "site_id", "left")
-              .withColumn("wave_id", F.concat(F.col("year").cast("string"),
-                                              F.col("trimester").cast("string"))))
-    owner_avg = mean_by(scored, ["owner_name", "region", "wave_id"], ["total"]) \
-        .withColumnRenamed("total", "owner_avg")
-    region_avg = mean_by(scored, ["region", "wave_id"], ["total"]) \
-        .withColumnRenamed("total", "region_avg")
+    # One pass over the scored rows: sum and non-NULL count per (region,
+    # wave, owner), NULL owners included; both means derive from that small
+    # table (a mean of means would weight owners, not sites).
+    parts = (sc.scored.where(F.col("year").isin(*years) & F.col("region").isNotNull())
+             .groupBy("region", "wave_id", "owner_name")
+             .agg(F.sum("total").alias("_s"), F.count("total").alias("_n")))
+    owner_avg = parts.where(F.col("owner_name").isNotNull()).select(
+        "region", "wave_id", "owner_name", F.try_divide("_s", "_n").alias("owner_avg"))
+    region_avg = parts.groupBy("region", "wave_id").agg(
+        F.try_divide(F.sum("_s"), F.sum("_n")).alias("region_avg"))
     return owner_avg.join(region_avg, ["region", "wave_id"], "left")
 
 
