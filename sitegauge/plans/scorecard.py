@@ -6,13 +6,16 @@ exist only in :mod:`sitegauge.plans.reports`.
 
 Scale notes:
 
-* the only driver-side reads are the window (one row per fact) and the
-  slot plan (one row per period slot): both are bounded by the calendar,
-  not by the data;
+* the only driver-side reads are the (source, year, month) triples present
+  and the survey wave list: both are bounded by the calendar, not by the
+  data, and they run side by side;
 * the roster x scored-period product is an ``explode`` of a literal array of
-  at most seven period slots per site, not a join;
-* every join is keyed by ``site_id`` (facts, survey, hierarchy) or by a
-  table whose size is bounded by construction (region assignment);
+  at most seven period slots per site, not a join; region and owner ride on
+  those rows, so ranking and averages never join back to the sites;
+* the KPI and score joins are keyed exactly like the totals aggregate
+  (site, year, trimester, is_ptd), so its exchange serves both; the other
+  joins are on ``site_id`` or against a table bounded by construction
+  (region assignment, broadcast after a row-count check);
 * the rank is computed with :func:`rank_within`, which splits a region that
   holds a large share of all sites over many tasks.
 """
@@ -59,7 +62,7 @@ class Scorecard:
     sites: DataFrame         # roster + hierarchy (owner_name, ...)
     survey: DataFrame        # canonical survey rows with ratios
     totals: DataFrame        # period totals per site
-    kpis: DataFrame          # roster sites x KPI slots
+    kpis: DataFrame          # roster sites x KPI slots (with region, owner)
     scored: DataFrame        # roster sites x scored slots, with points
 
 
