@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,12 +80,34 @@ def concurrently(*jobs: Callable):
     """Run independent driver-side actions at the same time and return their
     results in order. Spark schedules jobs from several driver threads side
     by side, so two materialisations that each leave executors idle (a
-    narrow scan, a small aggregate) overlap instead of queueing."""
+    narrow scan, a small aggregate) overlap instead of queueing.
+
+    Threads are :class:`pyspark.InheritableThread`, so the caller's job
+    group, description and scheduler pool carry over (cancelling the
+    caller's job group cancels these jobs too). The first error is raised.
+    """
     if len(jobs) == 1:
         return [jobs[0]()]
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = [pool.submit(job) for job in jobs]
-        return [f.result() for f in futures]
+    from pyspark import InheritableThread
+
+    results: list = [None] * len(jobs)
+    errors: list = [None] * len(jobs)
+
+    def run(i: int, job: Callable) -> None:
+        try:
+            results[i] = job()
+        except BaseException as e:  # noqa: BLE001 - re-raised below
+            errors[i] = e
+
+    threads = [InheritableThread(target=run, args=(i, job)) for i, job in enumerate(jobs)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    for e in errors:
+        if e is not None:
+            raise e
+    return results
 
 
 def freeze_many(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:

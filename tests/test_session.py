@@ -40,3 +40,12 @@ def test_configured_checkpoint_dir_is_used():
 def test_local_master_gets_a_scratch_folder():
     s = _Session("local[2]")
     assert ensure_checkpoint_dir(s).startswith("/")
+
+
+def test_concurrently_keeps_order_and_raises(spark):
+    from sitegauge.session import concurrently
+    spark.sparkContext.setJobGroup("grp", "test group")
+    assert concurrently(lambda: spark.range(5).count(), lambda: 7) == [5, 7]
+    with pytest.raises(ValueError):
+        concurrently(lambda: 1, lambda: (_ for _ in ()).throw(ValueError("boom")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
