@@ -35,6 +35,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only when unset.
 
@@ -42,19 +50,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; a machine-local temporary folder is only
     acceptable when the master is local (tests, laptop runs).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if sc is None:
+            return configured
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(for example an object-store or HDFS folder) before running jobs")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sitegauge-ckpt-"))
+    folder = tempfile.mkdtemp(prefix="sitegauge-ckpt-")
+    if sc is None:
+        return folder
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -88,7 +102,14 @@ def concurrently(*jobs: Callable):
     """
     if len(jobs) == 1:
         return [jobs[0]()]
-    from pyspark import InheritableThread
+    import threading
+
+    try:
+        from pyspark import InheritableThread
+        from pyspark import SparkContext
+        thread_class = InheritableThread if SparkContext._active_spark_context else threading.Thread
+    except ImportError:
+        thread_class = threading.Thread
 
     results: list = [None] * len(jobs)
     errors: list = [None] * len(jobs)
@@ -99,7 +120,7 @@ def concurrently(*jobs: Callable):
         except BaseException as e:  # noqa: BLE001 - re-raised below
             errors[i] = e
 
-    threads = [InheritableThread(target=run, args=(i, job)) for i, job in enumerate(jobs)]
+    threads = [thread_class(target=run, args=(i, job)) for i, job in enumerate(jobs)]
     for t in threads:
         t.start()
     for t in threads:
