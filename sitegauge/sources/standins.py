@@ -17,6 +17,7 @@ with the data. The same definitions are written in SQL in
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +50,7 @@ class World:
     hierarchy: DataFrame
     volume_records: DataFrame      # site_id, ts, volume, premium_volume (record level)
     loyalty_records: DataFrame     # location_master{location_number}, ts, loyalty_volume
-    survey_files: list[DataFrame]  # legacy layout, current layout
+    survey_files: Sequence[DataFrame]  # legacy layout, current layout
     assignment: DataFrame          # territory_manager, region
 
 
@@ -107,6 +108,31 @@ def _survey_files(survey: DataFrame, split_year: int) -> list[DataFrame]:
     return [legacy, current]
 
 
+class SurveyFiles:
+    """The survey as two layout files, rendered on first use from one
+    materialised canonical survey: the fact table is aggregated once for
+    both files instead of once per file."""
+
+    def __init__(self, survey: DataFrame, split_year: int):
+        self._survey, self._split_year, self._files = survey, split_year, None
+
+    def _render(self) -> list[DataFrame]:
+        if self._files is None:
+            from sitegauge.session import freeze
+            self._files = _survey_files(freeze(self._survey, "standin-survey"),
+                                        self._split_year)
+        return self._files
+
+    def __iter__(self):
+        return iter(self._render())
+
+    def __len__(self) -> int:
+        return len(self._render())
+
+    def __getitem__(self, i: int) -> DataFrame:
+        return self._render()[i]
+
+
 def _assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (nation.where(F.col("n_nationkey") != UNASSIGNED_NATION_KEY)
@@ -153,7 +179,7 @@ def customer_world(spark: SparkSession, sf_dir: str) -> World:
                                F.col("r_name").alias("sales_manager"))
     survey = _survey_rows(seeds, managers)
     return World("customer", CUSTOMER_RUN_DATE, roster, hierarchy, volume, loyalty,
-                 _survey_files(survey, CUSTOMER_RUN_DATE.year), _assignment(spark, sf_dir))
+                 SurveyFiles(survey, CUSTOMER_RUN_DATE.year), _assignment(spark, sf_dir))
 
 
 def supplier_world(spark: SparkSession, sf_dir: str) -> World:
@@ -189,7 +215,7 @@ def supplier_world(spark: SparkSession, sf_dir: str) -> World:
                                F.col("r_name").alias("sales_manager"))
     survey = _survey_rows(seeds, managers)
     return World("supplier", SUPPLIER_RUN_DATE, roster, hierarchy, volume, loyalty,
-                 _survey_files(survey, SUPPLIER_RUN_DATE.year), _assignment(spark, sf_dir))
+                 SurveyFiles(survey, SUPPLIER_RUN_DATE.year), _assignment(spark, sf_dir))
 
 
 def price_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
