@@ -15,8 +15,8 @@ def zero_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def score_by_denominator(scored: DataFrame, den: str, num: str, values) -> DataFrame:
-    """Counts of each score by its denominator (the reference's crosstab of
-    TLAG_denom vs TLAG)."""
+    """Counts of each score by its denominator (the in-line check of the
+    service score against its denominator)."""
     return contingency(scored, den, num, values)
 
 

@@ -390,7 +390,7 @@ def _sql_queries() -> dict[str, str]:
             FROM {{w}}_owner_avg"""),
         "scored_wide": per_world("SELECT site_id, " + ", ".join(
             f"max(CASE WHEN wave_id = {q(wv)} THEN {c} END) AS {n}_{wv}"
-            for wv in waves for c, n in (("total", "PMTDR_Score"), ("volume_growth", "Gas_Growth"),
+            for wv in waves for c, n in (("total", "Total_Score"), ("volume_growth", "Volume_Growth"),
                                          ("penetration", "Loyalty_Pen")))
             + " FROM {w}_scored WHERE NOT is_ptd GROUP BY site_id"),
         "member_vs_other": per_world("SELECT region, wave_id, " + ", ".join(

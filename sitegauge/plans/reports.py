@@ -18,13 +18,15 @@ from sitegauge.plans.periods import Pair
 from sitegauge.plans.scorecard import (CARRIED, Scorecard, owner_region_averages,
                                        owner_vs_region_survey, region_rank)
 
-# Output names of the long measures in the wide scored table.
+# Names of the long measures in the wide scored table; columns are
+# ``<name>_<slot>`` with slot ``yyyyt`` or ``yyyyPTDt``.
 WIDE_NAMES = {
-    "volume": "Gas", "premium_volume": "VPower", "loyalty_volume": "Loyalty",
-    "volume_growth": "Gas_Growth", "premium_growth": "VPower_Growth",
+    "volume": "Volume", "premium_volume": "Premium", "loyalty_volume": "Loyalty",
+    "volume_growth": "Volume_Growth", "premium_growth": "Premium_Growth",
     "penetration": "Loyalty_Pen", "penetration_points": "Loyalty_Pen_Score",
-    "volume_points": "Gas_Score", "premium_points": "VPower_Score",
-    "service_points": "TLAG_Score", "facility_points": "SRR_Score", "total": "PMTDR_Score",
+    "volume_points": "Volume_Score", "premium_points": "Premium_Score",
+    "service_points": "Service_Score", "facility_points": "Facility_Score",
+    "total": "Total_Score",
 }
 UNASSIGNED = "__unassigned__"
 

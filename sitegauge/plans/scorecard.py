@@ -1,7 +1,7 @@
 """Site scorecard in long form.
 
 Every fact stays one row per ``(site_id, year, trimester, is_ptd)``; the
-reference's run-time column names (``Gas_20012``, ``PMTDR_Score_20013`` ...)
+run-time column names of the wide report (``Volume_20012``, ``Total_Score_20013``)
 exist only in :mod:`sitegauge.plans.reports`.
 
 Scale notes:

@@ -253,14 +253,14 @@ def q_score_average_sheet(world, card):
     return out.select("region", "owner_name", "period", "label", _r(F.col("value")).alias("value"))
 
 
-WIDE_MEASURES = {"total": "PMTDR_Score", "volume_growth": "Gas_Growth",
+WIDE_MEASURES = {"total": "Total_Score", "volume_growth": "Volume_Growth",
                  "penetration": "Loyalty_Pen"}
 
 
 @_per_world
 def q_scored_wide(world, card):
-    """Closed periods of the report years as reference-named columns
-    (``PMTDR_Score_20012`` ...), one row per scored roster site (P7, P8, Z3).
+    """Closed periods of the report years as ``<measure>_<yyyyt>`` columns
+    (``Total_Score_20012`` ...), one row per scored roster site (P7, P8, Z3).
     The column set comes from the run date, so it is fixed per run; periods
     without a score are NULL columns."""
     slots = report_waves(world.run_date)

@@ -23,8 +23,7 @@ SOURCE_NAMES = {
     "roster": {"OPCO": "region", "CO/DO": "district", "LOCATION NO": "site_id"},
     "hierarchy": {"Location_Number__c": "site_id", "Sold_To_Name__c": "owner_name",
                   "Sold_To_Number__c": "owner_number", "Street__c": "address", "City__c": "city"},
-    "volume": {"Location_Number": "site_id", "Date": "ts", "Gas": "volume",
-               "VPower": "premium_volume"},
+    "volume": {"Location_Number": "site_id", "Date": "ts"},
     "loyalty": {"Location_Number": "site_id", "Date": "ts", "Loyalty": "loyalty_volume"},
     "assignment": {"TERRITORY MANAGER": "territory_manager", "OPCO/Region": "region"},
 }

@@ -51,7 +51,7 @@ def test_scorecard_from_exported_files(spark, scratch):
         "roster.csv": 'OPCO,CO/DO,LOCATION NO\n"NORTH ",d1,101\nnorth,d1,102\n',
         "hierarchy.csv": "Location_Number__c,Sold_To_Name__c,Sold_To_Number__c,Street__c,City__c\n"
                          "101,Own1,1,a st,x\n102,Own1,1,b st,y\n",
-        "volume.csv": "Location_Number,Date,Gas,VPower\n"
+        "volume.csv": "Location_Number,Date,volume,premium_volume\n"
                       "101,2017-06-15,100,200\n101,2018-06-15,102,207\n101,2018-02-01,50,0\n"
                       "101,2017-02-01,40,0\n102,2017-05-20,0,0\n102,2018-05-20,5,5\n",
         "loyalty.csv": "Location_Number,Date,Loyalty\n101,2018-06-20,10\n102,2018-05-21,0.5\n",

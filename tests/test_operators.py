@@ -132,13 +132,13 @@ def test_latest_month_and_contingency(spark):
 
 def test_strict_pivot_names_and_duplicates(spark):
     df = spark.createDataFrame([("s1", "20181", 0.5, 1.0), ("s1", "20182", 0.7, None)],
-                               "site string, wave string, TLAG double, SRR double")
-    wide = strict_pivot(df, ["site"], "wave", ["20181", "20182"], ["TLAG", "SRR"])
-    assert wide.columns == ["site", "TLAG_20181", "SRR_20181", "TLAG_20182", "SRR_20182"]
+                               "site string, wave string, service double, facility double")
+    wide = strict_pivot(df, ["site"], "wave", ["20181", "20182"], ["service", "facility"])
+    assert wide.columns == ["site", "service_20181", "facility_20181", "service_20182", "facility_20182"]
     assert tuple(wide.first()) == ("s1", 0.5, 1.0, 0.7, None)
     dup = df.union(df.limit(1))
     with pytest.raises(PySparkException):
-        strict_pivot(dup, ["site"], "wave", ["20181", "20182"], ["TLAG"]).collect()
+        strict_pivot(dup, ["site"], "wave", ["20181", "20182"], ["service"]).collect()
 
 
 def test_melt_keeps_nulls_and_pivot_mean(spark):

@@ -113,7 +113,7 @@ def test_reports_partitioned(card, world, spark, scratch):
 
 def test_wide_names(card):
     wide = wide_scored(card)
-    for c in ("PMTDR_Score_2018PTD2", "Gas_Growth_2018PTD2", "Loyalty_Pen_Score_2018PTD2", "Rank_20182"):
+    for c in ("Total_Score_2018PTD2", "Volume_Growth_2018PTD2", "Loyalty_Pen_Score_2018PTD2", "Rank_20182"):
         assert c in wide.columns
     assert wide.count() == 3
 
