@@ -2,6 +2,7 @@
 map-side combine before every shuffle of raw facts."""
 
 import datetime as dt
+import re
 
 
 from conftest import SF001
@@ -70,3 +71,23 @@ def test_snapshot_read_or_build(spark, scratch):
     assert a.count() == b.count() == 3 and len(calls) == 1
     read_or_build_snapshot(spark, scratch, "hier", day + dt.timedelta(days=1), build)
     assert len(calls) == 2
+
+
+def test_score_joins_reuse_totals_partitioning(spark):
+    """Static plan (no AQE, no broadcast): the KPI and score joins are keyed
+    like the totals aggregate, so only the slot rows and the survey are
+    shuffled for them; nothing is re-shuffled by wave."""
+    from sitegauge.sources.standins import supplier_world
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        card = sc.build_scorecard(supplier_world(spark, SF001))
+        text = re.sub(r"#\d+L?", "", plan_text(card.scored))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "hashpartitioning(site_id, wave_id" not in text
+    assert text.count("Exchange hashpartitioning(site_id, year, trimester, is_ptd") == 2
+    assert text.count("Exchange hashpartitioning(site_id, _groupingexpression") == 1
