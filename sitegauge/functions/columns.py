@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 # Fixed values that must equal the reference's behaviour.
 # Characters removed from money text before parsing it as a number.
 MONEY_STRIP_PATTERN = r"[$,]"
-# Text that stands for a missing price in the price log.
-MISSING_PRICE_TOKENS = ("N/A",)
+# Text that stands for a missing price: the price log is re-read with the
+# default missing-value markers of a pandas CSV read.
+MISSING_PRICE_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+                        "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+                        "n/a", "nan", "null")
 
 _INF = float("inf")
 
@@ -32,11 +35,13 @@ def clean_money(c: str | Column) -> Column:
 def parse_money(c: str | Column, null_tokens: Iterable[str] = MISSING_PRICE_TOKENS) -> Column:
     """Money text -> double; missing tokens and unparsable text -> NULL.
 
-    ``try_cast`` keeps ANSI mode from failing the whole job on dirty text.
+    ``try_cast`` keeps ANSI mode from failing the whole job on dirty text; a
+    NaN that still gets through (any spelling not in the list) becomes NULL,
+    never NaN (trap T1).
     """
     raw = F.trim(_col(c))
     tokens = list(null_tokens)
-    parsed = clean_money(raw).try_cast("double")
+    parsed = nan_to_null(clean_money(raw).try_cast("double"))
     if not tokens:
         return parsed
     return F.when(raw.isin(tokens), F.lit(None).cast("double")).otherwise(parsed)

@@ -10,6 +10,7 @@ mistake in a Spark operator shows up as a mismatch.
 from __future__ import annotations
 
 from sitegauge.functions.calendar import reporting_calendar
+from sitegauge.functions.columns import MISSING_PRICE_TOKENS
 from sitegauge.plans.prices import PAGE_SELECTIONS
 from sitegauge.plans.scorecard import SKIP_REGION
 from sitegauge.sources.html import ENTITIES, attribute_pattern, text_pattern
@@ -278,7 +279,8 @@ def per_world(select: str) -> str:
 
 def _price_log() -> str:
     text = "'$' || format('{:,.2f}', l_extendedprice)"
-    parsed = (f"CASE WHEN trim({text}) IN ('N/A') THEN NULL "
+    tokens = ", ".join(q(t) for t in MISSING_PRICE_TOKENS)
+    parsed = (f"CASE WHEN trim({text}) IN ({tokens}) THEN NULL "
               f"ELSE TRY_CAST(regexp_replace(trim({text}), '[$,]', '', 'g') AS DOUBLE) END")
     vendors = ", ".join(f"CASE WHEN l_suppkey % {len(VENDORS)} = {i} THEN {parsed} END AS {v}"
                         for i, v in enumerate(VENDORS))

@@ -51,8 +51,9 @@ def test_title_case_property(spark, texts):
 
 
 def test_money_parsing(spark):
-    got = one(spark, parse_money("s"), [("$1,299.00",), ("N/A",), ("junk",), (" $5 ",)], "s string")
-    assert got == [1299.0, None, None, 5.0]
+    rows = [("$1,299.00",), ("N/A",), ("junk",), (" $5 ",), ("NaN",), ("nan",), ("",), ("Infinity",)]
+    got = one(spark, parse_money("s"), rows, "s string")
+    assert got == [1299.0, None, None, 5.0, None, None, None, float("inf")]
 
 
 def test_text_slices_and_split(spark):
