@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sitegauge.functions.columns import key_text
 from sitegauge.sources.standins import World
 
 # Column names of the source exports and our names for them.
@@ -62,7 +63,16 @@ def read_role(spark: SparkSession, role: str, path: str) -> DataFrame:
     missing = [c for c, _ in SCHEMAS[role] if c not in raw.columns]
     if missing:
         raise ValueError(f"{role} input {path} lacks columns {missing}")
-    return raw.select(*[F.col(c).try_cast(t).alias(c) for c, t in SCHEMAS[role]])
+    return raw.select(*[_typed(raw, c, t).alias(c) for c, t in SCHEMAS[role]])
+
+
+def _typed(df: DataFrame, c: str, t: str):
+    """Cast to the declared type; a numeric source column declared as text
+    (ids from spreadsheets) goes through bigint, so ``101.0`` never appears
+    (D18)."""
+    if t == "string" and isinstance(df.schema[c].dataType, T.NumericType):
+        return key_text(df, c)
+    return F.col(f"`{c}`").try_cast(t)
 
 
 def world_from_files(spark: SparkSession, run_date: dt.date, roster: str, hierarchy: str,

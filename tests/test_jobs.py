@@ -80,3 +80,11 @@ def test_price_history_empty_scrape(spark, scratch):
     pages = spark.read.parquet(f"{SF001}/pages.parquet")      # no price cells on these pages
     assert run_price_history(spark, pages, dt.date(2018, 8, 26), out) == {
         "scraped_today": 0, "final_rows": 0}
+
+
+def test_numeric_roster_ids_from_parquet(spark, scratch):
+    from sitegauge.sources.inputs import read_role
+    path = os.path.join(scratch, "roster.parquet")
+    spark.createDataFrame([("North", "d1", 101.0)], "OPCO string, `CO/DO` string, `LOCATION NO` double") \
+        .write.parquet(path)
+    assert [r["site_id"] for r in read_role(spark, "roster", path).collect()] == ["101"]
