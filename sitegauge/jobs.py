@@ -49,11 +49,12 @@ def run_price_history(spark: SparkSession, pages: DataFrame, run_date: dt.date,
     return {"scraped_today": seen.get["rows"], "final_rows": kept.get["rows"]}
 
 
-def run_scorecard(world, out: str) -> dict:
+def run_scorecard(world, out: str, snapshots: str | None = None) -> dict:
     """Build the scorecard of one world, write the scored table under its run
     date (Z3) and the three partitioned reports (Z4). Returns the slot plan
-    and a data-quality count (sites with a zero service score, F4)."""
-    card = build_scorecard(world)
+    and a data-quality count (sites with a zero service score, F4). With
+    ``snapshots`` the day's pulls are reused by a re-run (S12)."""
+    card = build_scorecard(world, snapshot_root=snapshots)
     scored = write_scored(card, out, world.run_date)
     reports = write_reports(card, world.assignment, out)
     zero = zero_rows(card.survey, "service_num").count()
@@ -109,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     sc.add_argument("--inputs", help="folder with roster, hierarchy, volume, loyalty, "
                     "assignment (.csv or .parquet) and survey*.csv files")
     sc.add_argument("--out", required=True)
+    sc.add_argument("--snapshots", help="folder of dated pulls reused by same-day re-runs")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -125,10 +127,11 @@ def main(argv: list[str] | None = None) -> None:
         pages = spark.read.schema(PAGES).parquet(args.pages)
         result = run_price_history(spark, pages, args.run_date, args.out)
     elif args.inputs:
-        result = run_scorecard(_world_from_folder(spark, args.inputs, args.run_date), args.out)
+        result = run_scorecard(_world_from_folder(spark, args.inputs, args.run_date), args.out,
+                               args.snapshots)
     else:
         build = customer_world if args.world == "customer" else supplier_world
-        result = run_scorecard(build(spark, args.sf_dir), args.out)
+        result = run_scorecard(build(spark, args.sf_dir), args.out, args.snapshots)
     print(json.dumps(result, default=str))
 
 

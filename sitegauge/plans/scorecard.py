@@ -38,6 +38,7 @@ from sitegauge.plans.periods import (Pair, PeriodPlan, monthly_facts, period_tot
                                      present_months, window_of)
 from sitegauge.plans.survey_scores import survey_ratios
 from sitegauge.session import concurrently, freeze_many
+from sitegauge.sources.snapshot import read_or_build_snapshot
 from sitegauge.sources.survey import normalise_files
 
 # Fixed values of the scoring rule (points per KPI band).
@@ -174,21 +175,32 @@ def score_table(kpis: DataFrame, survey: DataFrame) -> DataFrame:
         + F.col("service_points") + F.col("facility_points"))
 
 
-def build_scorecard(world, period_label: int | None = None) -> Scorecard:
+def build_scorecard(world, period_label: int | None = None,
+                    snapshot_root: str | None = None) -> Scorecard:
     """Everything a run derives. ``period_label`` overrides the period
     number taken from the data (D2); by default it is the trimester of the
-    latest data month."""
+    latest data month. With ``snapshot_root`` the two pulls (monthly facts,
+    survey) are dated snapshots: a second run on the same run date reads
+    them instead of pulling again (S12)."""
     calendar = reporting_calendar(world.run_date)
     roster = prepare_roster(world.roster)
     # Monthly facts feed the window, the slot plan and the totals; the survey
     # feeds the wave list, the score join and both sides of the
     # members-vs-others comparison. Both are materialised once, side by side
     # (independent inputs), then the two small driver reads run side by side.
-    frozen = freeze_many({
-        "monthly": monthly_facts(world.volume_records, world.loyalty_records, world.roster,
-                                 calendar),
-        "survey": survey_table(world)})
-    monthly, survey = frozen["monthly"], frozen["survey"]
+    pulls = {
+        "monthly": lambda: monthly_facts(world.volume_records, world.loyalty_records,
+                                         world.roster, calendar),
+        "survey": lambda: survey_table(world)}
+    if snapshot_root is None:
+        frozen = freeze_many({name: pull() for name, pull in pulls.items()})
+        monthly, survey = frozen["monthly"], frozen["survey"]
+    else:
+        spark = world.roster.sparkSession
+        monthly, survey = concurrently(*[
+            (lambda n=name, p=pull: read_or_build_snapshot(
+                spark, snapshot_root, f"{world.name}_{n}", world.run_date, p))
+            for name, pull in pulls.items()])
     months, waves = concurrently(
         lambda: present_months(monthly),
         lambda: {r[0] for r in survey.select("wave_id").distinct().collect()})

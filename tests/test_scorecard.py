@@ -132,3 +132,16 @@ def test_no_facts_gives_empty_outputs(world):
     assert card.scored.count() == 0
     assert sc.region_rank(card).count() == 0
     assert sc.owner_region_averages(card).count() == 0
+
+
+def test_same_day_rerun_reads_snapshots(world, spark, scratch):
+    import dataclasses
+    first = sc.build_scorecard(world, snapshot_root=scratch)
+    assert os.path.isdir(os.path.join(scratch, "hand_monthly", "run_date=2018-08-10"))
+    # A re-run whose sources are gone still scores from the day's snapshots.
+    gone = dataclasses.replace(world, volume_records=world.volume_records.limit(0),
+                               loyalty_records=world.loyalty_records.limit(0), survey_files=[])
+    again = sc.build_scorecard(gone, snapshot_root=scratch)
+    key = ["site_id", "year", "trimester", "is_ptd", "total"]
+    assert sorted(map(tuple, first.scored.select(key).collect())) == \
+        sorted(map(tuple, again.scored.select(key).collect()))
