@@ -1,7 +1,10 @@
 """Run each registered query in Spark and its oracle SQL in DuckDB on the
 same parquet tables; compare row count, column names and sorted values.
 
-usage: python tools/oracle_check.py [sf_dir] [query ...]
+usage: python tools/oracle_check.py [--exact] [sf_dir] [query ...]
+
+Doubles are compared after rounding to 9 places; with ``--exact`` they must
+be equal bit for bit.
 """
 
 from __future__ import annotations
@@ -23,12 +26,17 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (0, "")
+        if EXACT:
+            return (1, v.hex())
         return (1, repr(round(v, 9)) if math.isfinite(v) else repr(v))
     if hasattr(v, "item"):
         v = v.item()
@@ -65,6 +73,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
+    global EXACT
+    if "--exact" in argv:
+        EXACT = True
+        argv = [a for a in argv if a != "--exact"]
     sys.path.insert(0, ".")
     from sitegauge.oracle_sql import SQL
     from sitegauge.registry import QUERIES
