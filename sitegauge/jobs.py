@@ -114,8 +114,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
-    spark = build_session(master=args.master) if args.master else \
-        SparkSession.builder.getOrCreate()
+    spark = build_session(master=args.master, shuffle_partitions=None)
     if args.job == "price-stream":
         from sitegauge.streaming.price_history import start
         out = args.out.rstrip("/")

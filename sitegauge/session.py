@@ -9,17 +9,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app: str = "sitegauge", extra: dict | None = None) -> SparkSession:
     """Session with the settings every job here assumes.
 
     AQE re-plans joins and coalesces partitions at runtime; skew-join splitting
-    is on; the UI server stays off; timestamps are read as UTC.
+    is on; the UI server stays off; timestamps are read as UTC. ``master=None``
+    leaves the master to ``spark-submit``; ``shuffle_partitions=None`` keeps
+    the cluster's setting.
     """
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        builder
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -31,7 +36,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
