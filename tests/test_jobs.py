@@ -88,3 +88,13 @@ def test_numeric_roster_ids_from_parquet(spark, scratch):
     spark.createDataFrame([("North", "d1", 101.0)], "OPCO string, `CO/DO` string, `LOCATION NO` double") \
         .write.parquet(path)
     assert [r["site_id"] for r in read_role(spark, "roster", path).collect()] == ["101"]
+
+
+def test_export_missing_column_is_reported(spark, scratch):
+    import pytest
+    from sitegauge.sources.inputs import read_role
+    path = os.path.join(scratch, "hierarchy.csv")
+    with open(path, "w") as f:
+        f.write("Location_Number__c,Sold_To_Name__c\n101,Own1\n")
+    with pytest.raises(ValueError, match="owner_number"):
+        read_role(spark, "hierarchy", path)
