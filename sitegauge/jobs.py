@@ -100,6 +100,8 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--source", required=True, help="folder the scraper drops Parquet files into")
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoint", required=True, help="streaming checkpoint (shared storage)")
+    st.add_argument("--format", choices=["parquet", "csv"], default="parquet",
+                    help="file format of the scrape drops")
     st.add_argument("--continuous", action="store_true",
                     help="keep running (one micro-batch a minute) instead of draining once")
     sc = sub.add_parser("scorecard")
@@ -119,7 +121,7 @@ def main(argv: list[str] | None = None) -> None:
         from sitegauge.streaming.price_history import start
         out = args.out.rstrip("/")
         query = start(spark, args.source, f"{out}/log", f"{out}/final", args.checkpoint,
-                      available_now=not args.continuous)
+                      available_now=not args.continuous, source_format=args.format)
         query.awaitTermination()
         result = {"log": f"{out}/log", "final": f"{out}/final"}
     elif args.job == "prices":

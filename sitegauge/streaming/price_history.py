@@ -72,12 +72,20 @@ def process_batch(batch: DataFrame, batch_id: int, log_path: str, final_path: st
 
 def start(spark: SparkSession, source_dir: str, log_path: str, final_path: str,
           checkpoint: str, available_now: bool = True,
-          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the job; ``checkpoint`` must be on shared storage on a cluster."""
+          max_files_per_trigger: int | None = None, source_format: str = "parquet") -> StreamingQuery:
+    """Start the job; ``checkpoint`` must be on shared storage on a cluster.
+    Scrape drops are Parquet, or CSV with a header (``source_format="csv"``);
+    either way they are read with the declared scrape schema."""
     reader = spark.readStream.schema(SCRAPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
+    if source_format == "csv":
+        stream = (reader.option("header", True).option("quote", '"').option("escape", '"')
+                  .csv(source_dir))
+    elif source_format == "parquet":
+        stream = reader.parquet(source_dir)
+    else:
+        raise ValueError(f"source_format must be 'parquet' or 'csv', not {source_format!r}")
     writer = (stream.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, bid, log_path, final_path))
               .option("checkpointLocation", checkpoint))

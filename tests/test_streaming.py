@@ -37,3 +37,16 @@ def test_stream_command_line(spark, scratch):
     out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
     main(["price-stream", "--source", f"{src}/*", "--out", out, "--checkpoint", ckpt])
     assert spark.read.parquet(f"{out}/final").count() == 1
+
+
+def test_csv_drops(spark, scratch):
+    src = os.path.join(scratch, "csv")
+    os.makedirs(src)
+    with open(os.path.join(src, "scrape1.csv"), "w") as f:
+        f.write('product,apple,amazon,adorama,macmall,bestbuy,b_and_h,date,ingest_seq\n'
+                '"Item, 13in","$1,299.00",N/A,N/A,N/A,N/A,N/A,08/26/2018,1\n'
+                '"Item, 13in","$1,100.00",N/A,N/A,N/A,N/A,N/A,08/26/2018,2\n')
+    out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+    start(spark, src, f"{out}/log", f"{out}/final", ckpt, source_format="csv").awaitTermination()
+    rows = spark.read.parquet(f"{out}/final").collect()
+    assert [(r["product"], r["apple"]) for r in rows] == [("Item, 13in", 1299.0)]
