@@ -51,7 +51,11 @@ def main() -> None:
             dt = time.perf_counter() - t0
             best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    sf_text = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf: float | str = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
                       "repeat": repeat}))
