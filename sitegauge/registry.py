@@ -66,19 +66,23 @@ def _per_world(fn: Callable) -> Query:
 # --- price history --------------------------------------------------------
 
 def q_prices_clean(spark, sf_dir):
+    """Every price-log row with money text parsed."""
     return cleaned_log(spark, sf_dir).drop("ingest_order", "ingest_line", "ingest_supplier",
                                            "ingest_amount")
 
 
 def q_prices_dedupe_first(spark, sf_dir):
+    """First row per (product, day) in ingest order."""
     return dedupe_first(cleaned_log(spark, sf_dir))
 
 
 def q_pages_class_text(spark, sf_dir):
+    """Selected texts of every page, one row per (page, kind, position)."""
     return page_texts(table(spark, sf_dir, "pages"))
 
 
 def q_lists_zip(spark, sf_dir):
+    """Navigation link texts and targets zipped by position."""
     return nav_link_pairs(table(spark, sf_dir, "pages"))
 
 
@@ -89,11 +93,13 @@ def _survey(spark, sf_dir):
 
 
 def q_layout_union(spark, sf_dir):
+    """Both survey layouts normalised and unioned."""
     from sitegauge.sources.survey import normalise_files
     return normalise_files(customer_world(spark, sf_dir).survey_files)
 
 
 def q_survey_ratios(spark, sf_dir):
+    """Service and facility ratios per survey row."""
     return _survey(spark, sf_dir).select(
         "site_id", "wave_id", "service_num", "service_den", "service_ratio",
         "facility_num", "facility_den", "facility_ratio")
@@ -114,30 +120,36 @@ def _survey_wide(spark, sf_dir):
 
 
 def q_survey_pivot(spark, sf_dir):
+    """Strict pivot of the survey over the report waves."""
     return _survey_wide(spark, sf_dir)
 
 
 def q_latest_wave(spark, sf_dir):
+    """Latest wave and territory manager per site (A10)."""
     return latest_per_key(_survey(spark, sf_dir), "site_id", "wave_id", ["territory_manager"])
 
 
 def q_wave_counts(spark, sf_dir):
+    """Non-NULL counts per wave."""
     s = _survey(spark, sf_dir).select("wave_id", "site_id", "q7", "q8", "q9", "q10", "q11",
                                       "q12", "q14", "q18", "experience_score")
     return non_null_counts(s, "wave_id")
 
 
 def q_crosstab_counts(spark, sf_dir):
+    """Service score by denominator counts."""
     return contingency(_survey(spark, sf_dir), "service_den", "service_num",
                        SERVICE_NUMERATORS)
 
 
 def q_zero_scores(spark, sf_dir):
+    """Survey rows with a zero service score."""
     return zero_rows(_survey(spark, sf_dir), "service_num").select(
         "site_id", "wave_id", "service_num", "service_den")
 
 
 def q_unpivot_split(spark, sf_dir):
+    """Wide survey melted back, metric and period split out."""
     wide = _survey_wide(spark, sf_dir)
     long = melt(wide, ["site_id"], [c for c in wide.columns if c != "site_id"])
     return long.select("site_id", "variable", "value",
@@ -146,6 +158,7 @@ def q_unpivot_split(spark, sf_dir):
 
 
 def q_pivot_mean(spark, sf_dir):
+    """Mean of each survey metric per region and period."""
     long = q_unpivot_split(spark, sf_dir)
     roster = sc_mod.prepare_roster(customer_world(spark, sf_dir).roster)
     joined = long.join(roster.select("site_id", "region"), "site_id")
@@ -157,6 +170,7 @@ def q_pivot_mean(spark, sf_dir):
 # --- facts and periods ------------------------------------------------------
 
 def q_volume_semi_sum(spark, sf_dir):
+    """Daily volume sums of roster sites from the scan bound on."""
     world = customer_world(spark, sf_dir)
     cal = reporting_calendar(world.run_date)
     return daily_volume(world.volume_records, world.roster, cal.volume_start).select(
@@ -164,6 +178,7 @@ def q_volume_semi_sum(spark, sf_dir):
 
 
 def q_loyalty_by_parent(spark, sf_dir):
+    """Loyalty records keyed through their parent site."""
     world = customer_world(spark, sf_dir)
     cal = reporting_calendar(world.run_date)
     flat = flatten_loyalty(world.loyalty_records)
@@ -173,6 +188,7 @@ def q_loyalty_by_parent(spark, sf_dir):
 
 
 def q_latest_month(spark, sf_dir):
+    """Latest data month of each fact, both worlds (A5)."""
     frames = []
     for name, build in WORLDS:
         world = build(spark, sf_dir)
@@ -202,14 +218,17 @@ def _totals(world) -> DataFrame:
 
 
 def q_period_closed(spark, sf_dir):
+    """Period totals of the closed-period world."""
     return _totals(customer_world(spark, sf_dir))
 
 
 def q_period_open(spark, sf_dir):
+    """Period totals incl. period-to-date of the open-period world."""
     return _totals(supplier_world(spark, sf_dir))
 
 
 def q_running_sum(spark, sf_dir):
+    """Running volume per site over closed periods."""
     totals = _period_totals(customer_world(spark, sf_dir))
     closed = totals.where(~F.col("is_ptd") & F.col("volume").isNotNull()).select(
         "site_id", "year", "trimester", "volume",
@@ -289,17 +308,20 @@ def q_owner_vs_region_survey(world, card):
 
 
 def q_distinct_pairs(spark, sf_dir):
+    """Distinct (region, owner) pairs of the roster."""
     world = customer_world(spark, sf_dir)
     sites = sc_mod.enrich_sites(sc_mod.prepare_roster(world.roster), world.hierarchy)
     return sites.select("region", "owner_name").distinct()
 
 
 def q_hierarchy_enrich(spark, sf_dir):
+    """Roster sites with their owner hierarchy."""
     world = customer_world(spark, sf_dir)
     return sc_mod.enrich_sites(sc_mod.prepare_roster(world.roster), world.hierarchy)
 
 
 def q_title_case_names(spark, sf_dir):
+    """Part names in Python title case."""
     part = table(spark, sf_dir, "part")
     return part.select("p_partkey", "p_name", title_case("p_name").alias("title_name"))
 
