@@ -22,15 +22,17 @@ from sitegauge.operators.quality import observe_rows, zero_rows
 from sitegauge.plans.prices import scrape_prices
 from sitegauge.plans.reports import write_reports, write_scored
 from sitegauge.plans.scorecard import build_scorecard
-from sitegauge.sources.price_log import append_log, write_final_csv
+from sitegauge.sources.price_log import append_log, read_price_log_csv, write_final_csv
 from sitegauge.sources.schemas import PAGES, VENDORS
 
 
 def run_price_history(spark: SparkSession, pages: DataFrame, run_date: dt.date,
-                      out: str) -> dict:
+                      out: str, legacy_log: str | None = None) -> dict:
     """Scrape today's pages, append to the log (one ``snapshot_date``
     partition per run date, replaced on a re-run), keep the first row per
     (product, day) over the whole log and rewrite the final list (Z1, A9, Z2).
+    ``legacy_log`` is a price log in the old CSV form; its rows count as
+    history older than any dated run, in file order (migration).
     Returns row counts in and out (S13)."""
     out = out.rstrip("/")
     today = scrape_prices(pages, run_date).select(
@@ -42,6 +44,12 @@ def run_price_history(spark: SparkSession, pages: DataFrame, run_date: dt.date,
     # Declared schema: a run that scraped nothing still reads (and keeps) the
     # history, and the partition column stays ISO text.
     log = spark.read.schema(today.schema).parquet(f"{out}/log")
+    if legacy_log is not None:
+        old = read_price_log_csv(spark, legacy_log).select(
+            "product", *VENDORS, "date", F.lit(0).cast("long").alias("ingest_page"),
+            F.col("ingest_seq").cast("long").alias("ingest_pos"),
+            F.lit("").alias("snapshot_date"))
+        log = old.unionByName(log)
     final = keep_first(log, ["product", "date"], ["snapshot_date", "ingest_page", "ingest_pos"],
                        keep=["product", *VENDORS, "date"])
     final, kept = observe_rows(final.select("product", *VENDORS, "date"), "final")
@@ -96,6 +104,7 @@ def main(argv: list[str] | None = None) -> None:
     pr.add_argument("--pages", required=True)
     pr.add_argument("--run-date", required=True, type=dt.date.fromisoformat)
     pr.add_argument("--out", required=True)
+    pr.add_argument("--legacy-log", help="an existing price log CSV to continue from")
     st = sub.add_parser("price-stream")
     st.add_argument("--source", required=True, help="folder the scraper drops Parquet files into")
     st.add_argument("--out", required=True)
@@ -126,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
         result = {"log": f"{out}/log", "final": f"{out}/final"}
     elif args.job == "prices":
         pages = spark.read.schema(PAGES).parquet(args.pages)
-        result = run_price_history(spark, pages, args.run_date, args.out)
+        result = run_price_history(spark, pages, args.run_date, args.out, args.legacy_log)
     elif args.inputs:
         result = run_scorecard(_world_from_folder(spark, args.inputs, args.run_date), args.out,
                                args.snapshots)

@@ -98,3 +98,19 @@ def test_export_missing_column_is_reported(spark, scratch):
         f.write("Location_Number__c,Sold_To_Name__c\n101,Own1\n")
     with pytest.raises(ValueError, match="owner_number"):
         read_role(spark, "hierarchy", path)
+
+
+def test_price_history_continues_a_legacy_csv_log(spark, scratch):
+    legacy = os.path.join(scratch, "old_log.csv")
+    with open(legacy, "w") as f:
+        f.write("product,apple,amazon,adorama,macmall,bestbuy,b_and_h,date\n"
+                "Item A,1000.00,N/A,N/A,N/A,N/A,N/A,08/26/2018\n"
+                "Item Z,5.00,N/A,N/A,N/A,N/A,N/A,08/25/2018\n")
+    pages = spark.createDataFrame([(1, "u1", page(["Item A"], ["$1,299.00"], ["N/A"]))],
+                                  "page_id long, url string, html string")
+    out = os.path.join(scratch, "prices")
+    res = run_price_history(spark, pages, dt.date(2018, 8, 26), out, legacy_log=legacy)
+    assert res["final_rows"] == 2
+    final = {(r["product"], r["date"]): r["apple"]
+             for r in spark.read.option("header", True).csv(f"{out}/final").collect()}
+    assert final == {("Item A", "08/26/2018"): "1000.0", ("Item Z", "08/25/2018"): "5.0"}
