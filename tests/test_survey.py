@@ -74,3 +74,15 @@ def test_numeric_ids_never_print_as_doubles(spark):
                                "Q11 string, Q12 string, Q14 string, Q18 string, SESCORE double")
     r = normalise_files([df]).first()
     assert (r["site_id"], r["wave_id"]) == ("101", "20172")
+
+
+def test_file_fitting_both_layouts_uses_wave_year(spark):
+    cols = ("`LOCATION#` string, WAVID string, `TERRITORY MANAGER` string, `SALES MANAGER` string, "
+            "Q7 string, Q8 string, Q9 string, Q10 string, Q11 string, Q12 string, "
+            "Q14 string, Q15 string, Q18 string, Q19 string, SESCORE double")
+    row = ("1", "20172", "T", "S", "Yes", "Yes", "Yes", "Yes", "Yes", "Yes", "No", "Caution", "No", "Yes", 5.0)
+    r = normalise_files([spark.createDataFrame([row], cols)]).first()
+    assert (r["q14"], r["q18"]) == ("Caution", "Yes")        # 2017 -> legacy layout: Q15, Q19
+    row18 = row[:1] + ("20182",) + row[2:]
+    r = normalise_files([spark.createDataFrame([row18], cols)]).first()
+    assert (r["q14"], r["q18"]) == ("No", "No")              # 2018 -> current layout: Q14, Q18
