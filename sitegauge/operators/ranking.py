@@ -20,12 +20,14 @@ from sitegauge.session import freeze
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-                out: str = "rank", slices: int | None = None) -> DataFrame:
+                out: str = "rank", slices: int | None = None,
+                slice_out: str | None = None) -> DataFrame:
     """Row number 1..n per ``group`` in ``order`` (ties must be broken by the
     caller, e.g. with a unique key as the last order column).
 
     Rows with a NULL group value get a NULL rank, like a pandas ``groupby``
-    cumulative sum.
+    cumulative sum. ``slice_out`` names an optional output column with the
+    slice (task) each row was ranked in, for diagnostics.
     """
     group = list(group)
     spark = df.sparkSession
@@ -50,9 +52,12 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     in_slice = Window.partitionBy("_slice", *group).orderBy(*order)
     ranked = (grouped.join(offsets, ["_slice", *group])
               .withColumn(out, (F.row_number().over(in_slice) + F.col("_offset")).cast("long"))
-              .drop("_slice", "_offset"))
-    no_group = sliced.where(~has_group).drop("_slice").withColumn(out, F.lit(None).cast("long"))
-    return ranked.unionByName(no_group)
+              .drop("_offset"))
+    no_group = sliced.where(~has_group).withColumn(out, F.lit(None).cast("long"))
+    result = ranked.unionByName(no_group)
+    if slice_out:
+        return result.withColumnRenamed("_slice", slice_out)
+    return result.drop("_slice")
 
 
 def _all_not_null(cols: Sequence[str]) -> Column:

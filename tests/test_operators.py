@@ -147,3 +147,16 @@ def test_melt_keeps_nulls_and_pivot_mean(spark):
     assert long.count() == 4 and long.where(F.col("value").isNull()).count() == 1
     m = mean_pivot(long.withColumn("g", F.lit("x")), ["g"], "variable", ["a", "b"])
     assert tuple(m.first()) == ("x", 2.0, 4.0)
+
+
+def test_hot_region_is_split_over_slices(spark):
+    df = spark.range(0, 8000, numPartitions=8).select(
+        F.format_string("s%05d", "id").alias("site_id"),
+        F.when(F.col("id") % 5 != 0, F.lit("HOT")).otherwise(F.lit("COLD")).alias("region"),
+        ((F.col("id") * 7919) % 1000).cast("double").alias("total"))
+    ranked = rank_within(df, ["region"], [F.col("total").desc_nulls_last(), F.col("site_id")],
+                         slices=8, slice_out="slice")
+    per_slice = {r["slice"]: r["n"] for r in ranked.where("region = 'HOT'")
+                 .groupBy("slice").agg(F.count("*").alias("n")).collect()}
+    assert len(per_slice) >= 6                      # the hot region spans most slices
+    assert max(per_slice.values()) <= 2 * 8000 / 8  # no slice holds much more than its share
