@@ -73,6 +73,13 @@ def test_scorecard_from_exported_files(spark, scratch):
     raw = {r["site_id"]: r for r in spark.read.parquet(res["reports"]["raw"]).collect()}
     assert raw["102"]["rank"] == 1 and raw["101"]["rank"] == 2
     assert raw["101"]["region"] == "North"
+    # the same run through the command line, with same-day snapshots
+    from sitegauge.jobs import main
+    cli_out = os.path.join(scratch, "cli")
+    main(["scorecard", "--inputs", folder, "--run-date", "2018-08-10", "--out", cli_out,
+          "--snapshots", os.path.join(scratch, "snaps")])
+    cli = {r["site_id"]: r["rank"] for r in spark.read.parquet(f"{cli_out}/raw").collect()}
+    assert cli == {"101": 2, "102": 1}
 
 
 def test_price_history_empty_scrape(spark, scratch):
