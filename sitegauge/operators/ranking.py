@@ -30,8 +30,6 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     slice (task) each row was ranked in, for diagnostics.
     """
     group = list(group)
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     has_group = _all_not_null(group)
     sort_keys = [F.col(g).asc_nulls_last() for g in group] + list(order)
     # Range partitioning samples its input in a job of its own: keep the input
@@ -39,9 +37,13 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     # the bounds are fixed a row's slice depends on its values only, so a
     # recomputed (lost) cache block lands in the same slices. The slice ids
     # are then frozen so the counts and the row numbers see the same slices.
+    # Without an explicit count the range exchange uses the session's shuffle
+    # partitions and AQE may coalesce small ones; coalescing only merges
+    # adjacent ranges, so every slice is still one contiguous, ordered range.
     src = df.persist()
-    sliced = freeze(src.repartitionByRange(n, *sort_keys)
-                    .withColumn("_slice", F.spark_partition_id()), "rank")
+    ranged = (src.repartitionByRange(slices, *sort_keys) if slices
+              else src.repartitionByRange(*sort_keys))
+    sliced = freeze(ranged.withColumn("_slice", F.spark_partition_id()), "rank")
     src.unpersist()
     grouped = sliced.where(has_group)
     counts = grouped.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_n"))
