@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from sitegauge.llm import jaccard
+import corpus_pipeline
+from sitegauge.llm import decontam, jaccard, langid, quality, sentencepiece
 
 QUERIES = {
+    "op3_decontamination": decontam.op3_decontamination,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
+    "op5_langid_centroids": langid.op5_langid_centroids,
+    "op7_quality_ftrl": quality.op7_quality_ftrl,
+    "op8_sentencepiece": sentencepiece.op8_sentencepiece,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {}
