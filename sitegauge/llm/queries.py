@@ -3,15 +3,31 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from sitegauge.llm import decontam, jaccard, langid, quality, sentencepiece
+from sitegauge.llm import (chat, decontam, itq, jaccard, langid, packing, quality, sentencepiece,
+                           urltree, warc)
 
 QUERIES = {
+    "op1_url_template_tree": urltree.op1_url_template_tree,
+    "op2_vector_packing": packing.op2_vector_packing,
     "op3_decontamination": decontam.op3_decontamination,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_langid_centroids": langid.op5_langid_centroids,
+    "op6_chat_template": chat.op6_chat_template,
     "op7_quality_ftrl": quality.op7_quality_ftrl,
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
+    "op9_itq_near_dups": itq.op9_itq_near_dups,
+    "op10_warc_writer": warc.op10_warc_writer,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+#: The archives say what this says; every other operator trains, iterates,
+#: tokenises or shards, and is held against brute force in tests/llm.
+SQL: dict[str, str] = {
+    "op10_warc_writer": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+             d AS (SELECT page_id, n, sha256(h) AS digest,
+                          CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY sha256(h)) END AS first_id FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id < page_id THEN first_id END AS refers_to FROM d""",
+}

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
+import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.session import ensure_checkpoint_dir, freeze  # noqa: F401 - re-exported
+from sitegauge.session import ensure_checkpoint_dir
 
 #: Stand-in ids of classes whose rows all have a null id start here, above real ids.
 NULL_IDS = 1 << 62
@@ -19,14 +17,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` for functions that give dicts of columns per input batch."""
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                for columns in fn(batch):
-                    yield pa.RecordBatch.from_pydict(columns)
-    return df.mapInArrow(run, schema)
+def freeze(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it
+    back: lineage ends there, and a lost executor loses nothing. The result's
+    ``frozen_path`` lets :func:`forget` remove it."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.frozen_path = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove tables that :func:`freeze` wrote and that nothing reads any more."""
+    for df in frames:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.frozen_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bitmap(ids: DataFrame, column: str, bits: int = 1 << 25):
