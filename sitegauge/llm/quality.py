@@ -4,9 +4,10 @@ Features of a text: its tokens (runs of letters, of digits or of punctuation,
 case kept) and pairs of neighbouring tokens, hashed into ``DIMS`` places, and
 the share of pairs whose two tokens are equal as one of eight places, so that
 repetition of any word shows. A value is 1 + ln(count) (the share's place
-weighs as much as all others together), and the vector has length one. The model is trained
-with follow-the-regularised-leader (proximal, L1 and L2) updates over a stream
-of examples in hash order, and scores a text by a sparse dot product.
+weighs as much as all others together), and the vector has length one. The
+model is trained with follow-the-regularised-leader (proximal, L1 and L2)
+updates over a stream of examples in hash order, and scores a text by a sparse
+dot product.
 
 Training reads a sample of labelled rows of a documented expected size
 (``max_rows``), chosen by a hash of the id, as a stream with bounded memory.
@@ -39,13 +40,17 @@ DIMS = 1 << BITS
 
 @dataclass(frozen=True)
 class Ftrl:
-    """Learning rate (alpha, beta), L1 and L2 strength, passes over the sample."""
+    """Learning rate (alpha, beta), L1 and L2 strength, and about how many updates
+    to make (3 to 30 passes over the sample)."""
 
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 0.0005
     l2: float = 0.0005
-    epochs: int = 3
+    updates: int = 36_000
+
+    def epochs(self, rows: int) -> int:
+        return max(3, min(30, self.updates // max(1, rows)))
 
 
 def _classes() -> np.ndarray:
@@ -115,12 +120,13 @@ def weights(z: np.ndarray, n: np.ndarray, params: Ftrl) -> np.ndarray:
     return -kept / ((params.beta + np.sqrt(n)) / params.alpha + params.l2)
 
 
-def sample_ids(labelled: DataFrame, max_rows: int) -> DataFrame:
-    """(doc_id, label) of at most about ``max_rows`` of the labelled ids, by hash."""
+def sample_ids(labelled: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """(doc_id, label) of at most about ``max_rows`` of the labelled ids, by hash,
+    and about how many they are."""
     labelled = freeze(labelled, "labelled")
     total = labelled.count()
     share = 1 << 20 if total <= max_rows else (max_rows << 20) // total
-    return labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
+    return labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share), min(total, max_rows)
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fold=None,
@@ -136,7 +142,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
         usable = usable.where(fold)
     usable = (usable.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("top"))
               .where("label = top").select("doc_id", "label"))
-    ids = sample_ids(usable, max_rows)
+    ids, size = sample_ids(usable, max_rows)
 
     def extract(batches):
         for batch in batches:
@@ -153,7 +159,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
             .mapInArrow(extract, "doc_id long, label int, h long, places binary, vals binary")
             .groupBy("doc_id", "label").agg(F.min_by(F.struct("places", "vals"), "h").alias("x")))
     ordered = (rows.select("doc_id", "label", "x.places", "x.vals",
-                           F.explode(F.sequence(F.lit(1), F.lit(params.epochs))).alias("epoch"))
+                           F.explode(F.sequence(F.lit(1), F.lit(params.epochs(size)))).alias("epoch"))
                .repartition(1).sortWithinPartitions("epoch", F.xxhash64("doc_id"), "doc_id"))
     model = freeze(ordered.mapInArrow(_train(params), "place int, weight double"), "weights").toPandas()
     out = np.zeros(DIMS + 1)
