@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitegauge.llm.tables import freeze
+from sitegauge.llm.tables import forget, freeze
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -44,7 +44,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     last, done = mark(now), False
     while last[0] and not done:
-        now = freeze(_small_star(_large_star(now)), "star")
+        before, now = now, freeze(_small_star(_large_star(now)), "star")
+        forget(before)
         this = mark(now)
         done, last = this == last, this
     return (now.select(F.col("b").alias("node"), F.col("a").alias("component"))

@@ -20,8 +20,8 @@ Steps, all on Spark:
 4. What remains is the join of posting lists across components: pairs whose
    classes already are in one component add nothing to it. Length and
    positional filters are part of the join condition, the suffix filter
-   (shingle counts per hash range bound the overlap) follows; every surviving pair is
-   verified once on its whole sets.
+   (the sets' parities per hash range bound their difference) follows; every
+   surviving pair is verified once on its whole sets.
 5. Components of all links found.
 
 The order table has a fixed number of buckets (``ORDER_BUCKETS``), so it may be
@@ -46,13 +46,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegauge.llm.components import connected_components
-from sitegauge.llm.tables import NULL_IDS, arrow_map, bitmap, freeze, in_bitmap
+from sitegauge.llm.tables import NULL_IDS, bitmap, forget, freeze, in_bitmap
 from sitegauge.llm.textvec import shingle_sets
 
-#: Buckets of the corpus-wide shingle counts that order shingles.
-ORDER_BUCKETS = 1 << 17
-#: Hash ranges of the suffix filter.
-RANGES = 32
+#: Buckets (a power of two) of the corpus-wide shingle counts that order shingles,
+#: and how many of them travel as one row.
+ORDER_BITS = 20
+ORDER_BUCKETS = 1 << ORDER_BITS
+BLOCK = 4096
+#: Bits of the suffix filter.
+PARITY = 1024
 
 
 @dataclass(frozen=True)
@@ -79,47 +82,78 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-FIRST = ["id", "sig", "word", "n", "bucket", "cnt"]
+FIRST = ["id", "sig", "word", "n", "block", "counts"]
+
+
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
 
 
 def _first_pass(docs: DataFrame, k: int) -> DataFrame:
-    """Per row (id, sig, word, n); per task (bucket, cnt) rows of shingle counts."""
+    """Per row (id, sig, word, n); per task (block, counts): the task's shingle
+    counts, ``BLOCK`` buckets in a row."""
     def run(batches):
-        counts = np.zeros(ORDER_BUCKETS, dtype=np.int64)
+        counts = np.zeros(ORDER_BUCKETS, dtype=np.uint32)
         held, size = [], 0
+
+        def tally():
+            np.add(counts, np.bincount(np.concatenate(held), minlength=ORDER_BUCKETS).astype(np.uint32), out=counts)
+
         for batch in batches:
             sigs, ns = [], []
             for _, s in shingle_sets(batch.column(1), k):
                 sigs.append(_digest(s) if len(s) else None)
                 ns.append(len(s))
-                held.append(s >> np.uint64(64 - 17))
-                size += len(s)
+                if len(s):
+                    held.append(_bucket(s))
+                    size += len(s)
                 if size > 1 << 20:
-                    counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=ORDER_BUCKETS)
+                    tally()
                     held, size = [], 0
             rows = len(ns)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(sigs, pa.binary()),
                  batch.column(2).cast(pa.int64()), pa.array(ns, pa.int32()),
-                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], FIRST)
+                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], FIRST)
         if held:
-            counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=ORDER_BUCKETS)
-        at = np.flatnonzero(counts)
-        for i in range(0, len(at), 1 << 16):
-            part = at[i:i + (1 << 16)]
-            rows = len(part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.int64()),
-                 pa.nulls(rows, pa.int32()), pa.array(part.astype(np.int32)), pa.array(counts[part])], FIRST)
-    return docs.mapInArrow(run, "id long, sig binary, word long, n int, bucket int, cnt long")
+            tally()
+        blocks = [i for i in range(ORDER_BUCKETS // BLOCK) if counts[i * BLOCK:(i + 1) * BLOCK].any()]
+        rows = len(blocks)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.int64()),
+             pa.nulls(rows, pa.int32()), pa.array(blocks, pa.int32()),
+             pa.array([counts[i * BLOCK:(i + 1) * BLOCK].tobytes() for i in blocks], pa.binary())], FIRST)
+    return docs.mapInArrow(run, "id long, sig binary, word long, n int, block int, counts binary")
+
+
+def _order(first: DataFrame) -> np.ndarray:
+    """Rank of each bucket, rarest first, by its count over all tasks."""
+    def run(batches):
+        sums: dict = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                got = np.frombuffer(counts, dtype=np.uint32).astype(np.int64)
+                sums[block] = sums[block] + got if block in sums else got
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+            ["block", "counts"])
+
+    parts = (first.where("block is not null").select("block", "counts").repartition("block")
+             .mapInArrow(run, "block int, counts binary").toPandas())
+    total = np.zeros(ORDER_BUCKETS, dtype=np.int64)
+    for block, counts in zip(parts["block"], parts["counts"]):
+        total[block * BLOCK:(block + 1) * BLOCK] += np.frombuffer(counts, dtype=np.int64)
+    rank = np.empty(ORDER_BUCKETS, dtype=np.uint32)
+    rank[np.argsort(total, kind="stable")] = np.arange(ORDER_BUCKETS, dtype=np.uint32)
+    return rank
 
 
 def _prefix_pass(docs: DataFrame, k: int, limit: Threshold, order) -> DataFrame:
-    """Per task and class: rare-first prefix and shingle counts per hash range."""
+    """Per task and class: rare-first prefix, and the parity of the shingles per hash range."""
     def run(batches):
         rank, seen = order.value, set()
         for batch in batches:
-            sigs, ns, prefixes, ranges = [], [], [], []
+            sigs, ns, prefixes, parities = [], [], [], []
             for _, s in shingle_sets(batch.column(0), k):
                 if not len(s):
                     continue
@@ -129,23 +163,40 @@ def _prefix_pass(docs: DataFrame, k: int, limit: Threshold, order) -> DataFrame:
                 if len(seen) < 200_000:
                     seen.add(sig)
                 n = len(s)
-                key = rank[(s >> np.uint64(64 - 17)).astype(np.int64)] | (s & np.uint64((1 << 24) - 1))
+                key = rank[_bucket(s)].astype(np.uint64) << np.uint64(40) | (s & np.uint64((1 << 40) - 1))
                 m = limit.probe(n)
                 best = np.argpartition(key, m - 1)[:m] if m < n else np.arange(n)
                 best = best[np.lexsort((s[best], key[best]))]
                 sigs.append(sig)
                 ns.append(n)
                 prefixes.append(s[best].view(np.int64))
-                ranges.append(np.bincount((s & np.uint64(RANGES - 1)).astype(np.int64), minlength=RANGES).astype(np.int32))
+                odd = np.bincount((s & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+                parities.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
             if sigs:
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sigs, pa.binary()), pa.array(ns, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes))),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(sigs) + 1, dtype=np.int32) * RANGES),
-                                              pa.array(np.concatenate(ranges)))],
-                    ["sig", "n", "prefix", "ranges"])
-    return docs.mapInArrow(run, "sig binary, n int, prefix array<long>, ranges array<int>")
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(sigs) + 1, dtype=np.int32) * (PARITY // 64)),
+                                              pa.array(np.concatenate(parities)))],
+                    ["sig", "n", "prefix", "parity"])
+    return docs.mapInArrow(run, "sig binary, n int, prefix array<long>, parity array<long>")
+
+
+def _postings(prefixes: DataFrame, thin) -> DataFrame:
+    """(rep, n, pos, gram) of the prefix shingles that ``thin`` lets through."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(2)
+            grams = lists.flatten().to_numpy()
+            sizes = np.diff(lists.offsets.to_numpy())
+            keep = in_bitmap(thin.value, grams)
+            pos = np.arange(len(grams)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row),
+                 pa.array(pos[keep].astype(np.int32)), pa.array(grams[keep])], ["rep", "n", "pos", "gram"])
+    return prefixes.mapInArrow(run, "rep long, n int, pos int, gram long")
 
 
 def _set_pass(docs: DataFrame, k: int, wanted) -> DataFrame:
@@ -193,34 +244,36 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
                          ).withColumn("word", F.xxhash64("text"))
     first = freeze(_first_pass(source, k), "shingles")
-    rows = first.where("bucket is null").select("id", "sig", "word", "n")
-    counts = first.where("bucket is not null").groupBy("bucket").agg(F.sum("cnt").alias("cnt")).toPandas()
-    rank = np.zeros(ORDER_BUCKETS, dtype=np.uint64)
-    rank[counts["bucket"].to_numpy()] = counts["cnt"].to_numpy().astype(np.uint64)
-    rank = np.argsort(np.argsort(rank, kind="stable"), kind="stable").astype(np.uint64) << np.uint64(24)
+    rows = first.where("block is null").select("id", "sig", "word", "n")
+    rank = _order(first)
     classes = freeze(
         rows.where("sig is not null").groupBy("sig").agg(
             F.coalesce(F.min("id"), F.expr(f"{NULL_IDS}L | (xxhash64(sig) & {NULL_IDS - 1}L)")).alias("rep"),
             F.min("word").alias("word"), F.first("n").alias("n"), F.count("*").alias("copies")), "classes")
 
-    # One row per class: prefix in the global order and counts per hash range.
+    # One row per class: prefix in the global order and parities.
     prefixes = freeze(
         _prefix_pass(source.select("text"), k, limit, spark.sparkContext.broadcast(rank))
         .groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-                            F.first("ranges").alias("ranges"))
+                            F.first("parity").alias("parity"))
         .join(classes.select("sig", "rep"), "sig"), "prefixes")
-    postings = prefixes.select("rep", "n", F.posexplode("prefix").alias("pos", "gram"))
+    # Shared shingles: counted alone first; a Bloom filter of them then thins the
+    # posting lists before they move, and the exact join decides.
+    shared = freeze(prefixes.select(F.explode("prefix").alias("gram")).groupBy("gram").count()
+                    .where("count > 1").select("gram"), "shared")
+    thin = spark.sparkContext.broadcast(bitmap(shared, "gram"))
+    postings = freeze(_postings(prefixes.select("rep", "n", "prefix"), thin).join(shared, "gram", "left_semi"), "postings")
     heads = (postings.groupBy("gram")
-             .agg(F.min(F.struct(F.expr("1D * pos / n").alias("place"), "n", "rep")).alias("h"),
-                  F.count("*").alias("lists"))
-             .where("lists > 1").select("gram", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
-    lists = freeze(postings.join(heads, "gram"), "postings")
+             .agg(F.min(F.struct(F.expr("1D * pos / n").alias("place"), "n", "rep")).alias("h"))
+             .select("gram", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
+    lists = freeze(postings.join(heads, "gram"), "lists")
+    forget(shared, postings)
 
     fits = lambda x, y: F.expr(f"{limit.den}L * least({x}, {y}) >= {limit.num}L * greatest({x}, {y})")
     tally = (lists.where("rep <> hub").where(fits("n", "hub_n")).groupBy("rep", "hub").agg(F.count("*").alias("c")))
     stars = (tally.groupBy("rep").agg(F.max(F.struct("c", "hub")).alias("t"))
              .select(F.col("rep").alias("a"), F.col("t.hub").alias("b")))
-    near = freeze(_verify(stars, source, classes, prefixes, k, limit), "links")
+    near = _verify(stars, source, classes, prefixes, k, limit)
     groups = connected_components(near)
 
     # Across components: minor rows (not in the list head's component) against all.
@@ -245,19 +298,21 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  f"bp <= bn - ceil({2 * limit.num}L * bn / {limit.num + limit.den}D - 1e-9))"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     far = _verify(cross, source, classes, prefixes, k, limit)
-    return rows, classes, freeze(near.unionByName(far), "links")
+    links = freeze(near.unionByName(far), "links")
+    forget(prefixes, lists, tagged, near, far)
+    return rows, classes, links
 
 
 def _verify(pairs: DataFrame, source: DataFrame, classes: DataFrame, prefixes: DataFrame, k: int,
             limit: Threshold) -> DataFrame:
     """The pairs (a, b) of reps that reach the threshold on their whole sets."""
     spark = source.sparkSession
-    hist = prefixes.select("rep", "n", "ranges")
+    hist = prefixes.select("rep", "n", "parity")
     need = f"ceil({limit.num}L * (an + bn) / {limit.num + limit.den}D - 1e-9)"
     pairs = freeze(
-        pairs.join(hist.select(F.col("rep").alias("a"), F.col("n").alias("an"), F.col("ranges").alias("ar")), "a")
-        .join(hist.select(F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("ranges").alias("br")), "b")
-        .where(F.expr("aggregate(zip_with(ar, br, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= " + need))
+        pairs.join(hist.select(F.col("rep").alias("a"), F.col("n").alias("an"), F.col("parity").alias("ar")), "a")
+        .join(hist.select(F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("parity").alias("br")), "b")
+        .where(F.expr("aggregate(zip_with(ar, br, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x) <= an + bn - 2 * " + need))
         .select("a", "b", "an", "bn"), "pairs")
     ends = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
     wanted = classes.join(ends, "rep", "left_semi").select("sig", "word", "rep")
@@ -266,10 +321,13 @@ def _verify(pairs: DataFrame, source: DataFrame, classes: DataFrame, prefixes: D
     sets = freeze(
         _set_pass(source.select("text", "word"), k, spark.sparkContext.broadcast(table))
         .join(wanted.select("sig", "rep"), "sig").groupBy("rep").agg(F.first("shingles").alias("shingles")), "sets")
-    return (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-            .where(F.expr(f"{limit.num + limit.den}L * size(array_intersect(sa, sb)) >= {limit.num}L * (an + bn)"))
-            .select("a", "b"))
+    found = freeze(
+        pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
+        .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+        .where(F.expr(f"{limit.num + limit.den}L * size(array_intersect(sa, sb)) >= {limit.num}L * (an + bn)"))
+        .select("a", "b"), "found")
+    forget(pairs, wanted, sets)
+    return found
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
