@@ -320,7 +320,8 @@ def _verify(pairs: DataFrame, source: DataFrame, classes: DataFrame, prefixes: D
     table = bitmap(wanted, "word")
     sets = freeze(
         _set_pass(source.select("text", "word"), k, spark.sparkContext.broadcast(table))
-        .join(wanted.select("sig", "rep"), "sig").groupBy("rep").agg(F.first("shingles").alias("shingles")), "sets")
+        .groupBy("sig").agg(F.first("shingles").alias("shingles"))
+        .join(wanted.select("sig", "rep"), "sig").select("rep", "shingles"), "sets")
     found = freeze(
         pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
         .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
