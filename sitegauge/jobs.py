@@ -64,7 +64,7 @@ def run_scorecard(world, out: str, snapshots: str | None = None) -> dict:
     ``snapshots`` the day's pulls are reused by a re-run (S12)."""
     card = build_scorecard(world, snapshot_root=snapshots)
     scored = write_scored(card, out, world.run_date)
-    reports = write_reports(card, world.assignment, out)
+    reports = write_reports(card, world.assignment, out, world.run_date)
     zero = zero_rows(card.survey, "service_num").count()
     return {"scored": scored, "reports": reports,
             "window": None if card.plan.window is None else
@@ -113,6 +113,7 @@ def main(argv: list[str] | None = None) -> None:
                     help="file format of the scrape drops")
     st.add_argument("--continuous", action="store_true",
                     help="keep running (one micro-batch a minute) instead of draining once")
+    st.add_argument("--max-files", type=int, help="files per micro-batch at most")
     sc = sub.add_parser("scorecard")
     sc.add_argument("--sf-dir", help="run on the stand-in tables of this folder")
     sc.add_argument("--world", choices=["customer", "supplier"], default="customer")
@@ -130,7 +131,8 @@ def main(argv: list[str] | None = None) -> None:
         from sitegauge.streaming.price_history import start
         out = args.out.rstrip("/")
         query = start(spark, args.source, f"{out}/log", f"{out}/final", args.checkpoint,
-                      available_now=not args.continuous, source_format=args.format)
+                      available_now=not args.continuous, max_files_per_trigger=args.max_files,
+                      source_format=args.format)
         query.awaitTermination()
         result = {"log": f"{out}/log", "final": f"{out}/final"}
     elif args.job == "prices":

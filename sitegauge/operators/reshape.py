@@ -19,30 +19,39 @@ def strict_pivot(df: DataFrame, index: Sequence[str], column: str, values: Seque
     """Wide table with one ``<metric><sep><value>`` column per metric and value.
 
     Strict like ``pandas.pivot``: an (index, value) pair seen twice fails the
-    job. The per-cell row count is computed inside the same aggregate and
-    checked with ``assert_true``, so strictness costs no extra pass (R1, C5).
+    job, and so does a row whose column value is not in ``values``. Both counts
+    are computed inside the same aggregate and checked in a filter, which no
+    column pruning removes, so strictness costs no extra pass (R1, C5).
     Spark names multi-aggregate pivot columns ``<value>_<agg>``; they are
     renamed to the reference's ``<metric>_<value>`` order (P8).
     """
     aggs = [F.first(m, ignorenulls=False).alias(m) for m in metrics]
     aggs.append(F.count(F.lit(1)).alias("_n"))
-    wide = df.groupBy(*index).pivot(column, list(values)).agg(*aggs)
+    values = [str(v) for v in values]
+    text = F.col(column).cast("string")
+    slot = F.when(text.isin(values), text).otherwise(F.lit(_UNLISTED))
+    wide = (df.withColumn(column, slot).groupBy(*index)
+            .pivot(column, [*values, _UNLISTED]).agg(*aggs))
     checks = [F.coalesce(F.col(f"`{v}__n`"), F.lit(0)) <= 1 for v in values]
     msg = f"duplicate ({', '.join(index)}, {column}) pair in strict pivot"
-    # The check rides on the first index column so column pruning cannot drop it.
-    first = index[0]
-    out = [F.when(_all(checks), F.col(first)).otherwise(F.raise_error(F.lit(msg))).alias(first)
-           if checks else F.col(first)]
-    out += [F.col(c) for c in index[1:]]
+    unlisted = f"{column} value outside the list of the strict pivot"
+    wide = wide.where(
+        F.when(F.coalesce(F.col(f"`{_UNLISTED}__n`"), F.lit(0)) > 0, F.raise_error(F.lit(unlisted)).cast("boolean"))
+        .when(~_all(checks), F.raise_error(F.lit(msg)).cast("boolean")).otherwise(F.lit(True)))
+    out = [F.col(c) for c in index]
     for v in values:
         for m in metrics:
             out.append(F.col(f"`{v}_{m}`").alias(f"{m}{sep}{v}"))
     return wide.select(*out)
 
 
+#: Pivot column that counts rows with a value outside the list.
+_UNLISTED = "__unlisted__"
+
+
 def _all(conds):
-    acc = conds[0]
-    for c in conds[1:]:
+    acc = F.lit(True)
+    for c in conds:
         acc = acc & c
     return acc
 

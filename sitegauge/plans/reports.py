@@ -69,11 +69,14 @@ def write_scored(sc: Scorecard, root: str, run_date: dt.date) -> str:
     return path
 
 
-def write_reports(sc: Scorecard, assignment: DataFrame, root: str) -> dict[str, str]:
+def write_reports(sc: Scorecard, assignment: DataFrame, root: str,
+                  run_date: dt.date | None = None) -> dict[str, str]:
     """Three report datasets partitioned by (region, owner) (Z4): the raw
     current-slot rows with rank, owner vs region score means, owner vs
-    member/non-member survey means."""
+    member/non-member survey means. Each lies under its world and, if given,
+    its run date, so a re-run replaces its own output only."""
     root = root.rstrip("/")
+    run = f"world={sc.world}" + (f"/run_date={run_date.isoformat()}" if run_date else "")
     cur_rows = region_rank(sc).join(
         sc.scored.select("site_id", "year", "trimester", "is_ptd", "volume", "prev_volume",
                          "volume_growth", "premium_volume", "prev_premium_volume",
@@ -88,13 +91,16 @@ def write_reports(sc: Scorecard, assignment: DataFrame, root: str) -> dict[str,
     }
     paths = {}
     for name, df in out.items():
-        path = f"{root}/{name}"
+        path = f"{root}/{name}/{run}"
         df = _partition_keys(df)
         if "site_id" in df.columns:
             # Range-partition with the site as tie-breaker: a (region, owner)
             # pair that holds a large share of all sites is split over several
             # tasks, and each task still writes few, contiguous partitions.
             df = df.repartitionByRange("region", "owner_name", "site_id")
+        else:
+            # few rows per owner: one file each, not one per task and owner
+            df = df.repartition("region", "owner_name")
         df.write.mode("overwrite").partitionBy("region", "owner_name").parquet(path)
         paths[name] = path
     return paths

@@ -320,7 +320,9 @@ def member_vs_other(sc: Scorecard, assignment: DataFrame) -> DataFrame:
     out = ["region", "wave_id"]
     for metric in ("service", "facility", "experience"):
         out += [F.col(f"{g}_{metric}").alias(f"{metric}_{g}") for g in labels]
-    return means.select(*out)
+    # rows whose cells are all missing drop out, as in an aggregating pivot
+    return means.select(*out).where(F.coalesce(*[
+        F.col(f"{m}_{g}") for m in ("service", "facility", "experience") for g in labels]).isNotNull())
 
 
 def owner_survey_averages(sc: Scorecard) -> DataFrame:
@@ -332,7 +334,7 @@ def owner_survey_averages(sc: Scorecard) -> DataFrame:
                    ["service_ratio", "facility_ratio", "experience_score"]).select(
         "owner_name", "region", "wave_id",
         F.col("service_ratio").alias("service"), F.col("facility_ratio").alias("facility"),
-        F.col("experience_score").alias("experience"))
+        F.col("experience_score").alias("experience")).where("coalesce(service, facility, experience) is not null")
 
 
 def owner_vs_region_survey(sc: Scorecard, assignment: DataFrame) -> DataFrame:

@@ -115,7 +115,9 @@ def _survey_wide(spark, sf_dir):
     survey = sc_mod.survey_table(world)
     renamed = survey.select("site_id", "wave_id",
                             *[F.col(m).alias(lbl) for m, lbl in WIDE_LABELS.items()])
-    return strict_pivot(renamed, ["site_id"], "wave_id", report_waves(world.run_date),
+    waves = report_waves(world.run_date)
+    # The report's selection; the strict pivot itself fails on values it has no column for.
+    return strict_pivot(renamed.where(F.col("wave_id").isin(waves)), ["site_id"], "wave_id", waves,
                         list(WIDE_LABELS.values()))
 
 

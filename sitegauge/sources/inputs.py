@@ -33,10 +33,10 @@ SCHEMAS = {
     "roster": (("site_id", "string"), ("region", "string"), ("district", "string")),
     "hierarchy": (("site_id", "string"), ("owner_name", "string"), ("owner_number", "string"),
                   ("address", "string"), ("city", "string")),
-    "volume": (("site_id", "string"), ("ts", "timestamp_ntz"), ("volume", "decimal(18,2)"),
-               ("premium_volume", "decimal(18,2)")),
+    "volume": (("site_id", "string"), ("ts", "timestamp_ntz"), ("volume", "decimal(28,8)"),
+               ("premium_volume", "decimal(28,8)")),
     "loyalty": (("site_id", "string"), ("ts", "timestamp_ntz"),
-                ("loyalty_volume", "decimal(21,4)")),
+                ("loyalty_volume", "decimal(28,8)")),
     "assignment": (("territory_manager", "string"), ("region", "string")),
 }
 

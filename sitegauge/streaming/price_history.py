@@ -37,7 +37,8 @@ FINAL_SCHEMA = T.StructType(
 
 
 def _day(c: str = "date") -> F.Column:
-    return F.date_format(F.to_date(F.col(c), "MM/dd/yyyy"), "yyyy-MM-dd")
+    # an unreadable date keeps its text and has no day; it never stops the stream
+    return F.date_format(F.try_to_timestamp(F.col(c), F.lit("MM/dd/yyyy")), "yyyy-MM-dd")
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -62,8 +63,13 @@ def process_batch(batch: DataFrame, batch_id: int, log_path: str, final_path: st
             # A scrape batch covers a handful of days: filter the final table
             # on its partition column so only those days are listed and read.
             days = [r[0] for r in parsed.select("day").distinct().collect()]
-            seen = seen.where(F.col("day").isin(days)).select(*KEY, "day")
-            firsts = firsts.join(seen, [*KEY, "day"], "left_anti")
+            on_days = F.col("day").isin([d for d in days if d is not None])
+            if None in days:
+                on_days = F.coalesce(on_days, F.lit(True)) | F.col("day").isNull()
+            seen = seen.where(on_days).select(*[F.col(c).alias(f"seen_{c}") for c in (*KEY, "day")])
+            # null-safe, as keep-first treats missing keys as equal
+            same = [F.col(c).eqNullSafe(F.col(f"seen_{c}")) for c in (*KEY, "day")]
+            firsts = firsts.join(seen, same, "left_anti")
         firsts.select("product", *VENDORS, "date", "day").write.mode("append") \
             .partitionBy("day").parquet(final_path)
     finally:
