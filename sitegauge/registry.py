@@ -115,10 +115,13 @@ def _survey_wide(spark, sf_dir):
     survey = sc_mod.survey_table(world)
     renamed = survey.select("site_id", "wave_id",
                             *[F.col(m).alias(lbl) for m, lbl in WIDE_LABELS.items()])
-    waves = report_waves(world.run_date)
-    # The report's selection; the strict pivot itself fails on values it has no column for.
-    return strict_pivot(renamed.where(F.col("wave_id").isin(waves)), ["site_id"], "wave_id", waves,
-                        list(WIDE_LABELS.values()))
+    # Every wave present is pivoted (well-formed ids, so the calendar bounds them):
+    # a duplicate in any wave fails. The report then takes its own waves' columns.
+    report, labels = report_waves(world.run_date), list(WIDE_LABELS.values())
+    found = renamed.where(F.col("wave_id").rlike("^[0-9]{4}[1-3]$")).select("wave_id").distinct().collect()
+    waves = sorted({str(r[0]) for r in found} | set(report))
+    wide = strict_pivot(renamed, ["site_id"], "wave_id", waves, labels)
+    return wide.select("site_id", *[f"{m}_{w}" for w in report for m in labels])
 
 
 def q_survey_pivot(spark, sf_dir):

@@ -160,3 +160,15 @@ def test_hot_region_is_split_over_slices(spark):
                  .groupBy("slice").agg(F.count("*").alias("n")).collect()}
     assert len(per_slice) >= 6                      # the hot region spans most slices
     assert max(per_slice.values()) <= 2 * 8000 / 8  # no slice holds much more than its share
+
+
+def test_strict_pivot_checks_whatever_is_read(spark):
+    rows = spark.createDataFrame([("a", "20181", 1.0), ("a", "20181", 2.0), ("b", "20182", 3.0)],
+                                 "site string, wave string, m double")
+    wide = strict_pivot(rows, ["site"], "wave", ["20181", "20182"], ["m"])
+    for read in (wide.count, wide.select("m_20182").collect, wide.select("site").collect):
+        with pytest.raises(Exception, match="duplicate"):
+            read()
+    other = strict_pivot(rows.where("site = 'b'"), ["site"], "wave", ["20181"], ["m"])
+    with pytest.raises(Exception, match="outside the list"):
+        other.count()
