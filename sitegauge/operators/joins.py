@@ -2,10 +2,8 @@
 
 Join strategy is left to Catalyst and AQE: with ``spark.sql.adaptive.enabled``
 a side whose *measured* size is under ``autoBroadcastJoinThreshold`` is
-broadcast at runtime, anything larger stays a sort-merge join. An explicit
-broadcast hint is only used through :func:`broadcast_bounded`, for tables
-whose row count is bounded by construction (regions, periods, flags) and
-checked before hinting.
+broadcast at runtime, anything larger stays a sort-merge join, whose skewed
+partitions AQE splits. No join carries a hint.
 """
 
 from __future__ import annotations
@@ -16,16 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it
-    unchanged so the planner falls back to a shuffle join.
-
-    The check reads at most ``max_rows + 1`` rows.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def existence_flag(df: DataFrame, keys_df: DataFrame, key: str, flag: str) -> DataFrame:
     """Add ``flag`` = 1 when ``key`` occurs in ``keys_df``, else 0.
 

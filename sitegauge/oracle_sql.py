@@ -3,7 +3,7 @@ the driver's tables (``region nation customer supplier part orders lineitem
 pages``), for the side-by-side correctness check.
 
 The SQL is written independently of the Spark code; only parameters are
-shared (run dates, thresholds, fixed value lists, regular expressions), so a
+shared (run dates, thresholds, fixed value lists), so a
 mistake in a Spark operator shows up as a mismatch.
 """
 
@@ -11,9 +11,7 @@ from __future__ import annotations
 
 from sitegauge.functions.calendar import reporting_calendar
 from sitegauge.functions.columns import MISSING_PRICE_TOKENS
-from sitegauge.plans.prices import PAGE_SELECTIONS
 from sitegauge.plans.scorecard import SKIP_REGION
-from sitegauge.sources.html import ENTITIES, attribute_pattern, text_pattern
 from sitegauge.sources.schemas import QUESTIONS, VENDORS
 from sitegauge.sources.standins import (ANSWER_CODES, CUSTOMER_RUN_DATE, HASH_MODULUS,
                                         HASH_MULTIPLIER, LOYALTY_SHARE, PREMIUM_PRIORITIES,
@@ -46,13 +44,23 @@ def rnd(expr: str) -> str:
 
 
 def decode(expr: str) -> str:
-    for ent, ch in ENTITIES:
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         expr = f"replace({expr}, {q(ent)}, {q(ch)})"
     return expr
 
 
-def extract(pattern: str) -> str:
-    return f"list_filter(regexp_extract_all(html, {q(pattern)}, 1), lambda x: x <> '')"
+# The given pages' own mark-up: what precedes each part, and how the text after
+# it ends. Split by strings, not by the patterns of the Spark side.
+PAGE_PARTS = {
+    "ad": ('<div class="ad">', "split_part(x, '<', 1)"),
+    "nav": ("<li><a ", "split_part(split_part(x, '>', 2), '<', 1)"),
+    "heading": ("<h1>", "split_part(x, '<', 1)"),
+}
+
+
+def pieces(mark: str, text: str) -> str:
+    return (f"list_filter(list_transform(list_slice(string_split(html, {q(mark)}), 2, 1000000000), "
+            f"lambda x: {text}), lambda x: x <> '')")
 
 
 # --- stand-in worlds ---------------------------------------------------------
@@ -290,8 +298,7 @@ def _price_log() -> str:
 
 
 def _page_lists() -> str:
-    cols = ", ".join(f"{extract(text_pattern(tag, cls, match, child))} AS {kind}"
-                     for kind, tag, cls, match, child in PAGE_SELECTIONS)
+    cols = ", ".join(f"{pieces(mark, text)} AS {kind}" for kind, (mark, text) in PAGE_PARTS.items())
     return f"SELECT page_id, {cols} FROM pages"
 
 
@@ -320,11 +327,11 @@ def _sql_queries() -> dict[str, str]:
             f"""SELECT page_id, {q(kind)} AS kind, CAST(pos AS BIGINT) AS pos, {decode('t')} AS text FROM (
                 SELECT page_id, unnest(range(len({kind}))) AS pos, unnest({kind}) AS t
                 FROM ({_page_lists()}) l) u"""
-            for kind, *_ in PAGE_SELECTIONS),
+            for kind in PAGE_PARTS),
         "lists_zip": f"""SELECT page_id, CAST(pos AS BIGINT) AS pos, {decode('t')} AS text, {decode('h')} AS href FROM (
             SELECT page_id, unnest(range(len(t))) AS pos, unnest(t) AS t, unnest(h) AS h FROM (
-              SELECT page_id, {extract(text_pattern('li', child='a'))} AS t,
-                     {extract(attribute_pattern('a', 'href', parent='li'))} AS h FROM pages) a) b""",
+              SELECT page_id, {pieces(*PAGE_PARTS["nav"])} AS t,
+                     {pieces("<li><a ", "split_part(split_part(x, 'href=" + '"' + "', 2), '" + '"' + "', 1)")} AS h FROM pages) a) b""",
         "layout_union": cw + f"""SELECT site_id, wave_id, territory_manager, sales_manager,
             {', '.join(x.lower() for x in QUESTIONS)}, experience_score FROM customer_survey""",
         "survey_ratios": cw + """SELECT site_id, wave_id, service_num, service_den, service_ratio,

@@ -63,14 +63,14 @@ def daily_volume(records: DataFrame, roster: DataFrame, start: dt.date) -> DataF
     """Volume and premium volume per (site, day) for roster sites, from
     ``start`` on (S9, A3, J11): one set-based job instead of a query per site.
 
-    The roster keys are de-duplicated (D9); the join strategy (broadcast when
-    the roster is small, sort-merge otherwise) is left to the planner.
+    The roster keys are de-duplicated (D9). (site, day) is nearly unique, so the
+    semi-join comes before the sums; its strategy is left to the planner.
     """
-    daily = (records.where(at_or_after(records, "ts", start))
-             .groupBy("site_id", F.to_date("ts").alias("day"))
+    kept = semi_join(records.where(at_or_after(records, "ts", start)), roster, "site_id")
+    daily = (kept.groupBy("site_id", F.to_date("ts").alias("day"))
              .agg(zero_sum("volume").alias("volume"),
                   zero_sum("premium_volume").alias("premium_volume")))
-    return semi_join(daily, roster, "site_id").select(
+    return daily.select(
         "site_id", "day",
         F.col("volume").cast("double").alias("volume"),
         F.col("premium_volume").cast("double").alias("premium_volume"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sitegauge.functions.columns import parse_money, us_date_text
 from sitegauge.operators.dedupe import keep_first
-from sitegauge.sources.html import element_texts, extract_all, attribute_pattern, zip_lists
+from sitegauge.sources.html import child_attributes, element_texts, zip_lists
 from sitegauge.sources.price_log import clean_prices
 from sitegauge.sources.schemas import VENDORS
 from sitegauge.sources.standins import PRICE_INGEST_ORDER, price_log_records
@@ -69,7 +69,7 @@ def nav_link_pairs(pages: DataFrame) -> DataFrame:
     lists = pages.select(
         "page_id",
         element_texts("html", "li", child="a").alias("text"),
-        extract_all("html", attribute_pattern("a", "href", parent="li")).alias("href"))
+        child_attributes("html", "li", "a", "href").alias("href"))
     return zip_lists(lists, ["page_id"], ["text", "href"])
 
 

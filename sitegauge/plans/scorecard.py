@@ -31,8 +31,7 @@ from sitegauge.functions.calendar import ReportingCalendar, reporting_calendar
 from sitegauge.functions.columns import flag_label, growth, ieee_ratio, key_text, normalise_label
 from sitegauge.operators.aggregates import mean_by
 from sitegauge.operators.dedupe import latest_per_key
-from sitegauge.operators.joins import (broadcast_bounded, existence_flag, not_equal_keep_null,
-                                       null_safe_left_join)
+from sitegauge.operators.joins import existence_flag, not_equal_keep_null, null_safe_left_join
 from sitegauge.operators.ranking import rank_within
 from sitegauge.plans.periods import (Pair, PeriodPlan, monthly_facts, period_totals, plan_pairs,
                                      present_months, window_of)
@@ -175,6 +174,13 @@ def score_table(kpis: DataFrame, survey: DataFrame) -> DataFrame:
         + F.col("service_points") + F.col("facility_points"))
 
 
+def present_waves(survey: DataFrame) -> set[str]:
+    """Well-formed wave ids (``yyyyt``) of the survey: the calendar bounds what
+    is collected, whatever free text the export holds."""
+    found = survey.where(F.col("wave_id").rlike("^[0-9]{4}[1-3]$")).select("wave_id").distinct()
+    return {r[0] for r in found.collect()}
+
+
 def build_scorecard(world, period_label: int | None = None,
                     snapshot_root: str | None = None) -> Scorecard:
     """Everything a run derives. ``period_label`` overrides the period
@@ -203,7 +209,7 @@ def build_scorecard(world, period_label: int | None = None,
             for name, pull in pulls.items()])
     months, waves = concurrently(
         lambda: present_months(monthly),
-        lambda: {r[0] for r in survey.select("wave_id").distinct().collect()})
+        lambda: present_waves(survey))
     window = window_of(months, period_label)
     totals = period_totals(monthly, window) if window is not None else None
     plan = plan_pairs(months, window, waves)
@@ -277,21 +283,15 @@ def score_average_sheet(sc: Scorecard) -> DataFrame:
                        label.alias("label"), "value")
 
 
-# Most rows the region assignment (one per territory manager) may have to be
-# broadcast; beyond it the join stays a shuffle join with AQE skew handling.
-ASSIGNMENT_BROADCAST_ROWS = 100_000
-
-
 def site_regions(survey: DataFrame, assignment: DataFrame) -> DataFrame:
     """Region of every surveyed site from the territory manager of its latest
     wave (A10, J7); NULL managers match NULL assignment keys like pandas.
 
-    One manager may cover a large share of all sites, so the assignment
-    (bounded by the number of managers, checked) is broadcast: the site side
-    is never shuffled by manager."""
+    One manager may cover a large share of all sites. AQE broadcasts the
+    assignment where its measured size allows; beyond that its skew join
+    splits such a manager's sites."""
     latest = latest_per_key(survey, "site_id", "wave_id", ["territory_manager"])
-    assign = broadcast_bounded(assignment, ASSIGNMENT_BROADCAST_ROWS)
-    return null_safe_left_join(latest.select("site_id", "territory_manager"), assign,
+    return null_safe_left_join(latest.select("site_id", "territory_manager"), assignment,
                                ["territory_manager"]).select("site_id", "region")
 
 

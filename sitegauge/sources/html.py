@@ -13,9 +13,13 @@ Supported selections (what the reference uses):
   ``element_texts(html, tag, cls=v, match="contains", child="a")``
 * ``//li/a/text()`` / ``//li/a/@href``   -> ``child=`` without a class
 
-Like XPath ``text()``, only the text directly inside the selected element
-(up to its first child tag) is returned, empty text nodes are skipped and
-the five predefined XML entities are decoded.
+Comments, scripts and style sheets are removed first; tag and attribute names
+match in any case, class values quoted or not. Like XPath ``text()``, only text
+directly inside the selected element is returned, empty texts are skipped and
+the predefined XML entities and ``&nbsp;`` are decoded. Limits of the patterns:
+of an element's text, the part up to its first child tag is taken; an element
+ends at the next closing tag of its name; children are found at any depth in
+it; numeric entities stay as written.
 """
 
 from __future__ import annotations
@@ -26,41 +30,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Predefined XML entities, decoded in this order ("&amp;" last).
+# Predefined XML entities and the no-break space, decoded in this
+# order ("&amp;" last).
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&amp;", "&"))
+            ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+# What holds no elements: comments, scripts and style sheets.
+HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
 def _open_tag(tag: str, cls: str | None, match: str) -> str:
-    t = re.escape(tag)
+    t = rf"(?i:<{re.escape(tag)})"
     if cls is None:
-        return rf"<{t}(?:\s[^>]*)?>"
+        return rf"{t}(?:\s[^>]*)?>"
     v = re.escape(cls)
-    # Either quote style; alternation rather than a back-reference, so the
-    # same pattern also runs on engines without back-references.
+    # Either quote style or none; tag and attribute names in any case.
     if match == "equals":
-        attr = rf"""(?:class="{v}"|class='{v}')"""
+        attr = rf"""(?:(?:"{v}"|'{v}')[^>]*|{v}(?:\s[^>]*)?)"""
     elif match == "contains":
-        attr = rf"""(?:class="[^"]*{v}[^"]*"|class='[^']*{v}[^']*')"""
+        attr = rf"""(?:"[^"]*{v}[^"]*"|'[^']*{v}[^']*'|[^\s"'>]*{v})[^>]*"""
     else:
         raise ValueError(f"match must be 'equals' or 'contains', not {match!r}")
-    return rf"<{t}\s(?:[^>]*\s)?{attr}[^>]*>"
+    return rf"{t}\s(?:[^>]*\s)?(?i:class)\s*=\s*{attr}>"
+
 
+def text_pattern(tag: str, cls: str | None = None, match: str = "equals") -> str:
+    """Regex whose group 1 is the text of the selected element."""
+    return _open_tag(tag, cls, match) + r"([^<]*)"
 
-def text_pattern(tag: str, cls: str | None = None, match: str = "equals",
-                 child: str | None = None) -> str:
-    """Regex whose group 1 is the text of the selected element or child."""
-    head = _open_tag(tag, cls, match)
-    if child is not None:
-        head += r"\s*" + _open_tag(child, None, "equals")
-    return head + r"([^<]*)"
 
+def body_pattern(tag: str, cls: str | None = None, match: str = "equals") -> str:
+    """Regex whose group 1 is all between the selected element's opening tag
+    and the next closing tag of its name (or the end)."""
+    return _open_tag(tag, cls, match) + rf"([\s\S]*?)(?:(?i:</{re.escape(tag)}\b)|\z)"
 
-def attribute_pattern(tag: str, attr: str, parent: str | None = None) -> str:
-    """Regex whose group 1 is ``attr`` of ``tag`` (optionally a direct child
-    of ``parent``)."""
-    head = (_open_tag(parent, None, "equals") + r"\s*") if parent else ""
-    return head + rf'<{re.escape(tag)}\s(?:[^>]*\s)?{re.escape(attr)}="([^"]*)"'
+
+def attribute_pattern(tag: str, attr: str) -> str:
+    """Regex whose group 1 is the double-quoted ``attr`` of ``tag``."""
+    return rf'(?i:<{re.escape(tag)})\s(?:[^>]*\s)?(?i:{re.escape(attr)})\s*=\s*"([^"]*)"'
 
 
 def decode_entities(c: Column) -> Column:
@@ -69,18 +77,35 @@ def decode_entities(c: Column) -> Column:
     return c
 
 
-def extract_all(html: str | Column, pattern: str) -> Column:
-    """All non-empty group-1 matches of ``pattern``, entity-decoded, in
-    document order."""
-    h = F.col(html) if isinstance(html, str) else html
-    found = F.regexp_extract_all(h, F.lit(pattern), 1)
+def _matches(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), 1)
+
+
+def _visible(html: str | Column) -> Column:
+    return F.regexp_replace(F.col(html) if isinstance(html, str) else html, HIDDEN, "")
+
+
+def _clean(found: Column) -> Column:
     return F.transform(F.filter(found, lambda x: x != ""), decode_entities)
 
 
+def _in_bodies(html: str | Column, tag: str, cls: str | None, match: str, pattern: str) -> Column:
+    bodies = _matches(_visible(html), body_pattern(tag, cls, match))
+    return _clean(F.flatten(F.transform(bodies, lambda body: _matches(body, pattern))))
+
+
 def element_texts(html: str | Column, tag: str, cls: str | None = None,
                   match: str = "equals", child: str | None = None) -> Column:
-    """Array of texts of the selected elements."""
-    return extract_all(html, text_pattern(tag, cls, match, child))
+    """Array of texts of the selected elements, or of every ``child`` in them
+    (S2, S3), in document order, entity-decoded."""
+    if child is None:
+        return _clean(_matches(_visible(html), text_pattern(tag, cls, match)))
+    return _in_bodies(html, tag, cls, match, text_pattern(child))
+
+
+def child_attributes(html: str | Column, tag: str, child: str, attr: str) -> Column:
+    """Array of ``attr`` of every ``child`` in the ``tag`` elements."""
+    return _in_bodies(html, tag, None, "equals", attribute_pattern(child, attr))
 
 
 def zip_lists(df: DataFrame, keys: Sequence[str], lists: Sequence[str],

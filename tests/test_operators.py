@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sitegauge.operators.aggregates import contingency, latest_month, mean_by, money_sum, zero_sum
 from sitegauge.operators.dedupe import assert_unique, keep_first, latest_per_key
-from sitegauge.operators.joins import (broadcast_bounded, existence_flag, not_equal_keep_null,
+from sitegauge.operators.joins import (existence_flag, not_equal_keep_null,
                                        null_safe_left_join, semi_join)
 from sitegauge.operators.ranking import rank_within, running_sum, sort_nulls_last
 from sitegauge.operators.reshape import mean_pivot, melt, strict_pivot
@@ -102,7 +102,6 @@ def test_null_safe_join_and_flags(spark):
     flags = {r["site_id"]: r["m"] for r in existence_flag(left, roster, "site_id", "m").collect()}
     assert flags == {"s1": 1, "s2": 0}
     assert semi_join(left, roster, "site_id").count() == 1
-    assert broadcast_bounded(roster, 10) is not roster
 
 
 def test_full_outer_coalesces_key(spark):

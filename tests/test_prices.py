@@ -57,6 +57,17 @@ def test_class_selection_equals_and_contains(spark):
     assert r["none"] == []
 
 
+def test_ordinary_html(spark):
+    html = ('<!-- <div class="cell zero"><a>old</a></div> --><script>x("<div class=name>js")</script>'
+            '<DIV CLASS="cell zero"><span>s</span><a>1</a> or <A href="/2">2</A></DIV>'
+            '<div id=p class=name>Box&nbsp;1</div><div class=names>no</div>')
+    r = spark.createDataFrame([(html,)], "html string").select(
+        element_texts("html", "div", "cell zero", "contains", "a").alias("zero"),
+        element_texts("html", "div", "name").alias("names")).first()
+    assert r["zero"] == ["1", "2"]
+    assert r["names"] == ["Box\u00a01"]
+
+
 def test_zip_lists_and_run_date_stamp(spark):
     pages = spark.createDataFrame([(1, "u", HTML)], "page_id long, url string, html string")
     lists = pages.select(
