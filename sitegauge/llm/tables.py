@@ -10,6 +10,8 @@ from sitegauge.session import ensure_checkpoint_dir
 
 #: Stand-in ids of classes whose rows all have a null id start here, above real ids.
 NULL_IDS = 1 << 62
+#: Spark's switch (4.1 on) to remove a query's shuffle files as soon as it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,10 +22,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def freeze(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: lineage ends there, and a lost executor loses nothing. The result's
-    ``frozen_path`` lets :func:`forget` remove it."""
+    ``frozen_path`` lets :func:`forget` remove it.
+
+    The written table replaces the query's shuffle files, so these are removed
+    at its end: the steps of an operator don't add up on the executors' disks."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.mode("error").parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.frozen_path = path
     return out
