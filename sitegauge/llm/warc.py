@@ -41,6 +41,8 @@ from pyspark.sql import functions as F
 from sitegauge.llm.tables import ensure_checkpoint_dir, freeze, read
 
 BINS = 4096
+#: Tasks that read archives back; beyond as many files, a task reads several.
+READ_TASKS = 20_000
 MIN_REVISIT = 100
 #: Date of all records (the writer is deterministic).
 DATE = "2024-01-01T00:00:00Z"
@@ -215,8 +217,10 @@ def read_archives(spark: SparkSession, manifest: DataFrame, root: str) -> DataFr
                             yield _rows_batch(rows)
                             rows = []
                 yield _rows_batch(rows)
-    # a file a task: files are bounded by the roll size
-    return (manifest.select("name").repartition("name")
+    # Files are bounded by the roll size. A stated number of tasks, since names are so
+    # small that Spark would bring all of them, and so all archives, into one task.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    return (manifest.select("name").repartition(tasks)
             .mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"))
 
 
