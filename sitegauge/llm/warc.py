@@ -38,7 +38,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegauge.llm.tables import ensure_checkpoint_dir, freeze, read
+from sitegauge.llm.tables import ensure_checkpoint_dir, forget, freeze, read
 
 BINS = 4096
 #: Tasks that read archives back; beyond as many files, a task reads several.
@@ -48,6 +48,7 @@ MIN_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def file_system(uri: str):
@@ -148,14 +149,16 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     payload = F.coalesce(F.col(html_col).cast("string").cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    shared = (rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest")
+    # Everything that is decided over all pages is decided on this narrow table.
+    keys = freeze(rows.select("id", F.octet_length("payload").cast("long").alias("size"), "digest"), "keys")
+    shared = (keys.where(F.col("size") >= MIN_REVISIT).groupBy("digest")
               .agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
               .where("n > 1 and first_id is not null").select("digest", "first_id"))
 
-    lo, hi = rows.agg(F.min("id"), F.max("id")).first()
+    lo, hi = keys.agg(F.min("id"), F.max("id")).first()
     width = max(1, ((hi or 0) - (lo or 0)) // BINS + 1)
     place = F.coalesce(F.floor((F.col("id") - F.lit(lo or 0)) / F.lit(width)), F.lit(-1)).cast("int")
-    bins = (rows.select(place.alias("bin"), (F.octet_length("payload") + F.lit(500)).alias("b"))
+    bins = (keys.select(place.alias("bin"), (F.col("size") + F.lit(500)).alias("b"))
             .groupBy("bin").agg(F.sum("b").alias("b")).orderBy("bin").toPandas())
     before = np.cumsum(bins["b"].to_numpy(dtype=np.int64)) - bins["b"].to_numpy(dtype=np.int64) if len(bins) else np.zeros(0)
     shards = (before // shard_bytes).astype(int).tolist()
@@ -183,9 +186,19 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     store, folder = file_system(root)
     store.create_dir(f"{folder}/_tmp", recursive=True)
     count = max(1, len(edges))
-    ordered = (rows.join(shared, "digest", "left").withColumn("shard", shard)
-               .repartition(count, "shard").sortWithinPartitions("shard", "id", "digest", "url"))
-    manifest = freeze(ordered.select("shard", "id", "url", "payload", "digest", "first_id").mapInArrow(write, MANIFEST), "manifest")
+    marks = freeze(keys.join(shared, "digest").select(shard.alias("shard"), "digest", "first_id").distinct(), "marks")
+    # Payloads move once: both sides are dealt by shard alone, which the join accepts
+    # as it is when Spark need not hash all join keys.
+    ordered = (rows.withColumn("shard", shard).repartition(count, "shard")
+               .join(marks.repartition(count, "shard"), ["shard", "digest"], "left")
+               .sortWithinPartitions("shard", "id", "digest", "url"))
+    every_key = spark.conf.get(ALL_KEYS, "true")
+    spark.conf.set(ALL_KEYS, "false")
+    try:
+        manifest = freeze(ordered.select("shard", "id", "url", "payload", "digest", "first_id").mapInArrow(write, MANIFEST), "manifest")
+    finally:
+        spark.conf.set(ALL_KEYS, every_key)
+    forget(keys, marks)
 
     def move(batches):
         store, folder = file_system(root)
