@@ -121,6 +121,64 @@ def test_itq(spark):
     assert itq.links(every.limit(0)).count() == 0
 
 
+def brute_near(rows, least=0.98):
+    """id -> (n_links, component_id) of (id, vector, label) rows, and the number of pairs."""
+    x = np.array([r[1] for r in rows], dtype=np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, label = (np.array([r[c] for r in rows]) for c in (0, 2))
+    near = (x @ x.T >= least) & (label[:, None] == label[None, :])
+    low = ids.copy()
+    while True:
+        new = np.where(near, low[None, :], np.iinfo(np.int64).max).min(axis=1)
+        if (new == low).all():
+            break
+        low = new
+    return {int(i): (int(n) - 1, int(c)) for i, n, c in zip(ids, near.sum(axis=1), low)}
+
+
+def test_itq_components_of_chains(spark):
+    """Middle members with the largest ids, so that no end is the other's smallest neighbour."""
+    rng = np.random.default_rng(5)
+    rows, step = [], np.arccos(0.985)
+    for group in range(60):
+        u, v = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        size = 3 + group % 4
+        order = sorted(range(size), key=lambda i: (i % 2, i))  # 0 2 4 1 3: odd places get the largest ids
+        for i in range(size):
+            at = i * step
+            rows.append((1000 * group + order.index(i), (np.cos(at) * u + np.sin(at) * v).tolist(), group % 3))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in
+           itq.links(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    want = brute_near(rows)
+    assert sum(n for n, _ in want.values()) == 2 * (len(rows) - 60)
+    assert len({c for _, c in want.values()}) == 60
+    whole = [i for i, (n, _) in want.items() if got[i][0] == n]
+    assert len(whole) >= 0.95 * len(rows)
+    # a chain whose links were all found is one component, kept once
+    for group in range(60):
+        chain = [i for i in want if i // 1000 == group]
+        if all(got[i][0] == want[i][0] for i in chain):
+            assert {got[i][1] for i in chain} == {1000 * group} and sum(got[i][2] for i in chain) == 1
+
+
+def test_itq_block_roots():
+    """Blocks of two sides, against brute force."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((40, 3))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, copies = rng.permutation(40).astype(np.int64), np.ones(40, dtype=np.int64)
+    keys = np.zeros((40, 1), dtype=np.int64)
+    rows = [(int(i), v.tolist(), i < 0) for i, v in zip(ids, x)]
+    n, low, low_r = itq._block_links(*[(ids, x, keys, copies)] * 2, 0, 0.9)
+    want = brute_near(rows, 0.9)
+    assert {int(i): (int(a), int(b)) for i, a, b in zip(ids, n, low)} == want and (low == low_r).all()
+    n, low, low_r = itq._block_links(*((ids[s], x[s], keys[s], copies[s]) for s in (slice(0, 20), slice(20, 40))), 0, 0.9)
+    near = x[:20] @ x[20:].T >= 0.9
+    assert (n == near.sum(axis=1)).all()
+    for i, j in zip(*np.nonzero(near)):
+        assert low[i] == low_r[j] <= min(ids[i], ids[20 + j])
+
+
 def test_warc(spark, scratch):
     body = "x" * 120
     rows = [(3, "http://a/\r\nb", body), (1, "http://a", body), (1, "http://a", body), (2, None, None), (4, "u", "tiny"), (5, "u", "tiny"),
