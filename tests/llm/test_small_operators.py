@@ -161,6 +161,37 @@ def test_itq_components_of_chains(spark):
             assert {got[i][1] for i in chain} == {1000 * group} and sum(got[i][2] for i in chain) == 1
 
 
+def test_itq_recall_with_a_common_mean(spark):
+    """Pairs planted at 0.98 to 0.99 in a hot label, about a large common mean, and in small labels."""
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def planted(x):
+        ways = rng.standard_normal(x.shape)
+        ways = unit(ways - (ways * x).sum(axis=1, keepdims=True) * x)
+        c = rng.uniform(0.9801, 0.99, len(x))[:, None]
+        return c * x + np.sqrt(1 - c * c) * ways
+
+    middle = unit(rng.standard_normal(64))
+    for shift in (0.0, 2.1, 3.9):  # common part against one of length 1: means of about 0, 0.9, 0.97
+        hot = unit(shift * middle + unit(rng.standard_normal((5000, 64))))
+        rest = unit(shift * middle + unit(rng.standard_normal((500, 64))))
+        x = np.concatenate([hot, planted(hot[:1000]), rest, planted(rest)])
+        label = np.concatenate([np.full(6000, 7), np.tile(np.arange(10, 20), 100)])
+        rows = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, label))],
+                                     "vec_id long, embedding array<float>, label int")
+        found, want = 0, 0
+        got = {r.vec_id: r.n_links for r in itq.links(rows).collect()}
+        x32 = unit(x.astype(np.float32).astype(np.float64))
+        for part in (np.arange(6000), np.arange(6000, 7000)):
+            near = (x32[part] @ x32[part].T >= 0.98) & (label[part][:, None] == label[part][None, :])
+            n = near.sum(axis=1) - 1
+            have = np.array([got[i] for i in part])
+            assert (have <= n).all()
+            found, want = found + have.sum(), want + n.sum()
+        assert want >= 3000 and found >= 0.98 * want, (shift, found, want)
+
+
 def test_itq_block_roots():
     """Blocks of two sides, against brute force."""
     rng = np.random.default_rng(1)
