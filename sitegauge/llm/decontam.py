@@ -10,11 +10,15 @@ at least ``cover`` of the item's distinct windows and shares a run of at least
 implies the second at the default settings: runs of 6 tokens between changed
 ones leave a cover of 0.37 at most).
 
-For matches the slots are then read: where windows meet, slot j of the item
-faces slot j of the text. If every item value faces one text value only, the
-question was copied (``exact``: same values) or re-parameterised
-(``reworded``). If values conflict, the match stays (``literal``) only if the
-item's windows without placeholders alone reach ``cover``.
+For matches the slots are then read: where windows meet, the slot at a token of
+the item faces a slot of the text. All places of the text count, each as an
+occurrence: the windows of one alignment (text position minus item position),
+those of neighbouring alignments (a copy with words put in or left out) and the
+first places of all windows. If some occurrence reaches ``cover`` and every slot
+of the item faces one value only there, the question was copied (``exact``: same
+values) or re-parameterised (``reworded``). Otherwise the match stays
+(``literal``) only if the item's windows without placeholders alone reach
+``cover``. A decimal or grouped number ('2.5', '1,300') is one slot.
 
 The benchmark's windows are written first, so the optimiser sees their size
 and broadcasts them only below its own limit; a larger benchmark is joined by
@@ -50,6 +54,9 @@ _SEP = "[\\x00\\x04-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
 _IN = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
 
 
+# A number with its decimal and grouping marks, which become other signs in slots.
+_DOT, _COMMA = "\uE000", "\uE001"
+_NUMBER = "[0-9]+(?:[.,][0-9]+)*"
 _NAMES = r" (?<=[\p{Ll}0-9,;:] )(\p{Lu}\p{Ll}+)"
 _UNITS = "|".join(sorted(UNITS, key=len, reverse=True))
 
@@ -57,8 +64,10 @@ _UNITS = "|".join(sorted(UNITS, key=len, reverse=True))
 def marked(text: Column) -> Column:
     """The text with a mark in front of every name, number and unit."""
     named = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _NAMES, f" {_NAME}$1")
-    numbered = F.regexp_replace(named, "[0-9]+", f" {_NUM}$0 ")
-    return F.regexp_replace(numbered, f"({_NUM}[0-9]+ +)((?i:{_UNITS}))(?!{_IN})", f"$1{_UNIT}$2")
+    numbered = F.regexp_replace(named, _NUMBER, f" {_NUM}$0 ")
+    for mark, sign in ((r"\.", _DOT), (",", _COMMA)):
+        numbered = F.regexp_replace(numbered, f"(?<=[0-9]){mark}(?=[0-9])", sign)
+    return F.regexp_replace(numbered, f"({_NUM}[0-9{_DOT}{_COMMA}]+ +)((?i:{_UNITS}))(?!{_IN})", f"$1{_UNIT}$2")
 
 
 def _tokens(text: Column) -> Column:
@@ -69,7 +78,7 @@ def template(text: Column) -> Column:
     """Template tokens: words, and a mark alone for every slot. Token i belongs
     to token i of the marked text."""
     named = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _NAMES, f" {_NAME}")
-    numbered = F.regexp_replace(named, "[0-9]+", f" {_NUM} ")
+    numbered = F.regexp_replace(named, _NUMBER, f" {_NUM} ")
     return _tokens(F.regexp_replace(numbered, f"({_NUM} +)(?i:{_UNITS})(?!{_IN})", f"$1{_UNIT}"))
 
 
@@ -90,13 +99,12 @@ def template_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
              .withColumn("form", F.xxhash64("m")).withColumn("raw", _tokens(F.col("m"))).where("size(w) > 0"))
     bench = freeze(bench.select("item", "form", "w", "raw"), "items")
     forms = bench.groupBy("form").agg(F.first("w").alias("w"), F.first("raw").alias("raw"))
-    windows = (forms.select("form", F.inline(_windows("w", k)))
-               .groupBy("form", "h").agg(F.min("pos").alias("ipos")))
+    windows = forms.select("form", F.inline(_windows("w", k))).withColumnRenamed("pos", "ipos")
     # How many distinct windows an item has, and how many hold no slot.
     slotless = F.expr(f"not exists(slice(w, ipos + 1, {k}), x -> x rlike '[{_NAME}{_UNIT}{_NUM}]')")
     windows = freeze(windows.join(forms.select("form", "w"), "form")
                      .select("form", "h", "ipos", slotless.alias("plain")), "windows")
-    sizes = windows.groupBy("form").agg(F.count("*").alias("size"), F.sum(F.col("plain").cast("int")).alias("plain_size"))
+    sizes = windows.select("form", "h", "plain").distinct().groupBy("form").agg(F.count("*").alias("size"), F.sum(F.col("plain").cast("int")).alias("plain_size"))
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # A common run of k + STRIDE - 1 tokens covers a window of the grid; the texts
@@ -108,9 +116,10 @@ def template_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     texts = texts.withColumn("th", F.xxhash64("text"))
     met = freeze(hits(texts, STRIDE).select("th", "form").distinct(), "met")
     near = freeze(texts.join(met.select("th").distinct(), "th", "left_semi").dropDuplicates(["id", "th"]), "near")
-    found = freeze(hits(near, 1).join(met, ["th", "form"], "left_semi").groupBy("id", "th", "form", "h").agg(
-        F.min("pos").alias("pos"), F.first("ipos").alias("ipos"), F.first("plain").alias("plain")), "hits")
-    pairs = (found.groupBy("id", "th", "form").agg(F.count("*").alias("n"), F.sum(F.col("plain").cast("int")).alias("np"))
+    found = freeze(hits(near, 1).join(met, ["th", "form"], "left_semi"), "hits")
+    once = found.groupBy("id", "th", "form", "h").agg(
+        F.min(F.struct("pos", "ipos")).alias("p"), F.first("plain").alias("plain"))
+    pairs = (once.groupBy("id", "th", "form").agg(F.count("*").alias("n"), F.sum(F.col("plain").cast("int")).alias("np"))
              .join(sizes, "form").where((F.col("n") >= cover * F.col("size")) & (F.col("n") >= F.least(F.lit(STRIDE), "size")))
              .select("id", "th", "form", (F.col("n") / F.col("size")).alias("coverage"),
                      F.coalesce((F.col("np") >= cover * F.col("size")), F.lit(False)).alias("literal"),
@@ -122,18 +131,41 @@ def template_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     wanted = slotted.select("id", "th").distinct()
     raws = (near.alias("t").join(wanted.alias("x"), F.expr("t.id <=> x.id and t.th = x.th"), "left_semi")
             .select("id", "th", _tokens(marked(F.col("text"))).alias("traw")))
-    faced = (found.where("not plain").alias("f")
-             .join(slotted.select("id", "th", "form").alias("s"),
-                   F.expr("f.id <=> s.id and f.th = s.th and f.form = s.form"), "left_semi")
+    # Occurrences of an item: (0, alignment), (1, overlapping ranges of alignments,
+    # half an item wide), (2, the first places of all windows).
+    wide = F.expr("greatest(4, cast(ceil(size / 2) as int))")
+    of_slotted = slotted.select("id", "th", "form").join(sizes.select("form", "size"), "form").withColumn("wide", wide)
+    placed = (found.alias("f").join(of_slotted.alias("s"), F.expr("f.id <=> s.id and f.th = s.th and f.form = s.form"))
+              .select("f.*", "s.size", F.expr("cast(floor((pos - ipos) / s.wide) as int)").alias("range"))
+              .select("id", "th", "form", "h", "pos", "ipos", "plain", "size", F.explode(F.expr(
+                  "array(struct(0 as kind, pos - ipos as place), struct(1 as kind, range as place), "
+                  "struct(1 as kind, range + 1 as place))")).alias("o")))
+    first = (once.alias("f").join(of_slotted.alias("s"), F.expr("f.id <=> s.id and f.th = s.th and f.form = s.form"))
+             .select("f.id", "f.th", "f.form", "f.h", "f.p.pos", "f.p.ipos", "f.plain", "s.size",
+                     F.expr("struct(2 as kind, 0 as place)").alias("o")))
+    placed = placed.unionByName(first)
+    whole = (placed.select("id", "th", "form", "size", "o", "h").distinct().groupBy("id", "th", "form", "size", "o")
+             .agg(F.count("*").alias("n")).where(F.col("n") >= cover * F.col("size")).drop("size", "n"))
+    whole = freeze(whole, "occurrences")
+    faced = (placed.where("not plain").alias("f")
+             .join(whole.alias("o"), F.expr("f.id <=> o.id and f.th = o.th and f.form = o.form and f.o = o.o"), "left_semi")
              .alias("f").join(raws.alias("r"), F.expr("f.id <=> r.id and f.th = r.th"))
-             .select("f.id", "f.th", "f.form", "f.pos", "f.ipos", "r.traw")
+             .select("f.id", "f.th", "f.form", "f.o", "f.pos", "f.ipos", "r.traw")
              .join(forms.select("form", "raw"), "form")
-             .select("id", "th", "form", F.explode(F.expr(
-                 f"filter(zip_with(slice(raw, ipos + 1, {k}), slice(traw, pos + 1, {k}), (a, b) -> struct(a as i, b as t)), "
+             .select("id", "th", "form", "o", F.explode(F.expr(
+                 f"filter(zip_with(zip_with(slice(raw, ipos + 1, {k}), sequence(ipos, ipos + {k - 1}), (a, j) -> struct(a as i, j as slot)), "
+                 f"slice(traw, pos + 1, {k}), (a, b) -> struct(a.i as i, a.slot as slot, b as t)), "
                  f"x -> x.i rlike '^[{_NAME}{_UNIT}{_NUM}]')")).alias("v")))
-    verdict = (faced.groupBy("id", "th", "form", "v.i").agg(F.min("v.t").alias("lo"), F.max("v.t").alias("hi"))
-               .groupBy("id", "th", "form").agg(F.min(F.expr("lo = hi")).alias("consistent"),
-                                                F.min(F.expr("lo = i and hi = i")).alias("same")))
+    values = (faced.groupBy("id", "th", "form", "o", "v.slot").agg(
+        F.min("v.t").alias("lo"), F.max("v.t").alias("hi"), F.first("v.i").alias("i"))
+        .groupBy("id", "th", "form", "o").agg(F.min(F.expr("lo = hi")).alias("consistent"),
+                                              F.min(F.expr("lo = i and hi = i")).alias("same")))
+    # an occurrence of plain windows alone conflicts with nothing
+    verdict = (whole.alias("w").join(values.alias("v"), F.expr(
+        "w.id <=> v.id and w.th = v.th and w.form = v.form and w.o = v.o"), "left")
+        .select("w.id", "w.th", "w.form", F.coalesce("v.consistent", F.lit(True)).alias("consistent"),
+                F.coalesce("v.same", F.lit(True)).alias("same"))
+        .groupBy("id", "th", "form").agg(F.max("consistent").alias("consistent"), F.max("same").alias("same")))
     judged = (pairs.alias("p").join(verdict.alias("v"), F.expr("p.id <=> v.id and p.th = v.th and p.form = v.form"), "left")
               .select("p.id", "p.form", "p.coverage", "p.literal",
                       F.coalesce("v.consistent", F.lit(True)).alias("consistent"),

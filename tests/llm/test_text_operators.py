@@ -127,6 +127,21 @@ def test_decontamination_slots(spark):
     assert decontam.drop_contaminated(docs, items).where("doc_id in (3, 4, 5)").count() == 3
 
 
+def test_decontamination_occurrences(spark):
+    """True copies behind a variant, equal numbers re-parameterised apart, decimals for whole numbers."""
+    item = "Ann buys 3 boxes of pears and 3 boxes of plums, then she pays 20 dollars and walks 4 miles to the old mill"
+    variant = "then she pays 90 dollars and walks 8 miles to the old mill"
+    split = item.replace("then she pays", "then, as always, she gladly pays")
+    texts = [(1, variant + " . " + "so it goes on and on here " * 20 + item), (2, item.replace("3 boxes of pears", "6 boxes of pears").replace("3 boxes of plums", "8 boxes of plums")),
+             (3, item.replace("3", "2.5")), (4, item.replace("20", "1,300")), (5, variant + " . " + item + " . " + variant),
+             (6, "we say that " + variant + " . " + "so it goes on and on here " * 20 + split), (7, "so it goes on and on here " * 20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.kind for r in decontam.template_matches(docs, items).collect()}
+    assert got == {1: "exact", 2: "reworded", 3: "reworded", 4: "reworded", 5: "exact", 6: "exact"}
+    assert {r.doc_id for r in decontam.drop_contaminated(docs, items).collect()} == {7}
+
+
 def test_langid_held_out(spark):
     got = langid.op5_langid_centroids(spark, "/root/testdata/sf0.01")
     truth = read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang")
