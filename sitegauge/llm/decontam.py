@@ -5,10 +5,9 @@ number and capitalised words inside a sentence (names) become the typed
 placeholders of a template; their raw values are the template's slots. Every
 window of ``k`` template tokens of every text is hashed and joined with the
 windows of the benchmark items. A text and an item match when the text holds
-at least ``cover`` of the item's distinct windows and shares a run of at least
-``k + STRIDE - 1`` tokens with it (for items of 15 tokens or more the first
-implies the second at the default settings: runs of 6 tokens between changed
-ones leave a cover of 0.37 at most).
+at least ``cover`` of the item's distinct windows, at whatever places. An item of
+fewer than ``k`` tokens is one window of its own length, which is looked for at
+every position of the texts as well.
 
 For matches the slots are then read: where windows meet, the slot at a token of
 the item faces a slot of the text. All places of the text count, each as an
@@ -24,9 +23,8 @@ The benchmark's windows are written first, so the optimiser sees their size
 and broadcasts them only below its own limit; a larger benchmark is joined by
 a shuffle. Equal items are joined as one template and named each in the result.
 
-Defined results: null or empty texts and items match nothing. A text or item of
-``k`` tokens or fewer has its whole sequence as its one window, so a short
-item matches texts that are wholly that short item. Repeated document rows are
+Defined results: null or empty texts and items match nothing. A text matches a
+short item wherever it holds all of its tokens in a row. Repeated document rows are
 judged alike and reported once per (document, item); a null id is kept as null.
 Extra columns are not read; empty tables give an empty result.
 """
@@ -40,8 +38,6 @@ from sitegauge.llm.tables import freeze, read
 
 K = 5
 COVER = 0.4
-#: Texts' windows are first hashed at every STRIDE-th position.
-STRIDE = 3
 #: Unit words after a number, in natural order (a parameter of this operator).
 UNITS = ("kg", "g", "mg", "lb", "oz", "km", "m", "cm", "mm", "mi", "ft", "in", "l", "ml", "h", "s", "min",
          "kilograms", "grams", "pounds", "ounces", "kilometers", "meters", "miles", "feet", "inches", "liters",
@@ -82,12 +78,20 @@ def template(text: Column) -> Column:
     return _tokens(F.regexp_replace(numbered, f"({_NUM} +)(?i:{_UNITS})(?!{_IN})", f"$1{_UNIT}"))
 
 
-def _windows(words: str, k: int, stride: int = 1) -> Column:
-    """Positions and hashes of the windows of an array column of tokens, at
-    every ``stride``-th position and at the end."""
-    return F.expr(f"""case when size({words}) > {k}
-        then transform(sequence(0, size({words}) - {k}, {stride}), i -> struct(i as pos, xxhash64(slice({words}, i + 1, {k})) as h))
-        when size({words}) > 0 then array(struct(0 as pos, xxhash64({words}, size({words})) as h)) else array() end""")
+def _windows(words: str, k: int, short: tuple = ()) -> Column:
+    """Positions and hashes of all windows of ``k`` tokens of an array column, and
+    of all windows of each length in ``short``; their length goes into the hash."""
+    def of(n: int, own: str) -> str:
+        return (f"if(size({words}) >= {n}, transform(sequence(0, greatest(size({words}) - {n}, 0)), "
+                f"i -> struct(i as pos, xxhash64(slice({words}, i + 1, {n}){own}) as h)), array())")
+    return F.expr(f"concat({', '.join([of(k, ''), *(of(n, f', {n}') for n in short)])})")
+
+
+def _item_windows(words: str, k: int) -> Column:
+    """The windows of an item: all of ``k`` tokens, or one of its own length."""
+    return F.expr(f"""case when size({words}) >= {k}
+        then transform(sequence(0, size({words}) - {k}), i -> struct(i as pos, xxhash64(slice({words}, i + 1, {k})) as h))
+        else array(struct(0 as pos, xxhash64({words}, size({words})) as h)) end""")
 
 
 def template_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -99,7 +103,7 @@ def template_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
              .withColumn("form", F.xxhash64("m")).withColumn("raw", _tokens(F.col("m"))).where("size(w) > 0"))
     bench = freeze(bench.select("item", "form", "w", "raw"), "items")
     forms = bench.groupBy("form").agg(F.first("w").alias("w"), F.first("raw").alias("raw"))
-    windows = forms.select("form", F.inline(_windows("w", k))).withColumnRenamed("pos", "ipos")
+    windows = forms.select("form", F.inline(_item_windows("w", k))).withColumnRenamed("pos", "ipos")
     # How many distinct windows an item has, and how many hold no slot.
     slotless = F.expr(f"not exists(slice(w, ipos + 1, {k}), x -> x rlike '[{_NAME}{_UNIT}{_NUM}]')")
     windows = freeze(windows.join(forms.select("form", "w"), "form")
@@ -107,20 +111,24 @@ def template_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     sizes = windows.select("form", "h", "plain").distinct().groupBy("form").agg(F.count("*").alias("size"), F.sum(F.col("plain").cast("int")).alias("plain_size"))
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # A common run of k + STRIDE - 1 tokens covers a window of the grid; the texts
-    # that meet an item there are then read again at every position.
-    def hits(some: DataFrame, stride: int) -> DataFrame:
+    # Lengths of the items shorter than a window: k - 1 at most.
+    short = tuple(sorted(r[0] for r in forms.where(F.size("w") < k).select(F.size("w")).distinct().collect()))
+
+    def hits(some: DataFrame) -> DataFrame:
         return (some.select("id", "th", template(F.col("text")).alias("w"))
-                .select("id", "th", F.inline(_windows("w", k, stride))).join(windows, "h"))
+                .select("id", "th", F.inline(_windows("w", k, short))).join(windows, "h"))
 
+    # Texts that hold enough of an item's windows are then read again for the places.
     texts = texts.withColumn("th", F.xxhash64("text"))
-    met = freeze(hits(texts, STRIDE).select("th", "form").distinct(), "met")
+    met = (hits(texts).select("th", "form", "h").distinct().groupBy("th", "form").agg(F.count("*").alias("n"))
+           .join(sizes.select("form", "size"), "form").where(F.col("n") >= cover * F.col("size")).select("th", "form"))
+    met = freeze(met, "met")
     near = freeze(texts.join(met.select("th").distinct(), "th", "left_semi").dropDuplicates(["id", "th"]), "near")
-    found = freeze(hits(near, 1).join(met, ["th", "form"], "left_semi"), "hits")
+    found = freeze(hits(near).join(met, ["th", "form"], "left_semi"), "hits")
     once = found.groupBy("id", "th", "form", "h").agg(
         F.min(F.struct("pos", "ipos")).alias("p"), F.first("plain").alias("plain"))
     pairs = (once.groupBy("id", "th", "form").agg(F.count("*").alias("n"), F.sum(F.col("plain").cast("int")).alias("np"))
-             .join(sizes, "form").where((F.col("n") >= cover * F.col("size")) & (F.col("n") >= F.least(F.lit(STRIDE), "size")))
+             .join(sizes, "form").where(F.col("n") >= cover * F.col("size"))
              .select("id", "th", "form", (F.col("n") / F.col("size")).alias("coverage"),
                      F.coalesce((F.col("np") >= cover * F.col("size")), F.lit(False)).alias("literal"),
                      (F.col("plain_size") < F.col("size")).alias("has_slots")))

@@ -142,6 +142,20 @@ def test_decontamination_occurrences(spark):
     assert {r.doc_id for r in decontam.drop_contaminated(docs, items).collect()} == {7}
 
 
+def test_decontamination_short_items(spark):
+    """Items of 2 to 8 tokens are found at every position of longer texts."""
+    tokens = "what river flows through the old town centre".split()
+    items = spark.createDataFrame([(n, " ".join(tokens[:n])) for n in range(2, 9)] + [(0, None)], "item_id long, text string")
+    texts = [(i, "well " * i + " ".join(tokens) + " he asked them") for i in range(6)]
+    texts += [(10, "what river flows over the hill"), (11, "the old town centre"), (12, None), (13, "what"),
+              (14, "no other river flows through the old town, she says")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.template_matches(docs, items).collect()}
+    # 14 shares 'river flows through the old [town]': 1 of 2, 2 of 3 and 2 of 4 windows
+    want = {(i, n) for i in range(6) for n in range(2, 9)} | {(10, 2), (10, 3), (14, 6), (14, 7), (14, 8)}
+    assert got == want
+
+
 def test_langid_held_out(spark):
     got = langid.op5_langid_centroids(spark, "/root/testdata/sf0.01")
     truth = read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang")
