@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from sitegauge.llm import (chat, decontam, itq, jaccard, langid, packing, quality, sentencepiece,
-                           urltree, warc)
+from sitegauge.llm import (chat, decontam, hardneg, itq, jaccard, langid, packing, quality, secretscan,
+                           sentencepiece, tokalign, urltree, warc)
 
 QUERIES = {
     "op1_url_template_tree": urltree.op1_url_template_tree,
@@ -17,11 +17,34 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece.op8_sentencepiece,
     "op9_itq_near_dups": itq.op9_itq_near_dups,
     "op10_warc_writer": warc.op10_warc_writer,
+    "op11_secret_scan": secretscan.op11_secret_scan,
+    "op12_hard_negatives": hardneg.op12_hard_negatives,
+    "op13_token_alignment": tokalign.op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
-#: The archives say what this says; every other operator trains, iterates,
-#: tokenises or shards, and is held against brute force in tests/llm.
+def _letters(word: str) -> str:
+    """A pattern of the word's ASCII letters in either case."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = ("(?:" + "|".join(_letters(w) for w in ("password", "passwd", "secret", "token", "api_"))
+           + "?" + _letters("key") + """)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+#: kind, pattern, characters that are counted, least number of them. Counts that
+#: change no other match stand in the pattern.
+_SECRETS = (
+    ("assign", _ASSIGN, 1, 8), ("access", "AKIA[A-Z0-9]{12,}", 0, 0), ("hex", "[0-9a-f]{32,}", 0, 0),
+    ("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 0, 0),
+    ("web_token", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", 0, 40),
+    ("host_token", "gh[oprsu]_[A-Za-z0-9]+", 0, 40), ("chat_token", "xox[abprs]-[A-Za-z0-9-]+", 0, 20))
+#: Matches and the pieces between them give every match's place.
+_SECRET_ROWS = " UNION ALL ".join(
+    f"""SELECT rn, {i} AS o, '{kind}' AS kind, regexp_extract_all(x, '{p}') AS hits,
+               regexp_extract_all(x, '{p}', {g}) AS counted, string_split_regex(x, '{p.replace("(", "(?:").replace("(?:?:", "(?:")}') AS gaps, {least} AS least
+        FROM t WHERE regexp_matches(x, '{p}')""" for i, (kind, p, g, least) in enumerate(_SECRETS))
+
+#: What SQL can say; the other operators train, iterate, tokenise or shard, and
+#: are held against brute force in tests/llm.
 SQL: dict[str, str] = {
     "op10_warc_writer": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
@@ -30,4 +53,32 @@ SQL: dict[str, str] = {
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
                CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first_id < page_id THEN first_id END AS refers_to FROM d""",
+    "op11_secret_scan": f"""
+        WITH t AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS x FROM documents),
+             m AS ({_SECRET_ROWS}),
+             e AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+             s AS (SELECT rn, o, kind, length(hits[i]) AS n,
+                          CAST(list_sum(list_transform(gaps[1:i], lambda y: length(y)))
+                               + coalesce(list_sum(list_transform(hits[1:i - 1], lambda y: length(y))), 0) AS BIGINT) AS a
+                   FROM e WHERE length(counted[i]) >= least),
+             g AS (SELECT rn, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                          count(*) FILTER (kind = 'hex') AS n_hex,
+                          string_agg(kind || ':' || a || ':' || a + n, ',' ORDER BY a, o) FILTER (o < 3) AS base,
+                          string_agg(kind || ':' || a || ':' || a + n, ',' ORDER BY a, o) AS spans FROM s GROUP BY rn)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN g USING (rn)""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, row_number() OVER () AS rn, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.rn AS arn, a.vec_id AS anchor_id, c.rn, c.vec_id, a.label = c.label AS same,
+                          CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+                   FROM v a JOIN v c ON a.rn <> c.rn AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0),
+             p AS (SELECT arn, anchor_id, vec_id, score,
+                          row_number() OVER (PARTITION BY arn ORDER BY score DESC, vec_id NULLS LAST, rn) AS k
+                   FROM s WHERE same QUALIFY k <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.arn, p.k ORDER BY s.score DESC, s.vec_id NULLS LAST, s.rn) AS INTEGER) AS rank
+        FROM p JOIN s USING (arn) WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score QUALIFY rank <= 5""",
 }
