@@ -4,7 +4,7 @@ Each text is encoded by a byte-level BPE (A, of the tokenizers library, after a
 space) and by a SentencePiece model (B, which adds the space). Where tokens end:
 
 * the libraries' spans are coarse cuts: A's character offsets become byte
-  offsets, B's spans (of its result message) are bytes already;
+  offsets, B's spans (those of its result message) are bytes already;
 * a token whose span has as many bytes as the token decodes to is cut there;
   tokens of parts of a character, whose spans are the whole character or
   nothing, are cut by the decoded bytes since the last such cut.
@@ -18,8 +18,10 @@ writes, with every document, its pairs as numbers into the block's list of
 distinct pairs, which stands once for the block. Only the blocks' lists are
 shuffled by pair (counts, and the best count of an A id), so a common pair costs
 one row a block, not one a document; the counts then return to their block and
-meet its documents. A worker keeps B's tokens of recent words (at most
-``WORDS``), if the model's pieces never run across a space.
+meet its documents. Both tokenizers work word by word where that changes no
+token (neither's pieces run on across a space; else on whole texts), so a worker
+keeps the tokens of recent words (about ``WORDS``) and puts texts together from
+them.
 
 Defined results: a text that is null, empty, or that a tokenizer doesn't give
 back byte for byte (the space marker itself in a text, for one) has no tokens:
@@ -35,6 +37,7 @@ import json
 import os
 import re
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +54,10 @@ VOCABULARY, MODEL = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_
 CALL_BYTES, BLOCK_BYTES = 1 << 20, 4 << 20
 #: Pairs that are written out one by one at once.
 EXPAND = 1 << 22
-#: Words whose B tokens a worker keeps, each of at most WORD_CHARS characters.
-WORDS, WORD_CHARS = 100_000, 64
+#: Words (and, 16 times as many, tokens) that a worker keeps before it begins anew.
+WORDS = 400_000
+#: Words begin at a space behind something that is no white space.
+CUT = re.compile(r"(?<=\S)(?= )")
 
 
 def byte_letters() -> dict[str, int]:
@@ -64,7 +69,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class SideA:
-    """The byte-level BPE: ids, ends in bytes, and whether the bytes are the text's."""
+    """The byte-level BPE: ids and spans in bytes of each word."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -76,26 +81,29 @@ class SideA:
         self.tok.encode_special_tokens = True
         letters = byte_letters()
         self.bytes = [b""] * self.tok.get_vocab_size(with_added_tokens=True)
-        special = {x["id"] for x in json.loads(data).get("added_tokens", ())}
+        read = json.loads(data)
+        special = {x["id"] for x in read.get("added_tokens", ())}
         for text, i in self.tok.get_vocab(with_added_tokens=True).items():
             self.bytes[i] = text.encode() if i in special else bytes(letters[c] for c in text)
         self.sizes = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        # Words are cut from what follows where a space follows no space: the
+        # vocabulary's own cutting does the same if it is the byte-level one.
+        self.by_word = (read.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not read.get("normalizer")
 
-    def encode(self, texts: list[str], raw: list[bytes]):
-        for text, whole, got in zip(texts, raw, self.tok.encode_batch(texts, add_special_tokens=False)):
-            ids = np.array(got.ids, dtype=np.int64)
-            if b"".join([self.bytes[i] for i in got.ids]) != whole:
-                yield None
-                continue
-            spans = np.array(got.offsets, dtype=np.int64).reshape(-1, 2)
-            if len(whole) != len(text):     # characters to bytes
-                at = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
-                spans = np.append(at, len(whole))[spans]
-            yield ids, cuts(spans[:, 0], spans[:, 1], self.sizes[ids])
+    def encode(self, words: list[str]):
+        """(ids, spans in characters) of each word."""
+        return ((got.ids, got.offsets) for got in self.tok.encode_batch(words, add_special_tokens=False))
+
+    def in_bytes(self, spans: np.ndarray, starts: np.ndarray, sizes: np.ndarray, words: list[str], raw: list[bytes]) -> np.ndarray:
+        """Spans in bytes; ``starts`` and ``sizes`` are each word's tokens."""
+        text = np.frombuffer(b"".join(raw), np.uint8)
+        at = np.append(np.flatnonzero((text & 0xC0) != 0x80), len(text))    # of every character
+        first = np.cumsum([0, *map(len, words)])[:-1]
+        return at[spans + np.repeat(first, sizes)[:, None]] - np.repeat(at[first], sizes)[:, None]
 
 
 class SideB:
-    """The SentencePiece model: the same of its pieces, with the space that it adds."""
+    """The SentencePiece model: the same of its pieces, for words without the space it adds."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -110,61 +118,79 @@ class SideB:
         #: no piece runs on across a space, and spaces are kept as they are
         self.by_word = (model.add_dummy_prefix and not model.remove_extra_spaces and not model.charsmap
                         and all(MARK not in t.lstrip(MARK) for t in usable))
-        self.known: dict = {}
-
-    def messages(self, texts: list[str]):
-        """(ids, begins, ends) of each text's tokens, in bytes behind the added space."""
-        for m in self.sp.encode(texts, return_type="proto", num_threads=1):
-            ids, spans = [], []
-            for p in m.pieces:
-                ids.append(p.id)
-                spans.append((p.begin, p.end))
-            yield ids, spans
-
-    def told(self, text: str, ids: list, spans: list):
-        """(ids, ends) of " " + text, or None where the bytes differ."""
-        whole = b" " + text.encode()
-        if b"".join([self.bytes[i] for i in ids]) != whole:
-            return None
-        s = np.array(spans, dtype=np.int64).reshape(-1, 2) + 1
-        s[:1, 0] = 0        # the added space belongs to the first token
-        i = np.array(ids, dtype=np.int64)
-        return i, cuts(s[:, 0], s[:, 1], self.sizes[i]), len(whole)
-
-    def encode(self, texts: list[str]):
-        """Of " " + text for each text."""
-        if not self.by_word:
-            for text, (ids, spans) in zip(texts, self.messages(texts)):
-                yield self.told(text, ids, spans)
-            return
-        # a single last space goes with its word: the model adds none to an empty text
-        cut = [re.findall(r" +[^ ]+ \Z| +[^ ]*", " " + t) for t in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
-        new = list({w for words in cut for w in words if w not in self.known})
-        seen = {w: self.told(w[1:], *m) for w, m in zip(new, self.messages([w[1:] for w in new]))}
-        self.known.update((w, x) for w, x in seen.items() if len(w) <= WORD_CHARS)
-        for words in cut:
-            parts = [seen.get(w) or self.known.get(w) for w in words]
-            if None in parts:
-                yield None
-                continue
-            ids, ends, sizes = zip(*parts)
-            at = np.cumsum(sizes) - sizes
-            yield np.concatenate(ids), np.concatenate(ends) + np.repeat(at, [len(x) for x in ids]), int(at[-1] + sizes[-1])
-
-
-def cuts(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+
+    def encode(self, words: list[str]):
+        """(ids, spans in bytes behind the added space) of each word."""
+        # the spans are those of the library's result message, given as lists
+        return ((got["ids"], got["offsets"]) for got in self.sp.encode(
+            [w[1:] for w in words], return_type="offset_mapping", return_bytes=True, num_threads=1))
+
+    def in_bytes(self, spans: np.ndarray, starts: np.ndarray, sizes: np.ndarray, words: list[str], raw: list[bytes]) -> np.ndarray:
+        """Spans of the words with their space, which belongs to the first token."""
+        spans = spans + 1
+        spans[starts[sizes > 0], 0] = 0
+        return spans
+
+
+def cuts(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Where tokens end: at their span's end if the span is of the decoded size,
-    else as many decoded bytes behind the last such end."""
+    else as many decoded bytes behind the last such end. ``starts`` is the index
+    of the first token of each token's word; all offsets count from the word."""
     count = np.cumsum(sizes)
-    whole = ends - begins == sizes
-    last = np.maximum.accumulate(np.where(whole, np.arange(len(sizes)), -1))
-    refined = np.where(last < 0, count, ends[last] + count - count[last]) if len(sizes) else count
+    count = count - (count - sizes)[starts]
+    at = np.arange(len(sizes))
+    last = np.maximum.accumulate(np.where(ends - begins == sizes, at, -1))
+    refined = np.where(last < starts, count, ends[last] + count - count[last])
     # a span that contradicts the bytes before it gives way to them
     return np.where(refined == count, refined, count)
 
 
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of the runs that begin at ``starts``, one after another."""
+    total = np.cumsum(sizes)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(starts - total + sizes, sizes)
+
+
+class Words:
+    """Tokens of the words that a worker has met lately, for one side."""
+
+    def __init__(self, side):
+        self.side = side
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids = self.ends = self.starts = self.sizes = np.zeros(0, dtype=np.int64)
+        self.same = np.zeros(0, dtype=bool)
+
+    def add(self, words: list[str], raw: list[bytes]) -> None:
+        """Encode further words; their numbers follow those of the words before."""
+        side, ids, spans, sizes = self.side, [], [], []
+        for i, s in side.encode(words):
+            ids += i
+            spans += s
+            sizes.append(len(i))
+        decoded = [side.bytes[x] for x in ids]
+        ids, sizes = np.array(ids, dtype=np.int64), np.array(sizes, dtype=np.int64)
+        spans = np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(ids)).reshape(-1, 2)
+        starts = np.cumsum(sizes) - sizes
+        ends = cuts(*side.in_bytes(spans, starts, sizes, words, raw).T, side.sizes[ids], np.repeat(starts, sizes))
+        # bytes word by word only where not all are the same
+        count = np.array([len(x) for x in raw], dtype=np.int64)
+        same = np.bincount(np.repeat(np.arange(len(words)), sizes), weights=side.sizes[ids], minlength=len(words)) == count
+        if not same.all() or b"".join(decoded) != b"".join(raw):
+            same = np.array([b"".join(decoded[a:a + n]) == x for a, n, x in zip(starts.tolist(), sizes.tolist(), raw)], dtype=bool)
+        self.starts = np.append(self.starts, starts + len(self.ids))
+        self.sizes = np.append(self.sizes, sizes)
+        self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, ends)
+        self.same = np.append(self.same, same)
+
+    def tokens(self, numbers: np.ndarray, at: np.ndarray):
+        """(ids, ends, tokens of each word) of words that begin at the bytes ``at``."""
+        sizes = self.sizes[numbers]
+        where = _ragged(self.starts[numbers], sizes)
+        return self.ids[where], self.ends[where] + np.repeat(at, sizes), sizes
+
+
 def linked(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, doc_of: np.ndarray):
     """(document, a, b, links) of each document's distinct linked pairs, sorted. The
     groups' numbers of the tokens are sorted; ``doc_of`` is each group's document."""
@@ -213,9 +239,35 @@ class Aligner:
         self.a, self.b = SideA(vocabulary), SideB(model)
         if len(self.b.bytes) > 1 << 16 or len(self.a.bytes) > 1 << 17:
             raise ValueError("ids are beyond the pairs' 33 bits")
+        self.by_word = self.a.by_word and self.b.by_word
+        self.words_a, self.words_b = Words(self.a), Words(self.b)
+        self.known: dict = {}       # word -> number
         digits = [str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
         self.wide = len(digits)
-        self.words = np.array([d + sign for sign in (",", "|", ";", "") for d in digits], dtype=object)
+        self.signed = np.array([d + sign for sign in (",", "|", ";", "") for d in digits], dtype=object)
+
+    def cut(self, text: str) -> list[str]:
+        """" " + text, cut before spaces that follow no white space."""
+        if not self.by_word:
+            return [" " + text]
+        words = CUT.split(" " + text)
+        if words[-1] == " " and len(words) > 1:     # B adds no space to an empty text
+            words[-2:] = [words[-2] + " "]
+        return words
+
+    def number(self, words: list[str]) -> np.ndarray:
+        """Each word's number; new words are encoded."""
+        if len(self.known) > WORDS or len(self.words_a.ids) > 16 * WORDS:
+            self.known.clear()
+            self.words_a.clear()
+            self.words_b.clear()
+        new = list(dict.fromkeys(w for w in words if w not in self.known))
+        if new:
+            raw = [w.encode() for w in new]
+            self.words_a.add(new, raw)
+            self.words_b.add(new, raw)
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        return np.array([self.known[w] for w in words], dtype=np.int64)
 
     @classmethod
     def of(cls, vocabulary: str, model: str) -> Aligner:
@@ -226,24 +278,27 @@ class Aligner:
     def align(self, texts: list):
         """(n_a, n_b, n_groups, n_links, digest) lists, and the documents' pairs as
         (document, pair) keys with their links."""
-        some = [i for i, t in enumerate(texts) if t]
-        spaced = [" " + texts[i] for i in some]
-        raw = [t.encode() for t in spaced]
-        rows, ids_a, ids_b, ends_a, ends_b, at = [], [], [], [], [], 0
-        for i, one, x, y in zip(some, raw, self.a.encode(spaced, raw), self.b.encode([texts[i] for i in some])):
-            if x is not None and y is not None:
-                rows.append(i)
-                ids_a.append(x[0])
-                ids_b.append(y[0])
-                ends_a.append(x[1] + at)
-                ends_b.append(y[1] + at)
-                at += len(one)
         n_a, n_b, groups, links = (np.zeros(len(texts), dtype=np.int64) for _ in range(4))
         digests = [""] * len(texts)
-        if not rows:
+        some = np.array([i for i, t in enumerate(texts) if t], dtype=np.int64)
+        cut = [self.cut(texts[i]) for i in some.tolist()]
+        numbers = self.number([w for words in cut for w in words])
+        count = np.array([len(words) for words in cut], dtype=np.int64)
+        # texts with a word that a side doesn't give back have no tokens
+        whole = self.words_a.same[numbers] & self.words_b.same[numbers]
+        of = np.repeat(np.arange(len(cut)), count)
+        good = np.bincount(of, weights=~whole, minlength=len(cut)) == 0
+        numbers, of, some = numbers[good[of]], (np.cumsum(good) - 1)[of[good[of]]], some[good]
+        if not len(some):
             return n_a, n_b, groups, links, digests, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        n_a[rows], n_b[rows] = [len(x) for x in ids_a], [len(x) for x in ids_b]
-        a, b, ends_a, ends_b = map(np.concatenate, (ids_a, ids_b, ends_a, ends_b))
+        a_ends = self.words_a
+        sizes = np.where(a_ends.sizes[numbers] > 0, a_ends.ends[a_ends.starts[numbers] + a_ends.sizes[numbers] - 1], 0)
+        starts = np.cumsum(sizes) - sizes
+        at = int(sizes.sum())
+        a, ends_a, per_a = self.words_a.tokens(numbers, starts)
+        b, ends_b, per_b = self.words_b.tokens(numbers, starts)
+        n_a[some], n_b[some] = (np.bincount(of, weights=x, minlength=len(some)).astype(np.int64) for x in (per_a, per_b))
+        rows = some.tolist()
         marks = np.zeros((2, at + 1), dtype=bool)
         marks[0, ends_a] = marks[1, ends_b] = True
         both = marks[0] & marks[1]
@@ -263,8 +318,8 @@ class Aligner:
         ends_doc = np.append(doc_of[1:] != doc_of[:-1], True)[group_b]
         sign_b = np.where(last_b, np.where(ends_doc, 3, 2), 0)
         words = np.empty(len(a) + len(b), dtype=object)
-        words[place_a] = self.words[sign_a * self.wide + a]
-        words[place_b] = self.words[sign_b * self.wide + b]
+        words[place_a] = self.signed[sign_a * self.wide + a]
+        words[place_b] = self.signed[sign_b * self.wide + b]
         words, first = words.tolist(), 0
         for i in rows:
             end = first + int(n_a[i] + n_b[i])

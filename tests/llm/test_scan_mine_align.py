@@ -202,7 +202,7 @@ def alignment_texts(spark):
             "1234567", "\x00", "ሴ", "=" * 40, "aaaaaaaa", " ", "▁"]
     made = ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 40))) for _ in range(150)]
     real = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()]
-    return made + real + ["", None, " ", "  ", " x", "x ", "\n", "🙂" * 3000, "ab" * 20_000, real[0], real[0], "▁", "a b" * 5, "b \n", "b  \n", "b \n ", "  "]
+    return made + real + ["", None, " ", "  ", " x", "x ", "\n", "🙂" * 3000, "ab" * 20_000, real[0], real[0], "▁", "a b" * 5, "b \n", "b  \n", "b \n ", "  ", "a \u3000 b", "a\u2003 b \u00a0", "\x1c x"]
 
 
 def test_alignment_against_brute_force(spark, monkeypatch):
@@ -223,14 +223,16 @@ def test_alignment_without_word_memory_or_small_groups(spark, monkeypatch):
     texts = alignment_texts(spark)[:120] + ["ab" * 3000]
     fast = tokalign.Aligner(tokalign.VOCABULARY, tokalign.MODEL)
     slow = tokalign.Aligner(tokalign.VOCABULARY, tokalign.MODEL)
-    assert fast.b.by_word
-    slow.b.by_word = False
+    assert fast.by_word
+    slow.by_word = False
     one, other = fast.align(texts), slow.align(texts)
     for x, y in zip(one, other):
         assert list(x) == list(y)
     monkeypatch.setattr(tokalign, "EXPAND", 5)
+    monkeypatch.setattr(tokalign, "WORDS", 10)
     for x, y in zip(one, fast.align(texts)):
         assert list(x) == list(y)
+    assert fast.align(texts[:3])[4] == one[4][:3]
 
 
 def test_linked_groups_of_any_size():
