@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's behaviour.
 # Characters removed from money text before parsing it as a number.
-MONEY_STRIP_PATTERN = r"[$,]"
+MONEY_SIGNS = "$,"
 # Text that stands for a missing price: the price log is re-read with the
 # default missing-value markers of a pandas CSV read.
 MISSING_PRICE_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -29,7 +29,7 @@ def _col(c: str | Column) -> Column:
 
 def clean_money(c: str | Column) -> Column:
     """Strip every ``$`` and ``,`` from money text."""
-    return F.regexp_replace(_col(c), MONEY_STRIP_PATTERN, "")
+    return F.translate(_col(c), MONEY_SIGNS, "")
 
 
 def parse_money(c: str | Column, null_tokens: Iterable[str] = MISSING_PRICE_TOKENS) -> Column:
@@ -37,11 +37,13 @@ def parse_money(c: str | Column, null_tokens: Iterable[str] = MISSING_PRICE_TOKE
 
     ``try_cast`` keeps ANSI mode from failing the whole job on dirty text; a
     NaN that still gets through (any spelling not in the list) becomes NULL,
-    never NaN (trap T1).
+    never NaN (trap T1). The cast stands once in the expression: a failed cast
+    is dear, and a shared one would be evaluated before the missing tokens are
+    taken out.
     """
     raw = F.trim(_col(c))
     tokens = list(null_tokens)
-    parsed = nan_to_null(clean_money(raw).try_cast("double"))
+    parsed = F.nanvl(clean_money(raw).try_cast("double"), F.lit(None).cast("double"))
     if not tokens:
         return parsed
     return F.when(raw.isin(tokens), F.lit(None).cast("double")).otherwise(parsed)

@@ -1,9 +1,11 @@
 """Keep-first / latest-per-key and strict-uniqueness operators.
 
-Both keep-first forms are aggregates (``min_by`` / ``max_by`` over a struct),
-not ``row_number`` windows: an aggregate combines map-side, so a key that holds
-a third of all rows is reduced inside every input task before the shuffle
-instead of landing whole in one task.
+``keep_first`` and ``latest_per_key`` are aggregates (``min_by`` / ``max_by``
+over a struct), not ``row_number`` windows: an aggregate combines map-side, so a
+key that holds a third of all rows is reduced inside every input task before
+the shuffle instead of landing whole in one task. ``keep_first_late`` is for wide
+rows of which few repeat a key: only the keys are grouped, and rows whose key
+is their own never move.
 """
 
 from __future__ import annotations
@@ -34,6 +36,41 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in keep])
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys (NULLs are keys) of more than one row, written and read back, so that
+    their real size decides how they are joined."""
+    from sitegauge.session import freeze
+    return freeze(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "repeated-keys")
+
+
+def keep_first_late(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                    keep: Sequence[str] | None = None) -> DataFrame:
+    """:func:`keep_first` in two phases (A9), for wide rows.
+
+    First a hash aggregate counts the rows of each key; it reads and moves keys
+    only, and leaves those that repeat. Then the rows are read with the repeated
+    keys beside them: a row that is alone passes as it is, without a shuffle
+    when the repeated keys are few (broadcast by their written size) and with
+    one when they are many; the others go through :func:`first_of_few`. Neither
+    phase sorts all rows.
+    """
+    keep = [c for c in (keep or df.columns) if c not in keys]
+    again = repeated_keys(df, keys).select(*[F.col(k).alias(f"_again_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_again_{k}")) for k in keys]
+    names = [f"_order_{i}" for i in range(len(order))]
+    rows = df.select(*keys, *keep, *[c.alias(n) for c, n in zip(_cols(order), names)])
+    alone = rows.join(again, same, "left_anti").select(*keys, *keep)
+    return alone.unionByName(first_of_few(rows.join(again, same, "left_semi"), keys, names).select(*keys, *keep))
+
+
+def first_of_few(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First row of each key by a window that keeps one row per key and input
+    task before the shuffle (a group limit), so a hot key's rows don't meet."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    return rows.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
+
+
 def latest_per_key(df: DataFrame, key: str, order: str | Column,
                    keep: Sequence[str]) -> DataFrame:
     """Row with the greatest ``order`` per ``key`` (A10: sort key asc, order

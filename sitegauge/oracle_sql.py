@@ -44,7 +44,8 @@ def rnd(expr: str) -> str:
 
 
 def decode(expr: str) -> str:
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "\u00a9"),
+                    ("&middot;", "\u00b7"), ("&amp;", "&")):
         expr = f"replace({expr}, {q(ent)}, {q(ch)})"
     return expr
 
@@ -58,9 +59,32 @@ PAGE_PARTS = {
 }
 
 
-def pieces(mark: str, text: str) -> str:
-    return (f"list_filter(list_transform(list_slice(string_split(html, {q(mark)}), 2, 1000000000), "
-            f"lambda x: {text}), lambda x: x <> '')")
+_FIRST, _HREF = "split_part(x, '<', 1)", "split_part(x, '\"', 1)"
+_LINKED = "contains(" + _HREF + ", 'th')"
+# Marks, texts, and which pieces count, of further selections.
+CONTAINS_PARTS = {
+    "part_of_class": ('<div class="ad">', _FIRST, "true"),
+    "link": ('<a href="', "split_part(split_part(x, '>', 2), '<', 1)", _LINKED),
+    "target": ('<a href="', _HREF, _LINKED),
+    "item_link": ('<li><a href="', _HREF, "true"),
+}
+BODY_PARTS = {
+    "paragraph": ("<p>", _FIRST, "true"), "bold": ("<b>", _FIRST, "true"),
+    "bold_in_paragraph": ("<p><b>", _FIRST, "true"), "footer": ("<footer>", _FIRST, "true"),
+    "article": ("<article>", _FIRST, "true"),
+}
+
+
+def pieces(mark: str, text: str, counts: str = "true") -> str:
+    return (f"list_filter(list_transform(list_filter(list_slice(string_split(html, {q(mark)}), 2, 1000000000), "
+            f"lambda x: {counts}), lambda x: {text}), lambda x: x <> '')")
+
+
+def part_rows(parts: dict) -> str:
+    """One row per page, kind and position."""
+    return " UNION ALL ".join(
+        f"SELECT page_id, {q(kind)} AS kind, pos, {decode('t[pos + 1]')} AS text FROM (SELECT page_id, t, "
+        f"unnest(range(len(t))) AS pos FROM (SELECT page_id, {pieces(*part)} AS t FROM pages) a) b" for kind, part in parts.items())
 
 
 # --- stand-in worlds ---------------------------------------------------------
@@ -328,6 +352,8 @@ def _sql_queries() -> dict[str, str]:
                 SELECT page_id, unnest(range(len({kind}))) AS pos, unnest({kind}) AS t
                 FROM ({_page_lists()}) l) u"""
             for kind in PAGE_PARTS),
+        "pages_contains": part_rows(CONTAINS_PARTS),
+        "pages_body_text": part_rows(BODY_PARTS),
         "lists_zip": f"""SELECT page_id, CAST(pos AS BIGINT) AS pos, {decode('t')} AS text, {decode('h')} AS href FROM (
             SELECT page_id, unnest(range(len(t))) AS pos, unnest(t) AS t, unnest(h) AS h FROM (
               SELECT page_id, {pieces(*PAGE_PARTS["nav"])} AS t,

@@ -1,7 +1,7 @@
 """Price-history job.
 
-Scrape step: a table of pages is read once and every selection is a native
-``regexp_extract_all`` inside one projection. Log step: money text is
+Scrape step: a table of pages is read once and all selections are answered in
+one walk over each page's tokens, inside one projection. Log step: money text is
 cleaned in one projection, the day's rows are appended, and the log is
 de-duplicated keeping the first row per (product, day) in ingest order.
 """
@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegauge.functions.columns import parse_money, us_date_text
-from sitegauge.operators.dedupe import keep_first
-from sitegauge.sources.html import child_attributes, element_texts, zip_lists
+from sitegauge.operators.dedupe import keep_first_late
+from sitegauge.sources.html import Selection, select_lists, zip_lists
 from sitegauge.sources.price_log import clean_prices
 from sitegauge.sources.schemas import VENDORS
 from sitegauge.sources.standins import PRICE_INGEST_ORDER, price_log_records
@@ -35,28 +35,38 @@ VENDOR_CELL_CLASSES = {
     "b_and_h": "cell five",
 }
 
-# Which page parts are extracted, as (kind, tag, class,
-# class match, child tag).
-PAGE_SELECTIONS = (
-    ("ad", "div", "ad", "equals", None),
-    ("nav", "li", None, "equals", "a"),
-    ("heading", "h1", None, "equals", None),
-)
+# Which page parts are extracted, by kind.
+PAGE_SELECTIONS = {
+    "ad": Selection("div", "class", "ad"),
+    "nav": Selection("li", child="a"),
+    "heading": Selection("h1"),
+}
+# Parts found by what an attribute contains, and parts whose
+# elements the pages don't close.
+PAGE_CONTAINS = {
+    "part_of_class": Selection("div", "class", "a", "contains"),
+    "link": Selection("a", "href", "th", "contains"),
+    "target": Selection("a", "href", "th", "contains", take="href"),
+    "item_link": Selection("li", child="a", take="href"),
+}
+PAGE_BODY = {
+    "paragraph": Selection("p"),
+    "bold": Selection("b"),
+    "bold_in_paragraph": Selection("p", child="b"),
+    "footer": Selection("footer"),
+    "article": Selection("article"),
+}
 
 
-def scrape_lists(pages: DataFrame) -> DataFrame:
-    """One array column per selection, all from one pass over ``html``."""
-    return pages.select(
-        "page_id",
-        *[element_texts("html", tag, cls, match, child).alias(kind)
-          for kind, tag, cls, match, child in PAGE_SELECTIONS])
+def scrape_lists(pages: DataFrame, wanted: dict[str, Selection] = PAGE_SELECTIONS) -> DataFrame:
+    """One array column per selection, all from one walk over ``html``."""
+    return select_lists(pages, ["page_id"], wanted)
 
 
-def page_texts(pages: DataFrame) -> DataFrame:
+def page_texts(pages: DataFrame, wanted: dict[str, Selection] = PAGE_SELECTIONS) -> DataFrame:
     """Selected texts, one row per (page, kind, position)."""
-    lists = scrape_lists(pages)
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("texts"))
-                      for k, *_ in PAGE_SELECTIONS])
+    lists = scrape_lists(pages, wanted)
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("texts")) for k in wanted])
     per_kind = lists.select("page_id", F.explode(kinds).alias("k"))
     return per_kind.select("page_id", F.col("k.kind").alias("kind"),
                            F.posexplode("k.texts").alias("pos", "text")).select(
@@ -66,10 +76,7 @@ def page_texts(pages: DataFrame) -> DataFrame:
 def nav_link_pairs(pages: DataFrame) -> DataFrame:
     """Link texts and link targets of the navigation list, zipped by
     position (S4); lists of different length fail the job."""
-    lists = pages.select(
-        "page_id",
-        element_texts("html", "li", child="a").alias("text"),
-        child_attributes("html", "li", "a", "href").alias("href"))
+    lists = select_lists(pages, ["page_id"], {"text": Selection("li", child="a"), "href": Selection("li", child="a", take="href")})
     return zip_lists(lists, ["page_id"], ["text", "href"])
 
 
@@ -84,12 +91,10 @@ def scraped_rows(products: DataFrame, run_date: dt.date) -> DataFrame:
 
 def product_lists(pages: DataFrame) -> DataFrame:
     """Product names and the six vendor price lists of each comparison page,
-    all extracted in one projection (S2, S3)."""
-    return pages.select(
-        "page_id",
-        element_texts("html", "div", PRODUCT_CLASS).alias("product"),
-        *[element_texts("html", "div", cls, "contains", "a").alias(v)
-          for v, cls in VENDOR_CELL_CLASSES.items()])
+    all from one walk over the page (S2, S3)."""
+    return select_lists(pages, ["page_id"], {
+        "product": Selection("div", "class", PRODUCT_CLASS),
+        **{v: Selection("div", "class", cls, "contains", child="a") for v, cls in VENDOR_CELL_CLASSES.items()}})
 
 
 def scrape_prices(pages: DataFrame, run_date: dt.date) -> DataFrame:
@@ -108,11 +113,10 @@ def cleaned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_first(log: DataFrame) -> DataFrame:
     """First row per (product, day) in ingest order (A9). The key is the text
-    day as written, like the reference; ``min_by`` combines map-side, so a
-    product that holds a large share of the log is reduced before the
-    shuffle."""
-    return keep_first(log, list(LOG_KEY), list(PRICE_INGEST_ORDER),
-                      keep=["product", *VENDORS, "date"])
+    day as written, like the reference. Most days list a product once, so only
+    repeated keys are resolved; the other rows, prices included, never move."""
+    return keep_first_late(log, list(LOG_KEY), list(PRICE_INGEST_ORDER),
+                           keep=["product", *VENDORS, "date"])
 
 
 def sort_final(df: DataFrame) -> DataFrame:

@@ -23,10 +23,11 @@ from sitegauge.operators.reshape import mean_pivot, melt, strict_pivot
 from sitegauge.plans import scorecard as sc_mod
 from sitegauge.plans.periods import (at_or_after, daily_volume, flatten_loyalty, period_facts,
                                      period_totals)
-from sitegauge.plans.prices import (cleaned_log, dedupe_first, nav_link_pairs,
-                                    page_texts)
+from sitegauge.plans.prices import (PAGE_BODY, PAGE_CONTAINS, cleaned_log, dedupe_first,
+                                    nav_link_pairs, page_texts)
 from sitegauge.plans.survey_scores import WIDE_LABELS
-from sitegauge.sources.standins import customer_world, supplier_world, table
+from sitegauge.sources.price_log import clean_prices
+from sitegauge.sources.standins import customer_world, price_log_records, supplier_world, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,8 +73,9 @@ def q_prices_clean(spark, sf_dir):
 
 
 def q_prices_dedupe_first(spark, sf_dir):
-    """First row per (product, day) in ingest order."""
-    return dedupe_first(cleaned_log(spark, sf_dir))
+    """First row per (product, day) in ingest order (A9); prices are parsed in the
+    rows that stay."""
+    return clean_prices(dedupe_first(price_log_records(spark, sf_dir)))
 
 
 def q_pages_class_text(spark, sf_dir):
@@ -81,6 +83,17 @@ def q_pages_class_text(spark, sf_dir):
     return page_texts(table(spark, sf_dir, "pages"))
 
 
+def q_pages_contains(spark, sf_dir):
+    """Texts and targets by what a class or link contains, over whole pages (S3)."""
+    return page_texts(table(spark, sf_dir, "pages"), PAGE_CONTAINS)
+
+
+def q_pages_body_text(spark, sf_dir):
+    """Direct texts of paragraphs, bold runs, footers and articles; paragraphs and
+    bold runs are partly unclosed (S2)."""
+    return page_texts(table(spark, sf_dir, "pages"), PAGE_BODY)
+
+
 def q_lists_zip(spark, sf_dir):
     """Navigation link texts and targets zipped by position."""
     return nav_link_pairs(table(spark, sf_dir, "pages"))
@@ -344,6 +357,8 @@ QUERIES: dict[str, Query] = {
     "prices_clean": q_prices_clean,
     "prices_dedupe_first": q_prices_dedupe_first,
     "pages_class_text": q_pages_class_text,
+    "pages_contains": q_pages_contains,
+    "pages_body_text": q_pages_body_text,
     "lists_zip": q_lists_zip,
     "layout_union": q_layout_union,
     "survey_ratios": q_survey_ratios,

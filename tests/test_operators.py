@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sitegauge.operators.aggregates import contingency, latest_month, mean_by, money_sum, zero_sum
-from sitegauge.operators.dedupe import assert_unique, keep_first, latest_per_key
+from sitegauge.operators.dedupe import assert_unique, keep_first, keep_first_late, latest_per_key
 from sitegauge.operators.joins import (existence_flag, not_equal_keep_null,
                                        null_safe_left_join, semi_join)
 from sitegauge.operators.ranking import rank_within, running_sum, sort_nulls_last
@@ -20,6 +20,27 @@ def test_keep_first_by_ingest_order(spark):
     assert got == [("A", "08/26", 10.0, 1), ("A", "08/27", 11.0, 3)]
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_late_keep_first_equals_keep_first(spark, threshold):
+    """Ties on the first order column, NULL keys and orders, a hot key, with the
+    repeated keys broadcast and shuffled."""
+    n = F.col("id")
+    rows = spark.range(0, 3000, 1, 6).select(
+        F.when(n % 3 == 0, F.lit("hot")).when(n % 50 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), (n % 1700).cast("string"))).alias("k"),
+        F.when(n % 7 != 0, (n % 2).cast("int")).alias("d"), F.when(n % 11 != 0, -(n % 5)).alias("o1"), F.xxhash64(n).alias("o2"),
+        F.concat(F.lit("payload "), n.cast("string")).alias("v"), (n * 0.5).alias("w"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        late = keep_first_late(rows, ["k", "d"], ["o1", "o2"], keep=["k", "d", "v", "w"])
+        want = keep_first(rows, ["k", "d"], ["o1", "o2"], keep=["v", "w"])
+        assert late.columns == want.columns == ["k", "d", "v", "w"]
+        assert sorted(map(str, late.collect())) == sorted(map(str, want.collect()))
+        assert keep_first_late(rows.limit(0), ["k"], ["o1"]).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_keep_first_hot_key_many_partitions(spark):
     # one key holds most rows, spread over many input partitions
     df = spark.range(0, 20000, numPartitions=16).select(

@@ -4,6 +4,7 @@ map-side combine before every shuffle of raw facts."""
 import datetime as dt
 import re
 
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from sitegauge.operators.quality import observe_rows
@@ -13,7 +14,7 @@ from sitegauge.plans.periods import at_or_after
 from sitegauge.plans.reports import report_for
 from sitegauge.registry import QUERIES
 from sitegauge.sources.snapshot import read_or_build_snapshot
-from sitegauge.sources.standins import customer_world
+from sitegauge.sources.standins import customer_world, price_log_records
 
 
 def plan_text(df):
@@ -35,11 +36,19 @@ def test_scorecard_has_no_python_udf(spark):
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
-def test_keep_first_combines_before_shuffle(spark):
+def test_late_keep_first_moves_no_wide_rows(spark):
+    """Keys are counted by a hash aggregate; rows whose key is their own pass
+    without a shuffle, and nothing sorts all rows."""
     df = QUERIES["prices_dedupe_first"](spark, SF001)
     text = plan_text(df)
-    assert "partial_min_by" in text or "partial_min" in text
-    assert "Window" not in text
+    assert "SortAggregate" not in text and "SortMergeJoin" not in text
+    alone = text[:text.index("Window")]
+    assert "LeftAnti" in alone and "Exchange hashpartitioning" not in alone
+    assert "WindowGroupLimit" in text       # a hot key leaves one row a task
+    log = price_log_records(spark, SF001)
+    keys = log.groupBy("product", "date").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    assert "HashAggregate" in plan_text(keys) and "SortAggregate" not in plan_text(keys)
+    assert "l_extendedprice" not in plan_text(keys)
 
 
 def test_observe_rows(spark):
