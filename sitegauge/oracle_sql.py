@@ -326,20 +326,43 @@ def _page_lists() -> str:
     return f"SELECT page_id, {cols} FROM pages"
 
 
+def _scored_wide() -> str:
+    """All measures and slots of both worlds, pivoted by the names in the data."""
+    slot = "CAST(s.year AS VARCHAR) || CASE WHEN s.is_ptd THEN 'PTD' ELSE '' END || CAST(s.trimester AS VARCHAR)"
+    doubles = {"Volume": "t.volume", "Premium": "t.premium_volume", "Loyalty": "t.loyalty_volume",
+               "Volume_Growth": "s.volume_growth", "Premium_Growth": "s.premium_growth", "Loyalty_Pen": "s.penetration",
+               "Service_Score": "s.service_points", "Facility_Score": "s.facility_points", "Total_Score": "s.total"}
+    longs = {"Loyalty_Pen_Score": "s.penetration_points", "Volume_Score": "s.volume_points", "Premium_Score": "s.premium_points"}
+
+    def long_form(measures: dict) -> str:
+        rows = ", ".join(f"({q(n)}, {c})" for n, c in measures.items())
+        return " UNION ALL ".join(
+            f"""SELECT {q(w)} AS world, s.site_id, m.k || '_' || {slot} AS name, m.v AS v
+                FROM {w}_scored s LEFT JOIN {w}_totals t ON t.site_id = s.site_id AND t.year = s.year
+                     AND t.trimester = s.trimester AND t.is_ptd = s.is_ptd, LATERAL (VALUES {rows}) m(k, v)"""
+            for w in ("customer", "supplier"))
+
+    ranks = " UNION ALL ".join(
+        f"SELECT {q(w)}, site_id, 'Rank_' || CAST(year AS VARCHAR) || CAST(trimester AS VARCHAR), rank FROM {w}_ranked"
+        for w in ("customer", "supplier"))
+    sites = " UNION ALL ".join(f"SELECT {q(w)} AS world, * FROM {w}_sites" for w in ("customer", "supplier"))
+    return with_worlds("customer", "supplier")[:-1] + f""", doubles AS ({long_form(doubles)}),
+        longs AS ({long_form(longs)} UNION ALL {ranks}), every_site AS ({sites})
+        SELECT * FROM every_site
+        LEFT JOIN (PIVOT doubles ON name USING max(v) GROUP BY world, site_id) d USING (world, site_id)
+        LEFT JOIN (PIVOT longs ON name USING max(v) GROUP BY world, site_id) l USING (world, site_id)"""
+
+
 def _sql_queries() -> dict[str, str]:
     vend = ", ".join(VENDORS)
     cal_c = reporting_calendar(CUSTOMER_RUN_DATE)
-    waves = [f"{y}{t}" for y in cal_c.report_years() for t in (1, 2, 3)]
-    wide_cols = ", ".join(
-        f"max(CASE WHEN wave_id = {q(wv)} THEN {src} END) AS {lbl}_{wv}"
-        for wv in waves for src, lbl in (("service_ratio", "service"), ("facility_ratio", "facility"),
-                                         ("experience_score", "experience")))
-    wide = f"SELECT site_id, {wide_cols} FROM customer_survey GROUP BY site_id"
-    melt_parts = " UNION ALL ".join(
-        f"SELECT site_id, {q(f'{lbl}_{wv}')} AS variable, CAST({lbl}_{wv} AS DOUBLE) AS value FROM wide"
-        for wv in waves for lbl in ("service", "facility", "experience"))
-    unpivot = (f"SELECT site_id, variable, value, split_part(variable, '_', 1) AS metric, "
-               f"split_part(variable, '_', 2) AS period FROM ({melt_parts}) m")
+    # waves come from the data, as the columns do
+    cells = """SELECT s.site_id, m.k AS metric, w.wave_id AS period, m.k || '_' || w.wave_id AS variable,
+            CASE m.k WHEN 'service' THEN c.service_ratio WHEN 'facility' THEN c.facility_ratio
+                ELSE c.experience_score END AS value
+        FROM (SELECT DISTINCT site_id FROM customer_survey) s CROSS JOIN (SELECT DISTINCT wave_id FROM customer_survey) w
+        CROSS JOIN (VALUES ('service'), ('facility'), ('experience')) m(k)
+        LEFT JOIN customer_survey c ON c.site_id = s.site_id AND c.wave_id = w.wave_id"""
     cw = with_worlds("customer")
     out = {
         "prices_clean": f"SELECT product, {vend}, date FROM ({_price_log()}) x",
@@ -362,7 +385,8 @@ def _sql_queries() -> dict[str, str]:
             {', '.join(x.lower() for x in QUESTIONS)}, experience_score FROM customer_survey""",
         "survey_ratios": cw + """SELECT site_id, wave_id, service_num, service_den, service_ratio,
             facility_num, facility_den, facility_ratio FROM customer_survey""",
-        "survey_pivot": cw + wide,
+        "survey_pivot": cw[:-1] + f""", cells AS ({cells})
+            SELECT * FROM (PIVOT (SELECT site_id, variable, value FROM cells) ON variable USING max(value) GROUP BY site_id)""",
         "latest_wave": cw + """SELECT site_id, wave_id, territory_manager FROM (
             SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY wave_id DESC) AS rn
             FROM customer_survey) x WHERE rn = 1""",
@@ -375,8 +399,8 @@ def _sql_queries() -> dict[str, str]:
             + " FROM customer_survey GROUP BY service_den",
         "zero_scores": cw + """SELECT site_id, wave_id, service_num, service_den FROM customer_survey
             WHERE service_num = 0""",
-        "unpivot_split": cw[:-1] + f", wide AS ({wide})\n" + unpivot,
-        "pivot_mean": cw[:-1] + f", wide AS ({wide}), longt AS ({unpivot})\n" + f"""
+        "unpivot_split": cw + cells,
+        "pivot_mean": cw[:-1] + f", longt AS ({cells})\n" + f"""
             SELECT r.region, l.period,
                 {rnd("avg(CASE WHEN l.metric = 'service' THEN l.value END)")} AS service,
                 {rnd("avg(CASE WHEN l.metric = 'facility' THEN l.value END)")} AS facility,
@@ -423,11 +447,7 @@ def _sql_queries() -> dict[str, str]:
             UNION ALL
             SELECT region, owner_name, wave_id, region || {q(' Region Average')}, {rnd('region_avg')}
             FROM {{w}}_owner_avg"""),
-        "scored_wide": per_world("SELECT site_id, " + ", ".join(
-            f"max(CASE WHEN wave_id = {q(wv)} THEN {c} END) AS {n}_{wv}"
-            for wv in waves for c, n in (("total", "Total_Score"), ("volume_growth", "Volume_Growth"),
-                                         ("penetration", "Loyalty_Pen")))
-            + " FROM {w}_scored WHERE NOT is_ptd GROUP BY site_id"),
+        "scored_wide": _scored_wide(),
         "member_vs_other": per_world("SELECT region, wave_id, " + ", ".join(
             f"{rnd(c)} AS {c}" for c in _MVO) + " FROM {w}_mvo"),
         "owner_vs_region_survey": per_world(

@@ -25,6 +25,7 @@ from sitegauge.plans.periods import (at_or_after, daily_volume, flatten_loyalty,
                                      period_totals)
 from sitegauge.plans.prices import (PAGE_BODY, PAGE_CONTAINS, cleaned_log, dedupe_first,
                                     nav_link_pairs, page_texts)
+from sitegauge.plans.reports import wide_scored
 from sitegauge.plans.survey_scores import WIDE_LABELS
 from sitegauge.sources.price_log import clean_prices
 from sitegauge.sources.standins import customer_world, price_log_records, supplier_world, table
@@ -118,27 +119,16 @@ def q_survey_ratios(spark, sf_dir):
         "facility_num", "facility_den", "facility_ratio")
 
 
-def report_waves(run_date) -> list[str]:
-    cal = reporting_calendar(run_date)
-    return [f"{y}{t}" for y in cal.report_years() for t in (1, 2, 3)]
-
-
 def _survey_wide(spark, sf_dir):
-    world = customer_world(spark, sf_dir)
-    survey = sc_mod.survey_table(world)
-    renamed = survey.select("site_id", "wave_id",
-                            *[F.col(m).alias(lbl) for m, lbl in WIDE_LABELS.items()])
-    # Every wave present is pivoted (well-formed ids, so the calendar bounds them):
-    # a duplicate in any wave fails. The report then takes its own waves' columns.
-    report, labels = report_waves(world.run_date), list(WIDE_LABELS.values())
-    found = renamed.where(F.col("wave_id").rlike("^[0-9]{4}[1-3]$")).select("wave_id").distinct().collect()
-    waves = sorted({str(r[0]) for r in found} | set(report))
-    wide = strict_pivot(renamed, ["site_id"], "wave_id", waves, labels)
-    return wide.select("site_id", *[f"{m}_{w}" for w in report for m in labels])
+    """The survey of every wave in it, wide. A wave id that is none fails the
+    pivot, so the calendar bounds the columns."""
+    survey = sc_mod.survey_table(customer_world(spark, sf_dir))
+    renamed = survey.select("site_id", "wave_id", *[F.col(m).alias(lbl) for m, lbl in WIDE_LABELS.items()])
+    return strict_pivot(renamed, ["site_id"], "wave_id", sorted(sc_mod.present_waves(survey)), list(WIDE_LABELS.values()))
 
 
 def q_survey_pivot(spark, sf_dir):
-    """Strict pivot of the survey over the report waves."""
+    """Strict pivot of the survey over every wave present."""
     return _survey_wide(spark, sf_dir)
 
 
@@ -290,22 +280,16 @@ def q_score_average_sheet(world, card):
     return out.select("region", "owner_name", "period", "label", _r(F.col("value")).alias("value"))
 
 
-WIDE_MEASURES = {"total": "Total_Score", "volume_growth": "Volume_Growth",
-                 "penetration": "Loyalty_Pen"}
-
-
-@_per_world
-def q_scored_wide(world, card):
-    """Closed periods of the report years as ``<measure>_<yyyyt>`` columns
-    (``Total_Score_20012`` ...), one row per scored roster site (P7, P8, Z3).
-    The column set comes from the run date, so it is fixed per run; periods
-    without a score are NULL columns."""
-    slots = report_waves(world.run_date)
-    long = card.scored.where(~F.col("is_ptd")).select(
-        "site_id", F.concat(F.col("year").cast("string"), F.col("trimester").cast("string")).alias("slot"),
-        *[F.col(c).alias(n) for c, n in WIDE_MEASURES.items()])
-    wide = strict_pivot(long, ["site_id"], "slot", slots, list(WIDE_MEASURES.values()))
-    return wide.select("site_id", *[F.col(f"{n}_{w}") for w in slots for n in WIDE_MEASURES.values()])
+def q_scored_wide(spark, sf_dir):
+    """Every measure of every scored slot, closed and to date, as columns
+    ``<measure>_<yyyyt>`` / ``<measure>_<yyyy>PTD<t>`` beside the site's attributes
+    and its rank in the current slot (P7, P8, Z3). The worlds' slots differ: a
+    column of the other world is NULL."""
+    frames = [wide_scored(card).select(F.lit(name).alias("world"), "*") for name, _, card in _scorecards(spark, sf_dir)]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 _MVO = [f"{m}_{g}" for m in ("service", "facility", "experience")
