@@ -216,8 +216,8 @@ def op11_secret_scan(spark, sf_dir: str) -> DataFrame:
     """Spans of all rules in every document, with a digest of the base rules' spans."""
     base = [r.kind for r in BASE]
     joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    of = lambda kinds: F.filter("spans", lambda s: s["kind"].isin(kinds))
     found = scan(read(spark, sf_dir, "documents"))
     return found.select(
-        "doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base],
-        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        "doc_id", *[F.size(of([k])).cast("long").alias(f"n_{k}") for k in base], F.sha2(joined(of(base)), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"))

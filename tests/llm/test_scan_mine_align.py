@@ -7,6 +7,7 @@ import re
 import sys
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -27,6 +28,15 @@ def test_query_matches_sql(spark, name):
     assert compare(spark, duck(SF), name, QUERIES[name], SQL[name], SF)
 
 
+def test_secret_query_on_planted_texts(spark, scratch):
+    """The query itself against its SQL, on texts full of secrets."""
+    rows = [(i, t) for i, t in enumerate(secret_texts()[:300] + secret_texts()[-12:])] + [(None, "token=abcdefgh"), (3, "AKIA" * 5)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{scratch}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{scratch}/documents.parquet/*.parquet')")
+    assert compare(spark, con, "op11", QUERIES["op11_secret_scan"], SQL["op11_secret_scan"], scratch)
+
+
 # ---- 11: secret scans
 
 SEARCH = {r.kind: (re.compile(re.sub(r"\(\?i:(.*?\?key)\)", r"(?ai:\1)", r.pattern), re.A), r) for r in secretscan.BASE + secretscan.MORE}
