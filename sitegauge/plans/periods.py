@@ -103,6 +103,11 @@ def monthly_facts(volume_records: DataFrame, loyalty_records: DataFrame,
                     F.sum("premium_volume").alias("premium_volume"),
                     F.sum("loyalty_volume").alias("loyalty_volume"),
                     F.count(F.lit(1)).alias("n_rows")))
+    return roster_months(monthly, roster)
+
+
+def roster_months(monthly: DataFrame, roster: DataFrame) -> DataFrame:
+    """Monthly sums that count: volume of roster sites, loyalty of every site."""
     flagged = existence_flag(monthly, roster, "site_id", "_member")
     return flagged.where((F.col("source") == LOYALTY) | (F.col("_member") == 1)).drop("_member")
 

@@ -8,6 +8,7 @@ that the two engines produce identical values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,15 @@ from sitegauge.operators.quality import zero_rows
 from sitegauge.operators.ranking import running_sum
 from sitegauge.operators.reshape import mean_pivot, melt, strict_pivot
 from sitegauge.plans import scorecard as sc_mod
-from sitegauge.plans.periods import (at_or_after, daily_volume, flatten_loyalty, period_facts,
-                                     period_totals)
+from sitegauge.plans.increments import incremental_totals, refresh
+from sitegauge.plans.periods import (LOYALTY, VOLUME, at_or_after, daily_volume, flatten_loyalty,
+                                     period_facts, period_totals)
 from sitegauge.plans.prices import (PAGE_BODY, PAGE_CONTAINS, cleaned_log, dedupe_first,
                                     nav_link_pairs, page_texts)
 from sitegauge.plans.reports import wide_scored
 from sitegauge.plans.survey_scores import WIDE_LABELS
+from sitegauge.session import ensure_checkpoint_dir
+from sitegauge.sources.fact_store import latest_month as latest_stored_month, write_facts
 from sitegauge.sources.price_log import clean_prices
 from sitegauge.sources.standins import customer_world, price_log_records, supplier_world, table
 
@@ -235,6 +239,49 @@ def q_period_open(spark, sf_dir):
     return _totals(supplier_world(spark, sf_dir))
 
 
+def _fact_stores(spark, world, root):
+    """The world's facts as stores of monthly parts: (source, rows, folder)."""
+    volume = world.volume_records.select("site_id", "ts", "volume", "premium_volume")
+    loyalty = flatten_loyalty(world.loyalty_records).withColumn("loyalty_volume", F.col("loyalty_volume").cast("decimal(22,4)"))
+    return ((VOLUME, volume, f"{root}/volume"), (LOYALTY, loyalty, f"{root}/loyalty"))
+
+
+def q_period_incremental(spark, sf_dir):
+    """Period totals of the open-period world from two deliveries of facts. The
+    first ends two years early and holds a month twice; the second brings the
+    months after and the month corrected. Both runs read new parts only (C6, K1)."""
+    world = supplier_world(spark, sf_dir)
+    cal = reporting_calendar(world.run_date)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/facts-{uuid.uuid4().hex}"
+    cut = F.lit(f"{cal.report_year - 1}-01-01").cast("timestamp_ntz")
+    wrong = F.date_format("ts", "yyyy-MM") == f"{cal.report_year - 2}-03"
+    for source, rows, store in _fact_stores(spark, world, root):
+        early = rows.where(F.col("ts") < cut)
+        write_facts(early.unionByName(early.where(wrong)), store)
+        refresh(spark, store, f"{root}/state", source)
+        write_facts(rows.where((F.col("ts") >= cut) | wrong), store)
+        refresh(spark, store, f"{root}/state", source)
+    return incremental_totals(spark, f"{root}/state", world.roster, cal).select(*TOTAL_COLS)
+
+
+def q_latest_month_footers(spark, sf_dir):
+    """Latest month of each fact from the footers of its store; no row is read (A5)."""
+    found = []
+    for name, build in WORLDS:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/facts-{uuid.uuid4().hex}"
+        world = build(spark, sf_dir)
+        cal = reporting_calendar(world.run_date)
+        for source, rows, store in _fact_stores(spark, world, root):
+            # the store holds what counts: volume of roster sites, both facts from their bound on
+            bound = cal.volume_start if source == VOLUME else cal.loyalty_start
+            rows = rows.where(at_or_after(rows, "ts", bound))
+            if source == VOLUME:
+                rows = rows.join(world.roster.select("site_id").distinct(), "site_id", "left_semi")
+            write_facts(rows, store)
+            found.append((name, source, *(latest_stored_month(spark, store) or (None, None))))
+    return spark.createDataFrame(found, "world string, source string, max_year long, max_month long")
+
+
 def q_running_sum(spark, sf_dir):
     """Running volume per site over closed periods."""
     totals = _period_totals(customer_world(spark, sf_dir))
@@ -358,6 +405,8 @@ QUERIES: dict[str, Query] = {
     "latest_month": q_latest_month,
     "period_closed": q_period_closed,
     "period_open": q_period_open,
+    "period_incremental": q_period_incremental,
+    "latest_month_footers": q_latest_month_footers,
     "running_sum": q_running_sum,
     "growth_penetration": q_growth_penetration,
     "points_total": q_points_total,
