@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from sitegauge.operators.dedupe import keep_first
 from sitegauge.operators.quality import observe_rows, zero_rows
 from sitegauge.plans.prices import scrape_prices
-from sitegauge.plans.reports import write_reports, write_scored
+from sitegauge.plans.reports import write_report_stores, write_scored
 from sitegauge.plans.scorecard import build_scorecard
 from sitegauge.sources.price_log import append_log, read_price_log_csv, write_final_csv
 from sitegauge.sources.schemas import PAGES, VENDORS
@@ -59,12 +59,12 @@ def run_price_history(spark: SparkSession, pages: DataFrame, run_date: dt.date,
 
 def run_scorecard(world, out: str, snapshots: str | None = None) -> dict:
     """Build the scorecard of one world, write the scored table under its run
-    date (Z3) and the three partitioned reports (Z4). Returns the slot plan
+    date (Z3) and the three report stores (Z4). Returns the slot plan
     and a data-quality count (sites with a zero service score, F4). With
     ``snapshots`` the day's pulls are reused by a re-run (S12)."""
     card = build_scorecard(world, snapshot_root=snapshots)
     scored = write_scored(card, out, world.run_date)
-    reports = write_reports(card, world.assignment, out, world.run_date)
+    reports = write_report_stores(card, world.assignment, out, world.run_date)
     zero = zero_rows(card.survey, "service_num").count()
     return {"scored": scored, "reports": reports,
             "window": None if card.plan.window is None else

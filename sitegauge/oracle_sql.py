@@ -462,6 +462,23 @@ def _sql_queries() -> dict[str, str]:
         "title_region": cw + f"""SELECT h.site_id, r.region AS raw_region, {title('r.region')} AS region
             FROM customer_hier h JOIN customer_roster_raw r ON r.site_id = h.site_id""",
     }
+    out["prices_csv_job"] = out["prices_dedupe_first"]
+    sw = with_worlds("supplier")
+    out["scored_store"] = sw + """SELECT site_id, year, trimester, is_ptd, penetration_points, volume_points,
+        premium_points, service_points, facility_points, total FROM supplier_scored"""
+    out["report_rows"] = sw + """SELECT site_id, coalesce(region, '__unassigned__') AS region,
+        coalesce(owner_name, '__unassigned__') AS owner_name, total, rank,
+        count(*) OVER (PARTITION BY region, owner_name) AS report_rows FROM supplier_ranked"""
+    price, kind = "format('{:.2f}', l_extendedprice)", "((l_orderkey * 8 + l_linenumber) % 97)"
+    first = f"CASE {kind} WHEN 5 THEN 'sold out' WHEN 6 THEN '-' || {price} ELSE {price} END"
+    out["rejected_rows"] = f"""SELECT CASE WHEN kind > 3 THEN product END AS product, CASE WHEN kind > 2 THEN price END AS price,
+            CASE WHEN kind > 2 THEN day END AS date, CASE WHEN kind = 2 THEN product || ',' || price || ',' || day END AS raw_line,
+            CASE kind WHEN 2 THEN 'broken record' WHEN 3 THEN 'no product' WHEN 4 THEN 'unreadable date'
+                WHEN 5 THEN 'unreadable price: {VENDORS[0]}' ELSE 'negative price: {VENDORS[0]}' END AS reasons
+        FROM (SELECT CAST(l_partkey AS VARCHAR) AS product, {first} AS price, {kind} AS kind,
+                     CASE {kind} WHEN 4 THEN strftime(l_shipdate, '%Y-%m') ELSE strftime(l_shipdate, '%m/%d/%Y') END AS day
+              FROM lineitem) x
+        WHERE kind BETWEEN 2 AND 6"""
     # the same results, reached part by part and from file footers
     out["period_incremental"], out["latest_month_footers"] = out["period_open"], out["latest_month"]
     return out

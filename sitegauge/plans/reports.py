@@ -2,8 +2,9 @@
 
 The long results become the reference's wide, run-time-named columns only
 here, with an explicit (bounded) slot list, never a pivot on owners or
-sites. Reports are written once per dataset and partitioned by
-(region, owner) instead of a driver loop writing one file per pair.
+sites. Reports are written once per dataset, in files of bounded size with an
+index by (region, owner) or in one folder per pair, instead of a driver loop
+writing one file per pair.
 """
 
 from __future__ import annotations
@@ -69,14 +70,9 @@ def write_scored(sc: Scorecard, root: str, run_date: dt.date) -> str:
     return path
 
 
-def write_reports(sc: Scorecard, assignment: DataFrame, root: str,
-                  run_date: dt.date | None = None) -> dict[str, str]:
-    """Three report datasets partitioned by (region, owner) (Z4): the raw
-    current-slot rows with rank, owner vs region score means, owner vs
-    member/non-member survey means. Each lies under its world and, if given,
-    its run date, so a re-run replaces its own output only."""
-    root = root.rstrip("/")
-    run = f"world={sc.world}" + (f"/run_date={run_date.isoformat()}" if run_date else "")
+def report_frames(sc: Scorecard, assignment: DataFrame) -> dict[str, DataFrame]:
+    """The three reports: the raw current-slot rows with rank, owner vs region score
+    means, owner vs member/non-member survey means."""
     cur_rows = region_rank(sc).join(
         sc.scored.select("site_id", "year", "trimester", "is_ptd", "volume", "prev_volume",
                          "volume_growth", "premium_volume", "prev_premium_volume",
@@ -89,10 +85,21 @@ def write_reports(sc: Scorecard, assignment: DataFrame, root: str,
         "score_averages": owner_region_averages(sc),
         "survey_averages": owner_vs_region_survey(sc, assignment),
     }
-    paths = {}
-    for name, df in out.items():
-        path = f"{root}/{name}/{run}"
-        df = _partition_keys(df)
+    return {name: _partition_keys(df) for name, df in out.items()}
+
+
+def _run_folder(sc: Scorecard, run_date: dt.date | None) -> str:
+    """A re-run replaces the output of its own world and run date only."""
+    return f"world={sc.world}" + (f"/run_date={run_date.isoformat()}" if run_date else "")
+
+
+def write_reports(sc: Scorecard, assignment: DataFrame, root: str,
+                  run_date: dt.date | None = None) -> dict[str, str]:
+    """The reports in one folder per (region, owner) (Z4), for a handful of owners
+    whose folders people open; :func:`write_report_stores` is for many."""
+    root, paths = root.rstrip("/"), {}
+    for name, df in report_frames(sc, assignment).items():
+        path = f"{root}/{name}/{_run_folder(sc, run_date)}"
         if "site_id" in df.columns:
             # Range-partition with the site as tie-breaker: a (region, owner)
             # pair that holds a large share of all sites is split over several
@@ -106,6 +113,57 @@ def write_reports(sc: Scorecard, assignment: DataFrame, root: str,
     return paths
 
 
+def write_report_stores(sc: Scorecard, assignment: DataFrame, root: str,
+                        run_date: dt.date | None = None) -> dict[str, str]:
+    """The reports in files of bounded size with an index."""
+    root, paths = root.rstrip("/"), {}
+    for name, df in report_frames(sc, assignment).items():
+        paths[name] = f"{root}/{name}/{_run_folder(sc, run_date)}"
+        write_report_store(df, paths[name])
+    return paths
+
+
+#: Rows of a report file at most.
+REPORT_ROWS = 1_000_000
+REPORT_KEYS = ("region", "owner_name")
+INDEX = "_index"
+
+
+def write_report_store(df: DataFrame, path: str, rows_per_file: int = REPORT_ROWS) -> None:
+    """Reports in files of bounded size, with an index of which file holds which
+    (region, owner) (Z4).
+
+    Rows are range-partitioned by region, owner and all other columns: small
+    owners share a file, a large one is split over tasks and files, and the number of
+    files follows the data, not the number of owners. The index, a folder that
+    readers of the data skip, is made from the files as written.
+    """
+    keys = [F.col(k) for k in REPORT_KEYS]
+    rest = [F.col(c) for c in df.columns if c not in REPORT_KEYS]
+    (df.repartitionByRange(*keys, *rest).sortWithinPartitions(*keys)
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path))
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    (written.groupBy(*keys, F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+     .repartitionByRange(*keys, "file").sortWithinPartitions(*keys)
+     .write.mode("overwrite").parquet(f"{path}/{INDEX}"))
+
+
+def report_files(spark, path: str, region: str, owner: str) -> list[str]:
+    """Files that hold one report; more than one only where it is larger than a file
+    or meets a file's end."""
+    index = report_for(spark.read.parquet(f"{path}/{INDEX}"), region, owner)
+    return sorted(r["file"] for r in index.select("file").distinct().collect())
+
+
+def read_report(spark, path: str, region: str, owner: str) -> DataFrame:
+    """One report's rows (F10): the index names its files, only they are opened."""
+    schema = spark.read.parquet(path).schema
+    files = report_files(spark, path, region, owner)
+    if not files:
+        return spark.createDataFrame([], schema)
+    return report_for(spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in files]), region, owner)
+
+
 def report_for(df: DataFrame, region: str, owner: str) -> DataFrame:
     """Ad hoc selection of one report's rows (F10): column expressions, so
     quotes in names cannot break the predicate (D17)."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from sitegauge.functions.calendar import reporting_calendar
 from sitegauge.functions.columns import normalise_label, split_part, title_case
 from sitegauge.operators.aggregates import contingency, latest_month, non_null_counts
-from sitegauge.operators.dedupe import latest_per_key
+from sitegauge.operators.dedupe import keep_first_late, latest_per_key
 from sitegauge.operators.quality import zero_rows
 from sitegauge.operators.ranking import running_sum
 from sitegauge.operators.reshape import mean_pivot, melt, strict_pivot
@@ -26,13 +27,16 @@ from sitegauge.plans.increments import incremental_totals, refresh
 from sitegauge.plans.periods import (LOYALTY, VOLUME, at_or_after, daily_volume, flatten_loyalty,
                                      period_facts, period_totals)
 from sitegauge.plans.prices import (PAGE_BODY, PAGE_CONTAINS, cleaned_log, dedupe_first,
-                                    nav_link_pairs, page_texts)
-from sitegauge.plans.reports import wide_scored
+                                    nav_link_pairs, page_texts, sort_final)
+from sitegauge.plans.reports import INDEX, REPORT_KEYS, wide_scored, write_report_stores, write_scored
 from sitegauge.plans.survey_scores import WIDE_LABELS
 from sitegauge.session import ensure_checkpoint_dir
 from sitegauge.sources.fact_store import latest_month as latest_stored_month, write_facts
-from sitegauge.sources.price_log import clean_prices
-from sitegauge.sources.standins import customer_world, price_log_records, supplier_world, table
+from sitegauge.sources.price_log import append_log, clean_prices, read_price_log_csv, write_final_csv
+from sitegauge.sources.quarantine import read_log_lines, split, tagged
+from sitegauge.sources.schemas import PRICE_LOG, VENDORS
+from sitegauge.sources.standins import (PRICE_INGEST_ORDER, customer_world, price_log_records,
+                                        supplier_world, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +108,54 @@ def q_lists_zip(spark, sf_dir):
     return nav_link_pairs(table(spark, sf_dir, "pages"))
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder on the shared storage."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _log_lines(spark, sf_dir, folder: str) -> str:
+    """The stand-in log as CSV text in ingest order, as scrape runs append it."""
+    path = f"{folder}/csv"
+    raw = price_log_records(spark, sf_dir)
+    (raw.orderBy(*PRICE_INGEST_ORDER).select("product", *VENDORS, "date")
+     .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    return path
+
+
+def q_prices_csv_job(spark, sf_dir):
+    """The price job over files: the CSV log is read in file order, appended to the
+    stored log by year (one year twice, as a re-run does), de-duplicated, written
+    as the final CSV list and read back (S5, Z1, A9, O2, Z2)."""
+    folder = _folder(spark, "prices")
+    log = read_price_log_csv(spark, _log_lines(spark, sf_dir, folder)).withColumn(
+        "snapshot_date", F.substring("date", 7, 4))
+    append_log(log, f"{folder}/log")
+    first_year = F.col("snapshot_date") == F.lit("1995")
+    append_log(log.where(first_year), f"{folder}/log")
+    stored = spark.read.schema(log.schema).parquet(f"{folder}/log")
+    final = keep_first_late(stored, ["product", "date"], ["ingest_file", "ingest_seq"], keep=["product", *VENDORS, "date"])
+    write_final_csv(sort_final(final.select("product", *VENDORS, "date")), f"{folder}/final")
+    return spark.read.schema(PRICE_LOG).option("header", True).option("quote", '"').option("escape", '"').csv(f"{folder}/final")
+
+
+def q_rejected_rows(spark, sf_dir):
+    """Faulty lines of a CSV log, by rule: some of the stand-in's rows are written with a
+    field missing, without a product, with a day in another order, with words for a
+    price or a negative one; each comes back with its reasons (S5, V4)."""
+    folder = _folder(spark, "rejects")
+    raw = price_log_records(spark, sf_dir)
+    kind = (F.col("ingest_order") * 8 + F.col("ingest_line")) % 97
+    price = F.format_string("%.2f", F.col("ingest_amount"))
+    day = F.when(kind == 4, F.concat(F.substring("date", 7, 4), F.lit("-"), F.substring("date", 1, 2))).otherwise(F.col("date"))
+    first = F.when(kind == 5, F.lit("sold out")).when(kind == 6, F.concat(F.lit("-"), price)).otherwise(price)
+    product = F.when(kind == 3, F.lit("")).otherwise(F.col("product"))
+    whole = F.concat_ws(",", product, first, *[F.lit("N/A")] * (len(VENDORS) - 1), day)
+    lines = raw.select(F.when(kind == 2, F.concat_ws(",", product, first, day)).otherwise(whole).alias("value"))
+    lines.write.text(f"{folder}/csv")
+    _, rejected = split(tagged(read_log_lines(spark, f"{folder}/csv", header=False)))
+    return rejected.select("product", F.col("apple").alias("price"), "date", "raw_line", F.array_join("reasons", "; ").alias("reasons"))
+
+
 # --- survey -----------------------------------------------------------------
 
 def _survey(spark, sf_dir):
@@ -252,7 +304,7 @@ def q_period_incremental(spark, sf_dir):
     months after and the month corrected. Both runs read new parts only (C6, K1)."""
     world = supplier_world(spark, sf_dir)
     cal = reporting_calendar(world.run_date)
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/facts-{uuid.uuid4().hex}"
+    root = _folder(spark, "facts")
     cut = F.lit(f"{cal.report_year - 1}-01-01").cast("timestamp_ntz")
     wrong = F.date_format("ts", "yyyy-MM") == f"{cal.report_year - 2}-03"
     for source, rows, store in _fact_stores(spark, world, root):
@@ -268,7 +320,7 @@ def q_latest_month_footers(spark, sf_dir):
     """Latest month of each fact from the footers of its store; no row is read (A5)."""
     found = []
     for name, build in WORLDS:
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/facts-{uuid.uuid4().hex}"
+        root = _folder(spark, "facts")
         world = build(spark, sf_dir)
         cal = reporting_calendar(world.run_date)
         for source, rows, store in _fact_stores(spark, world, root):
@@ -356,6 +408,30 @@ def q_owner_vs_region_survey(world, card):
     return out.select("owner_name", "region", "wave_id", *[_r(F.col(c)).alias(c) for c in cols])
 
 
+def q_scored_store(spark, sf_dir):
+    """The scored table of a second run on the same day, whose sources have gone: it
+    scores from the day's committed snapshots, writes the table under its run date
+    and reads it back (S12, Z3)."""
+    world, folder = supplier_world(spark, sf_dir), _folder(spark, "scored")
+    sc_mod.build_scorecard(world, snapshot_root=f"{folder}/pulls")
+    gone = replace(world, volume_records=world.volume_records.limit(0), loyalty_records=world.loyalty_records.limit(0), survey_files=[])
+    card = sc_mod.build_scorecard(gone, snapshot_root=f"{folder}/pulls")
+    return spark.read.parquet(write_scored(card, folder, world.run_date)).select(
+        "site_id", "year", "trimester", "is_ptd", "penetration_points", "volume_points", "premium_points",
+        "service_points", "facility_points", "total")
+
+
+def q_report_rows(spark, sf_dir):
+    """The ranked report of every (region, owner), written to the report store and read
+    back, with the number of files that its index names (Z4, F10, V3)."""
+    world = supplier_world(spark, sf_dir)
+    card = sc_mod.build_scorecard(world)
+    path = write_report_stores(card, world.assignment, _folder(spark, "reports"), world.run_date)["raw"]
+    index = spark.read.parquet(f"{path}/{INDEX}").groupBy(*REPORT_KEYS).agg(F.sum("rows").alias("report_rows"))
+    return spark.read.parquet(path).join(index, list(REPORT_KEYS)).select(
+        "site_id", "region", "owner_name", "total", "rank", "report_rows")
+
+
 def q_distinct_pairs(spark, sf_dir):
     """Distinct (region, owner) pairs of the roster."""
     world = customer_world(spark, sf_dir)
@@ -387,6 +463,8 @@ def q_title_region(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "prices_clean": q_prices_clean,
     "prices_dedupe_first": q_prices_dedupe_first,
+    "prices_csv_job": q_prices_csv_job,
+    "rejected_rows": q_rejected_rows,
     "pages_class_text": q_pages_class_text,
     "pages_contains": q_pages_contains,
     "pages_body_text": q_pages_body_text,
@@ -416,6 +494,8 @@ QUERIES: dict[str, Query] = {
     "member_vs_other": q_member_vs_other,
     "scored_wide": q_scored_wide,
     "owner_vs_region_survey": q_owner_vs_region_survey,
+    "scored_store": q_scored_store,
+    "report_rows": q_report_rows,
     "distinct_pairs": q_distinct_pairs,
     "hierarchy_enrich": q_hierarchy_enrich,
     "title_case_names": q_title_case_names,

@@ -21,11 +21,11 @@ RAW = "raw_line"
 DAY_FORMAT = "MM/dd/yyyy"
 
 
-def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """The log's columns as text, and ``raw_line`` where a record has too few or too
-    many fields (NULL where it is whole)."""
+    many fields (NULL where it is whole). ``header``: does each file begin with one?"""
     schema = T.StructType(PRICE_LOG_TEXT.fields + [T.StructField(RAW, T.StringType())])
-    return (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+    return (spark.read.schema(schema).option("header", header).option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW).csv(path))
 
 
@@ -61,7 +61,10 @@ def counted(rows: DataFrame, name: str, reasons: Sequence[str]) -> tuple[DataFra
 
 
 def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows parsed, rejected rows as written with their reasons)."""
+    """(good rows parsed, rejected rows as written with their reasons). Of a broken
+    record only the line is given: which field is which can't be told."""
+    whole = F.col(RAW).isNull()
     good = rows.where(F.size("reasons") == 0).select("product", *[parse_money(v).alias(v) for v in VENDORS], "date")
-    rejected = rows.where(F.size("reasons") > 0).select("product", *VENDORS, "date", RAW, "reasons")
+    rejected = rows.where(F.size("reasons") > 0).select(
+        *[F.when(whole, F.col(c)).alias(c) for c in ("product", *VENDORS, "date")], RAW, "reasons")
     return good, rejected

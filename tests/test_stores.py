@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from sitegauge.plans import reports
 from sitegauge.sources import quarantine
 from sitegauge.sources.snapshot import (MANIFEST, read_or_build_snapshot, read_snapshot, snapshot_path, why_not, write_snapshot)
 
@@ -57,6 +58,28 @@ def test_half_written_changed_and_other_snapshots_are_refused(spark, scratch):
     assert not [f for f in os.listdir(path) if f.startswith(".manifest") and not f.endswith(".crc")]
 
 
+def test_report_store_has_bounded_files_and_one_is_read(spark, scratch):
+    n = F.col("id")
+    rows = spark.range(0, 3000, 1, 4).select(
+        F.when(n < 1000, F.lit("North")).otherwise(F.concat(F.lit("R"), (n % 3).cast("string"))).alias("region"),
+        F.when(n < 1000, F.lit("Big, O'Neil")).otherwise(F.concat(F.lit("own"), (n % 700).cast("string"))).alias("owner_name"), n.alias("site_id"))
+    path = f"{scratch}/raw"
+    reports.write_report_store(rows, path, rows_per_file=100)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert 30 <= len(files) <= 40                          # by rows, not by owners (2,101 of them)
+    assert spark.read.parquet(path).count() == 3000
+    sizes = spark.read.parquet(path).groupBy(F.col("_metadata.file_name")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100
+    assert len(reports.report_files(spark, path, "R1", "own1")) == 1
+    got = reports.read_report(spark, path, " r1 ", "own1")
+    assert len(got.inputFiles()) == 1
+    assert sorted(r["site_id"] for r in got.collect()) == sorted(
+        r["site_id"] for r in rows.where("region = 'R1' and owner_name = 'own1'").collect())
+    big = reports.read_report(spark, path, "North", "Big, O'Neil")
+    assert big.count() == 1000 and 10 <= len(big.inputFiles()) <= 15
+    assert reports.read_report(spark, path, "North", "nobody").count() == 0
+
+
 LOG = '''product,apple,amazon,adorama,macmall,bestbuy,b_and_h,date
 "Laptop, 13in",1450.00,N/A,,"$1,460.00",1399.99,1388.00,08/26/2018
 too,few,fields
