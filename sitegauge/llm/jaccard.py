@@ -236,7 +236,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(rows, classes, links) of the join.
 
     rows: id, sig, word (hash of the text), n for every input row (sig null for an empty set); classes:
-    sig, rep (smallest id, or a stand-in from ``NULL_IDS`` on), n, copies;
+    sig, rep (smallest id, or a stand-in from ``NULL_IDS`` on where it is null or
+    another class's too), low (smallest id), n, copies;
     links: a, b (reps), the verified pairs that, with the copies, connect every
     component.
     """
@@ -249,7 +250,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = freeze(
         rows.where("sig is not null").groupBy("sig").agg(
             F.coalesce(F.min("id"), F.expr(f"{NULL_IDS}L | (xxhash64(sig) & {NULL_IDS - 1}L)")).alias("rep"),
-            F.min("word").alias("word"), F.first("n").alias("n"), F.count("*").alias("copies")), "classes")
+            F.min("id").alias("low"), F.min("word").alias("word"), F.first("n").alias("n"), F.count("*").alias("copies")), "classes")
+    # Different texts under one id: only one of their classes goes by that id.
+    again = freeze(classes.groupBy("rep").agg(F.min("sig").alias("first"), F.count("*").alias("m")).where("m > 1")
+                   .select("rep", "first"), "repeated-reps")
+    if not again.isEmpty():
+        same = classes
+        classes = freeze(same.join(again, "rep", "left").withColumn("rep", F.expr(
+            f"if(first is null or sig = first, rep, {NULL_IDS}L | (xxhash64(sig) & {NULL_IDS - 1}L))")).drop("first"), "classes")
+        forget(same)
+    forget(again)
 
     # One row per class: prefix in the global order and parities.
     prefixes = freeze(
@@ -335,27 +345,47 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  limit: Threshold = Threshold(80, 100)) -> DataFrame:
     """(id_col, n_shingles, component_id) for every input row; see the module."""
     rows, classes, links = jaccard_classes(docs, id_col, text_col, k, limit)
-    comps = connected_components(links).select(F.col("node").alias("rep"), "component")
-    labels = classes.join(comps, "rep", "left").select(
-        "sig", F.coalesce("component", "rep").alias("c"))
-    return (rows.join(labels, "sig", "left")
+    labels = _components(classes, links)
+    return (rows.join(labels.select("sig", "lowest"), "sig", "left")
             .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("sig").isNull(), F.col("id"))
-                    .when(F.col("c") < NULL_IDS, F.col("c")).alias("component_id")))
+                    F.when(F.col("sig").isNull(), F.col("id")).otherwise(F.col("lowest")).alias("component_id")))
+
+
+def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(sig, component, lowest): each class's component and the smallest id in it (null if it has none)."""
+    comps = connected_components(links).select(F.col("node").alias("rep"), "component")
+    linked = classes.select("rep", "low").join(comps, "rep").groupBy("component").agg(F.min("low").alias("lowest"))
+    return (classes.select("sig", "rep", "low").join(comps, "rep", "left").join(linked, "component", "left")
+            .select("sig", F.coalesce("component", "rep").alias("component"),
+                    F.when(F.col("component").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("lowest")))
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                   limit: Threshold = Threshold(80, 100)) -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each group kept:
-    the one with the smallest id. Documents without words form no group and
-    stay. Of repeated rows of the kept id one stays; rows with a null id stay
-    only where their component has no id at all, one per text class."""
-    groups = jaccard_join(docs, id_col, text_col, k, limit)
-    gone = groups.where(f"component_id < {id_col}").select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    return kept.withColumn("_row", F.row_number().over(
-        Window.partitionBy(id_col).orderBy(F.xxhash64(F.coalesce(text_col, F.lit(""))), F.hash(*[F.col(c) for c in docs.columns])))
-    ).where((F.col("_row") == 1) | F.col(id_col).isNull()).drop("_row")
+    """The rows of ``docs``, all columns, with one row of each group of linked
+    texts kept: one with the smallest id (a null id only where no row of the
+    group has one). Ids may repeat or be null: rows are told apart by id and text,
+    and texts that aren't linked both stay, whatever their ids. Documents without
+    words form no group and stay."""
+    rows, classes, links = jaccard_classes(docs, id_col, text_col, k, limit)
+    best = (rows.where("sig is not null").join(_components(classes, links), "sig")
+            .groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "word")).alias("best"))
+            .select("best.id", "best.word", F.lit(True).alias("one")))
+    free = rows.where("sig is null").select("id", "word").distinct().withColumn("one", F.lit(False))
+    word, place, keys = _fresh(docs.columns, 3)
+    stay = best.unionByName(free).select(F.struct(F.col("id"), F.col("word"), F.col("one")).alias(keys))
+    marked = docs.withColumn(word, F.xxhash64(F.col(text_col).cast("string")))
+    found = marked.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col(f"{keys}.id")) & (F.col(word) == F.col(f"{keys}.word")))
+    # of repeated rows of the kept one, one stays; a task passes on one row of each
+    first = Window.partitionBy(f"{keys}.id", word).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    grouped = found.where(F.col(f"{keys}.one")).withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    return grouped.select(*docs.columns).unionByName(found.where(~F.col(f"{keys}.one")).select(*docs.columns))
+
+
+def _fresh(taken, n: int) -> list[str]:
+    """``n`` column names that the input doesn't have."""
+    names = (f"_near_{i}" for i in range(len(taken) + n))
+    return [x for x in names if x not in taken][:n]
 
 
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
