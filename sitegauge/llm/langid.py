@@ -35,6 +35,8 @@ from sitegauge.llm.textvec import slices
 BITS = 13
 DIMS = 1 << BITS
 MIN_PLACES = 64
+#: Languages whose counts are made part of a filter.
+MOST_LANGS = 1000
 
 
 def _fold() -> np.ndarray:
@@ -139,9 +141,16 @@ def train_langid(docs: DataFrame, fold=None, clusters: int = 4, per_lang: int =
     df[seen["place"].to_numpy()] = seen["df"].to_numpy()
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 0.1
 
+    # One count per language: as part of the filter, so that no text moves before it
+    # is sampled. Where there are too many languages for that, the counts are joined.
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    sample = (rows.join(sizes, "lang")
-              .where(F.expr(f"pmod(xxhash64(doc_id, text), 1048576L) * n < {per_lang} * 1048576L"))
+    few = {r["lang"]: r["n"] for r in sizes.limit(MOST_LANGS + 1).collect()}
+    if len(few) > MOST_LANGS:
+        rows = rows.join(sizes, "lang")
+    else:
+        known = F.create_map(*[F.lit(x) for pair in few.items() for x in pair]) if few else F.lit(None).cast("map<string,long>")
+        rows = rows.withColumn("n", F.try_element_at(known, F.col("lang")))
+    sample = (rows.where(F.expr(f"pmod(xxhash64(doc_id, text), 1048576L) * n < {per_lang} * 1048576L"))
               .select("lang", "text"))
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 

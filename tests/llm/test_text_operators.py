@@ -69,6 +69,27 @@ def test_jaccard_against_brute_force(spark, hard_rows):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({i for i, c in comps.items() if i == c})
 
 
+def test_one_per_group_with_repeated_and_null_ids(spark):
+    """No text is lost and no copy stays, whatever the ids say."""
+    texts = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"}
+    near = texts["a"].replace("a59", "x")
+    rows = [(1, texts["a"]), (None, texts["a"]), (None, near), (None, texts["a"]),        # linked: 1 stays
+            (7, texts["b"]), (7, texts["c"]), (7, texts["c"]),                            # one id, two texts: both stay
+            (None, texts["d"]), (None, texts["d"]), (None, texts["e"]),                   # no ids: one of each
+            (7, near), (9, texts["f"]), (9, texts["f"]),
+            (5, None), (5, None), (None, ""), (6, "")]                                    # no words: all stay
+    docs = spark.createDataFrame([(i, t, n, "x") for n, (i, t) in enumerate(rows)], "doc_id long, text string, _row int, _near_0 string")
+    kept = jaccard.one_per_group(docs.repartition(3))
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    want = [(1, texts["a"]), (7, texts["b"]), (7, texts["c"]), (None, texts["d"]), (None, texts["e"]), (9, texts["f"]),
+            (5, None), (5, None), (None, ""), (6, "")]
+    assert got == sorted(want, key=str)
+    comps = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_join(docs).collect()}
+    assert {(7, 56, 7), (7, 56, 1), (None, 56, 1), (None, 56, None), (9, 56, 9)} <= comps
+    assert jaccard.one_per_group(docs.limit(0)).count() == 0
+
+
 def test_jaccard_on_documents(spark):
     rows = [(r.doc_id, r.text) for r in read(spark, SF, "documents").collect()]
     got = jaccard.op4_ngram_jaccard(spark, SF).collect()
@@ -164,6 +185,16 @@ def test_langid_held_out(spark):
     assert held.score.between(0, 1).all()
 
 
+def test_langid_learns_alike_with_many_languages(spark, monkeypatch):
+    docs = read(spark, SF, "documents")
+    want = langid.train_langid(docs)
+    monkeypatch.setattr(langid, "MOST_LANGS", 1)
+    got = langid.train_langid(docs)
+    assert got.langs == want.langs and np.array_equal(got.centroids, want.centroids) and np.array_equal(got.least, want.least)
+    plan = []
+    assert langid.train_langid(docs.limit(0)).langs == plan
+
+
 def test_langid_edges(spark):
     docs = read(spark, SF, "documents").select("doc_id", "text", "lang")
     odd = spark.createDataFrame([(None, None, "en"), (1, "", None), (2, "123 --- !!", "en"), (3, "the of and", None), (3, "Ж" * 400, "en")],
