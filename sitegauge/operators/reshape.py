@@ -67,9 +67,12 @@ def mean_pivot(df: DataFrame, index: Sequence[str], column: str, values: Sequenc
     """``pandas.pivot_table`` with the mean.
 
     NULL values are dropped before grouping, which reproduces pivot_table's
-    removal of index rows whose cells are all missing.
+    removal of index rows whose cells are all missing. A column value outside
+    ``values`` fails the job, as its rows would vanish else.
     """
-    return (df.where(F.col(value).isNotNull())
+    listed = F.coalesce(F.col(column).isin(list(values)), F.lit(True))
+    error = F.raise_error(F.lit(f"{column} value outside the list of the pivot")).cast(df.schema[column].dataType)
+    return (df.where(F.col(value).isNotNull()).withColumn(column, F.when(listed, F.col(column)).otherwise(error))
             .groupBy(*index).pivot(column, list(values)).agg(F.avg(value)))
 
 

@@ -479,6 +479,12 @@ def _sql_queries() -> dict[str, str]:
                      CASE {kind} WHEN 4 THEN strftime(l_shipdate, '%Y-%m') ELSE strftime(l_shipdate, '%m/%d/%Y') END AS day
               FROM lineitem) x
         WHERE kind BETWEEN 2 AND 6"""
+    out["crosstab_open"] = cw[:-1] + """, cells AS (SELECT territory_manager, coalesce('n_' || q7, 'missing') AS name FROM customer_survey)
+        SELECT * EXCLUDE (tm), CAST(0 AS BIGINT) AS other FROM (PIVOT cells ON name USING count(*) GROUP BY territory_manager)
+        JOIN (SELECT territory_manager AS tm, count(*) AS total FROM customer_survey GROUP BY 1)
+          ON tm IS NOT DISTINCT FROM territory_manager"""
+    out["log_sizes"] = """SELECT 'log' AS step, count(*) AS row_count FROM lineitem
+        UNION ALL SELECT 'final', count(DISTINCT (l_partkey, CAST(l_shipdate AS DATE))) FROM lineitem"""
     # the same results, reached part by part and from file footers
     out["period_incremental"], out["latest_month_footers"] = out["period_open"], out["latest_month"]
     return out

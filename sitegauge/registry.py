@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from sitegauge.functions.calendar import reporting_calendar
 from sitegauge.functions.columns import normalise_label, split_part, title_case
-from sitegauge.operators.aggregates import contingency, latest_month, non_null_counts
+from sitegauge.operators.aggregates import (contingency, latest_month, non_null_counts,
+                                            open_contingency)
 from sitegauge.operators.dedupe import keep_first_late, latest_per_key
-from sitegauge.operators.quality import zero_rows
+from sitegauge.operators.quality import observe_rows, zero_rows
 from sitegauge.operators.ranking import running_sum
 from sitegauge.operators.reshape import mean_pivot, melt, strict_pivot
 from sitegauge.plans import scorecard as sc_mod
@@ -203,7 +204,24 @@ def q_wave_counts(spark, sf_dir):
 def q_crosstab_counts(spark, sf_dir):
     """Service score by denominator counts."""
     return contingency(_survey(spark, sf_dir), "service_den", "service_num",
-                       SERVICE_NUMERATORS)
+                       SERVICE_NUMERATORS, strict=True)
+
+
+def q_crosstab_open(spark, sf_dir):
+    """Answers to one survey question by territory manager, of whatever values there
+    are, missing ones a category (A6 with missing values kept, V4)."""
+    return open_contingency(_survey(spark, sf_dir), "territory_manager", "q7")
+
+
+def q_log_sizes(spark, sf_dir):
+    """Rows of the price log before and after keep-first, counted in passing by the
+    job that writes the list (S13)."""
+    folder = _folder(spark, "sizes")
+    log, before = observe_rows(price_log_records(spark, sf_dir), "log")
+    log.write.parquet(f"{folder}/log")
+    final, after = observe_rows(dedupe_first(spark.read.schema(log.schema).parquet(f"{folder}/log")), "final")
+    final.write.parquet(f"{folder}/final")
+    return spark.createDataFrame([("log", before.get["rows"]), ("final", after.get["rows"])], "step string, row_count long")
 
 
 def q_zero_scores(spark, sf_dir):
@@ -475,7 +493,9 @@ QUERIES: dict[str, Query] = {
     "latest_wave": q_latest_wave,
     "wave_counts": q_wave_counts,
     "crosstab_counts": q_crosstab_counts,
+    "crosstab_open": q_crosstab_open,
     "zero_scores": q_zero_scores,
+    "log_sizes": q_log_sizes,
     "unpivot_split": q_unpivot_split,
     "pivot_mean": q_pivot_mean,
     "volume_semi_sum": q_volume_semi_sum,

@@ -4,7 +4,8 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sitegauge.operators.aggregates import contingency, latest_month, mean_by, money_sum, zero_sum
+from sitegauge.operators.aggregates import (contingency, latest_month, mean_by, money_sum, open_contingency,
+                                            zero_sum)
 from sitegauge.operators.dedupe import assert_unique, keep_first, keep_first_late, latest_per_key
 from sitegauge.operators.joins import (existence_flag, not_equal_keep_null,
                                        null_safe_left_join, semi_join)
@@ -192,3 +193,20 @@ def test_strict_pivot_checks_whatever_is_read(spark):
     other = strict_pivot(rows.where("site = 'b'"), ["site"], "wave", ["20181"], ["m"])
     with pytest.raises(Exception, match="outside the list"):
         other.count()
+
+
+def test_no_value_vanishes_from_tables(spark):
+    rows = [("a", "x"), ("a", "y"), ("a", None), (None, "x"), ("b", "z"), ("b", "z"), ("b", "missing"), ("b", "other")]
+    df = spark.createDataFrame(rows, "r string, c string")
+    got = {r["r"]: r.asDict() for r in open_contingency(df, "r", "c").collect()}
+    assert got["a"] == {"r": "a", "n_missing": 0, "n_other": 0, "n_x": 1, "n_y": 1, "n_z": 0, "other": 0, "missing": 1, "total": 3}
+    assert sum(r["total"] for r in got.values()) == len(rows) and got[None]["n_x"] == 1
+    tail = {r["r"]: r for r in open_contingency(df.where("c is null or c not in ('missing', 'other')"), "r", "c", most=1).collect()}
+    assert tail["a"].asDict() == {"r": "a", "n_z": 0, "other": 2, "missing": 1, "total": 3}
+    assert tail["b"].asDict() == {"r": "b", "n_z": 2, "other": 0, "missing": 0, "total": 2}
+    with pytest.raises(PySparkException, match="outside the list"):
+        contingency(df, "r", "c", ["x", "y"], strict=True).collect()
+    assert {r["r"]: r["n_x"] for r in contingency(df.where("c = 'x' or c is null"), "r", "c", ["x", "y"], strict=True).collect()} == {"a": 1, None: 1}
+    with pytest.raises(PySparkException, match="outside the list"):
+        mean_pivot(df.withColumn("v", F.lit(1.0)), ["r"], "c", ["x"], "v").collect()
+    assert open_contingency(df.limit(0), "r", "c").count() == 0
