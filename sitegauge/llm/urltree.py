@@ -1,11 +1,11 @@
 """URL filter: a path-template tree per host.
 
 A url's path is cut into segments. A segment that is variable by its form
-(a number, a hash, a long or mixed name) becomes ``*`` at once; at each depth,
-where one parent has more than ``max_children`` different literal children,
-they all become ``*``. Sibling branches with the same shape below them (the
-next depth's children) and label rates that do not differ by a two-proportion test
-are then merged into ``*`` as well. The leaves of this tree are templates.
+(a number, a hash, a long or mixed name) becomes ``*`` at once. Then, at each
+depth, sibling branches with the same shape below them (the next depth's
+children) and label rates that do not differ by a two-proportion test are merged
+into ``*``, however many siblings there are: a branch whose labels differ keeps
+its name on a host of any size. The leaves of this tree are templates.
 
 A template is rejected when its labelled purity says so: with ``good`` and
 ``bad`` labelled urls, smoothed towards the labelled rate of all urls with
@@ -15,8 +15,10 @@ without labels keep the overall rate and so are allowed.
 Rules (host suffix and path prefix, longest match wins) come before the tree.
 
 Counts are aggregated before every shuffle, so a host that holds a third of
-all urls is as many rows as it has templates. The tree is built over
-``depth`` segments; deeper segments are ``**``.
+all urls is as many rows as it has templates. The tree is built level by level
+over whole paths; keys with no sibling left, and those that have ended, are set
+aside, so the number of levels is that of the longest paths that share all but
+their ends.
 
 Defined results: a null url or one without ``://`` has an empty host and path
 and no rule, and is judged like any template. Repeated rows are judged
@@ -35,7 +37,6 @@ from sitegauge.llm.tables import freeze, read
 #: (host suffix, path prefix, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
          ("org", "/fr/", "allow"))
-DEPTH = 4
 VARIABLE = r"^(?:[0-9]+(?:[._-][0-9]+)*(?:\.[a-z0-9]{1,5})?|[0-9a-f]{8,}|.{33,}|[^0-9]*[0-9][^0-9]*[0-9].*)$"
 
 
@@ -57,30 +58,29 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def _segments(path: Column, depth: int) -> Column:
+def _segments(path: Column) -> Column:
     parts = F.array_remove(F.split(path, "/"), "")
-    typed = F.transform(F.slice(parts, 1, depth), lambda s: F.when(s.rlike(VARIABLE), F.lit("*")).otherwise(s))
-    return F.when(F.size(parts) > depth, F.concat(typed, F.array(F.lit("**")))).otherwise(typed)
+    return F.transform(parts, lambda s: F.when(s.rlike(VARIABLE), F.lit("*")).otherwise(s))
 
 
-def _generalise(tree: DataFrame, d: int, max_children: int, z: float) -> DataFrame:
+def _generalise(tree: DataFrame, d: int, z: float) -> DataFrame:
     """Turn segment ``d`` of the tree's rows (host, t, n, good, bad) into ``*`` where
-    its parent has too many children or the branch is like its siblings."""
+    the branch is like its siblings: of the same shape, with a rate of good labels
+    that agrees with theirs together. How many siblings there are doesn't matter."""
     at = F.get("t", F.lit(d))
     rows = tree.withColumn("up", F.slice("t", 1, d)).withColumn("seg", at)
-    deep = rows.where("seg is not null and seg not in ('*', '**')")
+    deep = rows.where("seg is not null and seg <> '*'")
     # shape below a branch: its next segments, as a set of bounded size
     branch = (deep.groupBy("host", "up", "seg")
               .agg(F.sum("good").alias("g"), F.sum("bad").alias("b"),
                    F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(coalesce(get(t, {d + 1}), '')), 63) as int))")).alias("shape")))
-    parent = branch.groupBy("host", "up").agg(F.count("*").alias("children"))
     alike = branch.groupBy("host", "up", "shape").agg(
         F.count("*").alias("peers"), F.sum("g").alias("pg"), F.sum("b").alias("pb"))
-    judged = (branch.join(parent, ["host", "up"]).join(alike, ["host", "up", "shape"])
+    judged = (branch.join(alike, ["host", "up", "shape"])
               .withColumn("pool", F.expr("(pg + 1D) / (pg + pb + 2D)"))
               .withColumn("own", F.expr("(g + 2 * pool) / (g + b + 2D)"))
               .withColumn("se", F.expr("sqrt(pool * (1 - pool) / (g + b + 2D))"))
-              .withColumn("wild", F.expr(f"children > {max_children} or (peers > 1 and abs(own - pool) <= {z} * se)"))
+              .withColumn("wild", F.expr(f"peers > 1 and abs(own - pool) <= {z} * se"))
               .where("wild").select("host", "up", "seg", "wild"))
     out = rows.join(judged, ["host", "up", "seg"], "left")
     kept = F.slice("t", d + 2, F.greatest(F.size("t") - F.lit(d + 1), F.lit(0)))
@@ -89,12 +89,12 @@ def _generalise(tree: DataFrame, d: int, max_children: int, z: float) -> DataFra
 
 
 def templates(urls: DataFrame, labels: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url",
-              depth: int = DEPTH, max_children: int = 64, z: float = 2.0) -> tuple[DataFrame, DataFrame]:
+              z: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """(rows, tree): every url's host, path and raw template key, and for each key
     its template with the template's labelled counts."""
     host, path = host_and_path(F.col(url_col))
     rows = urls.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("key", F.concat_ws("/", _segments(F.col("path"), depth)))
+    rows = rows.withColumn("key", F.concat_ws("/", _segments(F.col("path"))))
     if labels is not None:
         marks = labels.where("label in (0, 1)").groupBy("id").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         rows = rows.join(marks.where("lo = hi").select("id", F.col("lo").alias("label")), "id", "left")
@@ -105,8 +105,20 @@ def templates(urls: DataFrame, labels: DataFrame | None = None, id_col: str = "p
         F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("good"),
         F.coalesce(F.sum(F.lit(1) - F.col("label")), F.lit(0)).alias("bad"))
     tree = tree.withColumn("t", F.when(F.col("key") == "", F.array().cast("array<string>")).otherwise(F.split("key", "/")))
-    for d in range(depth):
-        tree = freeze(_generalise(tree, d, max_children, z), f"tree{d}")
+    # level by level, until no path is longer: rows that have ended are set aside
+    ended, d = None, 0
+    while True:
+        up = F.slice("t", 1, d)
+        crowd = tree.groupBy("host", up.alias("up")).agg(F.count("*").alias("keys"))
+        tree = freeze(tree.withColumn("up", up).join(crowd, ["host", "up"]).drop("up"), f"tree{d}")
+        over = (F.size("t") <= d) | (F.col("keys") == 1)
+        done = tree.where(over).drop("keys")
+        ended = done if ended is None else ended.unionByName(done)
+        deeper = tree.where(~over).drop("keys")
+        if deeper.isEmpty():
+            break
+        tree, d = _generalise(deeper, d, z), d + 1
+    tree = ended
     template = F.concat(F.lit("/"), F.concat_ws("/", "t"))
     tree = tree.withColumn("template", template)
     counts = tree.groupBy("host", "template").agg(F.sum("n").alias("urls"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))

@@ -47,6 +47,28 @@ def test_url_templates_merge_and_reject(spark):
     assert urltree.judge(urls.limit(0), None).count() == 0
 
 
+@pytest.mark.parametrize("sections", [20, 64, 65, 300])
+def test_url_branches_keep_their_names_on_hosts_of_any_size(spark, sections):
+    """A wholly bad branch is told from its siblings, at any number of siblings and depth."""
+    rows, marks = [], []
+    for s in range(sections):
+        name = "spam" if s == 7 else "sec" + "abcdefghij"[s % 10] + "klmnopqrst"[s // 10 % 10] + "uvwxyzabcd"[s // 100]
+        for i in range(12):
+            page = s * 100 + i
+            rows.append((page, f"http://h.io/{name}/{i}"))
+            rows.append((100_000 + page, f"http://deep.io/a/b/c/d/e/f/{name}/{i}"))
+            marks += [(page, int(name != "spam")), (100_000 + page, int(name != "spam"))]
+    rows.append((999_999, "http://long.io/" + "/".join(["x"] * 400)))
+    urls, labels = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(marks, "id long, label int")
+    got = {r.page_id: r for r in urltree.judge(urls, labels, rules=()).collect()}
+    assert len(got) == len(rows)
+    assert got[703].template == "/spam/*" and got[703].verdict == "block" and got[100_703].verdict == "block"
+    assert got[100_703].template == "/a/b/c/d/e/f/spam/*"
+    for page in (3, 100_003, 1203):
+        assert got[page].verdict == "allow" and got[page].template.endswith("/*/*")
+    assert got[999_999].template == "/" + "/".join(["x"] * 400)
+
+
 def test_packing(spark):
     docs = read(spark, SF, "documents")
     hot = spark.range(200).select((F.col("id") + 10_000).alias("doc_id"), F.lit("same text here").alias("text"))
