@@ -486,6 +486,7 @@ def _sql_queries() -> dict[str, str]:
     out["log_sizes"] = """SELECT 'log' AS step, count(*) AS row_count FROM lineitem
         UNION ALL SELECT 'final', count(DISTINCT (l_partkey, CAST(l_shipdate AS DATE))) FROM lineitem"""
     # the same results, reached part by part and from file footers
+    out["volume_by_layout"] = out["volume_semi_sum"]
     out["period_incremental"], out["latest_month_footers"] = out["period_open"], out["latest_month"]
     return out
 

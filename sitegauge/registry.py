@@ -32,7 +32,8 @@ from sitegauge.plans.prices import (PAGE_BODY, PAGE_CONTAINS, cleaned_log, dedup
 from sitegauge.plans.reports import INDEX, REPORT_KEYS, wide_scored, write_report_stores, write_scored
 from sitegauge.plans.survey_scores import WIDE_LABELS
 from sitegauge.session import ensure_checkpoint_dir
-from sitegauge.sources.fact_store import latest_month as latest_stored_month, write_facts
+from sitegauge.sources.fact_store import latest_month as latest_stored_month
+from sitegauge.sources.fact_store import write_bucketed, write_facts
 from sitegauge.sources.price_log import append_log, clean_prices, read_price_log_csv, write_final_csv
 from sitegauge.sources.quarantine import read_log_lines, split, tagged
 from sitegauge.sources.schemas import PRICE_LOG, VENDORS
@@ -259,6 +260,23 @@ def q_volume_semi_sum(spark, sf_dir):
         "site_id", _ymd("day").alias("day"), "volume", "premium_volume")
 
 
+FACT_BUCKETS = 16
+
+
+def q_volume_by_layout(spark, sf_dir):
+    """The same daily sums from facts laid out by year and site: years before the bound
+    are pruned, the roster is met and days are summed without a shuffle (S9, F11, J11)."""
+    world = customer_world(spark, sf_dir)
+    cal = reporting_calendar(world.run_date)
+    folder, run = _folder(spark, "layout"), uuid.uuid4().hex
+    facts = world.volume_records.withColumn("part", F.year("ts").cast("string"))
+    facts = write_bucketed(facts, f"volume_{run}", f"{folder}/volume", FACT_BUCKETS, part="part")
+    roster = write_bucketed(world.roster.select("site_id").distinct(), f"roster_{run}", f"{folder}/roster", FACT_BUCKETS)
+    recent = facts.where(F.col("part") >= str(cal.volume_start.year))
+    return daily_volume(recent, roster, cal.volume_start).select(
+        "site_id", _ymd("day").alias("day"), "volume", "premium_volume")
+
+
 def q_loyalty_by_parent(spark, sf_dir):
     """Loyalty records keyed through their parent site."""
     world = customer_world(spark, sf_dir)
@@ -499,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "unpivot_split": q_unpivot_split,
     "pivot_mean": q_pivot_mean,
     "volume_semi_sum": q_volume_semi_sum,
+    "volume_by_layout": q_volume_by_layout,
     "loyalty_by_parent": q_loyalty_by_parent,
     "latest_month": q_latest_month,
     "period_closed": q_period_closed,

@@ -72,3 +72,14 @@ def latest_month(spark: SparkSession, root: str) -> tuple[int, int] | None:
     with footer_aggregates(spark):
         day = last_day(spark, root).first()["day"]
     return None if day is None else (day.year, day.month)
+
+
+def write_bucketed(rows: DataFrame, table: str, path: str, buckets: int, key: str = "site_id", part: str | None = None) -> DataFrame:
+    """Store ``rows`` as an external table under ``path``, dealt into ``buckets`` by
+    ``key`` and sorted by it, in parts by the column ``part`` if given. Tables with
+    the same buckets meet, and are grouped by ``key``, without a shuffle."""
+    # one file for each bucket and part, not for each task besides
+    dealt = rows.repartition(buckets, key)
+    writer = dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    (writer.partitionBy(part) if part else writer).saveAsTable(table)
+    return rows.sparkSession.table(table)

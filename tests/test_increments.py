@@ -9,6 +9,7 @@ from conftest import SF001
 from sitegauge.functions.calendar import reporting_calendar
 from sitegauge.plans import increments
 from sitegauge.plans.periods import LOYALTY, VOLUME, flatten_loyalty, period_facts, period_totals
+from sitegauge.registry import QUERIES
 from sitegauge.sources import fact_store
 from sitegauge.sources.standins import supplier_world
 
@@ -107,3 +108,19 @@ def test_bounds_prune_parts(spark, scratch):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan and "2001" in plan
     assert recent.count() == 2 and len(recent.inputFiles()) == 14    # pruning is of the scan, not of the listing
+
+
+def test_laid_out_facts_meet_and_sum_without_a_shuffle(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold",)
+    before = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "-1")          # no table is small at scale
+    try:
+        df = QUERIES["volume_by_layout"](spark, SF001)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "LeftSemi" in plan and "Exchange" not in plan
+    assert plan.count("Bucketed: true") == 2 and "PartitionFilters: [isnotnull(part" in plan
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+    assert df.count() == QUERIES["volume_semi_sum"](spark, SF001).count()
