@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,21 +197,22 @@ def normalised(text: str, model: PieceModel) -> str:
     return text.replace(MARK, " ")
 
 
-def _calls(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > CALL_CHARS:
+def _slices(sizes) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``CALL_CHARS`` characters."""
+    first = held = 0
+    for i, n in enumerate(sizes):
+        if held and held + n > CALL_CHARS:
             yield first, i
-            first, size = i, 0
-        size += len(t)
-    if texts:
-        yield first, len(texts)
+            first, held = i, 0
+        held += n
+    if first < len(sizes):
+        yield first, len(sizes)
 
 
 def encode_texts(texts: list, path: str, threads: int = 1, decode: bool = True) -> Iterator[tuple]:
     """(ids, decoded text) of every text; (None, None) for a null."""
     tok, model = load(path, threads)
-    for a, b in _calls([t or "" for t in texts]):
+    for a, b in _slices([len(t or "") for t in texts]):
         part = texts[a:b]
         # cutting first lets long texts share the threads and the word cache
         got = [e.ids for e in tok.encode_batch_fast([t or "" for t in part], add_special_tokens=False)]
@@ -230,15 +232,18 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         path = model_path if os.path.isabs(model_path) else SparkFiles.get(model_path)
         _, model = load(path, threads)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids, n, same = [], [], []
-            for text, (got, back) in zip(texts, encode_texts(texts, path, threads)):
-                ids.append(got)
-                n.append(None if got is None else len(got))
-                same.append(None if got is None else back == normalised(text, model))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(same, pa.bool_())],
-                ["id", "ids", "n_tokens", "round_trip"])
+            sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for a, b in _slices(sizes):
+                # a slice's ids become arrays before the next one is encoded
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                ids, n, same = [], [], []
+                for text, (got, back) in zip(texts, encode_texts(texts, path, threads)):
+                    ids.append(got)
+                    n.append(None if got is None else len(got))
+                    same.append(None if got is None else back == normalised(text, model))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int32())), pa.array(n, pa.int64()),
+                     pa.array(same, pa.bool_())], ["id", "ids", "n_tokens", "round_trip"])
 
     kind = dict(docs.dtypes)[id_col]
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
