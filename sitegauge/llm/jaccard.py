@@ -261,18 +261,22 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         forget(same)
     forget(again)
 
-    # One row per class: prefix in the global order and parities.
+    # One row per class: prefix in the global order and parities. Broadcasts go when
+    # the table that needed them is written, so they don't add up.
+    order = spark.sparkContext.broadcast(rank)
     prefixes = freeze(
-        _prefix_pass(source.select("text"), k, limit, spark.sparkContext.broadcast(rank))
+        _prefix_pass(source.select("text"), k, limit, order)
         .groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"),
                             F.first("parity").alias("parity"))
         .join(classes.select("sig", "rep"), "sig"), "prefixes")
+    order.destroy()
     # Shared shingles: counted alone first; a Bloom filter of them then thins the
     # posting lists before they move, and the exact join decides.
     shared = freeze(prefixes.select(F.explode("prefix").alias("gram")).groupBy("gram").count()
                     .where("count > 1").select("gram"), "shared")
     thin = spark.sparkContext.broadcast(bitmap(shared, "gram"))
     postings = freeze(_postings(prefixes.select("rep", "n", "prefix"), thin).join(shared, "gram", "left_semi"), "postings")
+    thin.destroy()
     heads = (postings.groupBy("gram")
              .agg(F.min(F.struct(F.expr("1D * pos / n").alias("place"), "n", "rep")).alias("h"))
              .select("gram", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
@@ -327,11 +331,12 @@ def _verify(pairs: DataFrame, source: DataFrame, classes: DataFrame, prefixes: D
     ends = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
     wanted = classes.join(ends, "rep", "left_semi").select("sig", "word", "rep")
     wanted = freeze(wanted, "wanted")
-    table = bitmap(wanted, "word")
+    table = spark.sparkContext.broadcast(bitmap(wanted, "word"))
     sets = freeze(
-        _set_pass(source.select("text", "word"), k, spark.sparkContext.broadcast(table))
+        _set_pass(source.select("text", "word"), k, table)
         .groupBy("sig").agg(F.first("shingles").alias("shingles"))
         .join(wanted.select("sig", "rep"), "sig").select("rep", "shingles"), "sets")
+    table.destroy()
     found = freeze(
         pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
         .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -372,14 +377,15 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "word")).alias("best"))
             .select("best.id", "best.word", F.lit(True).alias("one")))
     free = rows.where("sig is null").select("id", "word").distinct().withColumn("one", F.lit(False))
-    word, place, keys = _fresh(docs.columns, 3)
+    word, place, keys, own = _fresh(docs.columns, 4)
     stay = best.unionByName(free).select(F.struct(F.col("id"), F.col("word"), F.col("one")).alias(keys))
     marked = docs.withColumn(word, F.xxhash64(F.col(text_col).cast("string")))
-    found = marked.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col(f"{keys}.id")) & (F.col(word) == F.col(f"{keys}.word")))
-    # of repeated rows of the kept one, one stays; a task passes on one row of each
-    first = Window.partitionBy(f"{keys}.id", word).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    grouped = found.where(F.col(f"{keys}.one")).withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
-    return grouped.select(*docs.columns).unionByName(found.where(~F.col(f"{keys}.one")).select(*docs.columns))
+    found = (marked.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col(f"{keys}.id")) & (F.col(word) == F.col(f"{keys}.word")))
+             .withColumn(own, F.when(F.col(f"{keys}.one"), F.lit(-1)).otherwise(F.monotonically_increasing_id())))
+    # of repeated rows of the kept one, one stays; a task passes on one row of each.
+    # Rows without words are each their own.
+    first = Window.partitionBy(f"{keys}.id", word, own).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    return found.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*docs.columns)
 
 
 def _fresh(taken, n: int) -> list[str]:
