@@ -6,21 +6,21 @@ at least ``least``.
 * Equal vectors of a label become one class with a number of copies.
 * A bounded, documented sample (``max_values`` numbers) gives mean, principal
   axes and, by iterative quantisation, a rotation whose signs are balanced
-  bits. One rotation yields as many bits as the vectors have numbers (64 at
-  most); when the tables need more, further rotations start from other seeds.
+  bits, as many as the vectors have numbers (64 at most).
 * The bits are cut into ``tables`` substrings; every class is indexed in every
-  table. The number of tables is measured, not derived: pairs at exactly the
-  threshold are made from sampled vectors, and tables are added until the share
-  of pairs that agree in one reaches ``recall`` (two standard errors below the
-  measured share). The pairs differ in even directions and in those that the
-  data varies in, and the vectors' own share is judged for all vectors and for
-  the quarter nearest to the mean, whose codes differ most. Substring length is
-  what costs least by the measured tables and bucket sizes. Where codes tell
-  too little it is 0: one table in which all vectors of a label meet.
+  table. No link is lost: linked vectors are at most ``d`` apart with
+  ``d * d = 2 - 2 * least``, a rotation adds nothing to that, so in the table
+  where their projections are nearest they are at most ``d / sqrt(tables)``
+  apart, and their middle is within half of that of both. A class therefore
+  stands in each bucket that its projection reaches within this half: its own
+  substring, and those with bits flipped whose numbers' squares add up to no
+  more. Both vectors stand in their middle's bucket.
+* The sample also tells how many tables and bits cost least. They, like the
+  sample, decide the cost only; the links are the same whatever they are.
 * Rows of one bucket (label, table, substring) meet in blocks of at most about
   ``BLOCK`` x ``BLOCK`` rows, so a large bucket becomes many tasks' work. In a
-  block the original vectors decide. A pair counts in the first table where its
-  substrings agree, so each is counted once; a block gives one row per vector
+  block the original vectors decide. A pair counts in the bucket of its middle in
+  the table where it is nearest, so once; a block gives one row per vector
   (its links and the smallest member of its local component, over all links
   counted there), never pairs.
 
@@ -44,10 +44,16 @@ from sitegauge.llm.components import connected_components
 from sitegauge.llm.tables import NULL_IDS, freeze, read
 
 BLOCK = 1024
-#: Made pairs of each kind that measure recall.
-PAIRS = 4096
-#: Cost of a class in one more table (its row with the vector moves), in comparisons.
+#: Cost of a class in one more bucket (its row with the vector moves), in comparisons.
 TABLE_COST = 1000
+#: Numbers of tables that are weighed, and rows and buckets that weigh them.
+TABLES, WEIGHED, REACHED = (1, 2, 3, 4, 5, 6, 8), 8192, 1 << 22
+#: Bits of a substring at most: a vector in the midst of all stands in every bucket.
+BITS = 16
+#: Added to squared distances, far above what rounding takes off them.
+SLACK = 1e-9
+#: Pairs whose bucket is told at once.
+TOLD = 1 << 16
 
 
 def itq(sample: np.ndarray, seed: int, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
@@ -65,73 +71,70 @@ def itq(sample: np.ndarray, seed: int, rounds: int = 40) -> tuple[np.ndarray, np
     return mean, axes[:bits].T @ rotation
 
 
-def threshold_pairs(sample: np.ndarray, mean: np.ndarray, least: float, seed: int = 7) -> list:
-    """(vectors, partners) at cosine ``least``, per kind of pair whose recall counts."""
-    rng = np.random.default_rng(seed)
-    far = np.linalg.norm(sample - mean, axis=1)
-    kinds = []
-    for some in (np.arange(len(sample)), np.argsort(far, kind="stable")[:max(1, len(sample) // 4)]):
-        at = sample[rng.choice(some, PAIRS)]
-        apart = sample[rng.integers(len(sample), size=PAIRS)] - sample[rng.integers(len(sample), size=PAIRS)]
-        for ways in (rng.standard_normal(at.shape), apart):
-            ways = ways - (ways * at).sum(axis=1, keepdims=True) * at
-            size = np.linalg.norm(ways, axis=1)
-            good = size > 1e-9
-            if good.any():
-                kinds.append((at[good], least * at[good] + math.sqrt(1 - least * least)
-                              * ways[good] / size[good, None]))
-    return kinds
-
-
-def plan(sample: np.ndarray, labels: np.ndarray, classes_per_label: float, least: float, recall: float) -> tuple[int, int, list]:
-    """(substring bits, tables, maps) with the wanted recall at the least cost. A
-    class costs ``TABLE_COST`` a table and 1 for each class that it meets."""
-    if classes_per_label <= TABLE_COST:
-        return 0, 1, []
-    maps = [itq(sample, seed=0)]
-    width = maps[0][1].shape[1]
-    pairs = threshold_pairs(sample, maps[0][0], min(1.0, max(-1.0, least)))
-    signs = lambda x, m: (x - m[0]) @ m[1] >= 0
-    same = [[signs(u, maps[0]) == signs(v, maps[0])] for u, v in pairs]
-    own = signs(sample, maps[0])
-    _, group = np.unique(labels, return_inverse=True)
+def radius(least: float, tables: int) -> float:
+    """Square of the distance within which a class stands in a table's buckets."""
+    return max(0.0, 2 - 2 * least) / 4 / tables + SLACK
+
+
+def reach(numbers: np.ndarray, square: float):
+    """(row, bucket) of every bucket that a row's numbers reach, bit by bit: one pair of
+    arrays for the first number, the first two, and so on."""
+    row = np.arange(len(numbers))
+    key, left = np.zeros(len(numbers), dtype=np.int64), np.full(len(numbers), square)
+    for i in range(numbers.shape[1]):
+        x = numbers[row, i]
+        cost = x * x
+        also = np.flatnonzero(cost <= left)
+        sign = x >= 0
+        key = np.concatenate([key | sign.astype(np.int64) << i, key[also] | (~sign[also]).astype(np.int64) << i])
+        left = np.concatenate([left, left[also] - cost[also]])
+        row = np.concatenate([row, row[also]])
+        yield row, key
+
+
+def plan(sample: np.ndarray, labels: np.ndarray, classes_per_label: float, least: float) -> tuple[int, int, tuple]:
+    """(substring bits, tables, map) of the least cost. A class costs ``TABLE_COST``
+    a bucket and 1 for each class that it meets there. The first table speaks for all."""
+    mean, project = itq(sample, seed=0)
+    width = project.shape[1]
+    some = np.random.default_rng(7).permutation(len(sample))[:WEIGHED]
+    numbers = (sample[some] - mean) @ project
+    _, group = np.unique(labels[some], return_inverse=True)
     sizes = np.bincount(group).astype(float)
     within = (sizes * (sizes - 1)).sum()
-    best = (TABLE_COST + classes_per_label, 0, 1)
-    for bits in range(1, min(28, width) + 1):
-        bucket = group << bits | own[:, :bits] @ (1 << np.arange(bits, dtype=np.int64))
-        _, sizes = np.unique(bucket, return_counts=True)
-        meets = classes_per_label * ((sizes * (sizes - 1.0)).sum() / within if within else 0.0)
-        each = TABLE_COST + max(meets, classes_per_label / 2 ** bits)
-        found = [np.zeros(len(u), dtype=bool) for u, _ in pairs]
-        tables = 0
-        while pairs and (tables + 1) * each < best[0]:
-            while (tables + 1) * bits > len(maps) * width:
-                maps.append(itq(sample, seed=len(maps)))
-                for agree, (u, v) in zip(same, pairs):
-                    agree.append(signs(u, maps[-1]) == signs(v, maps[-1]))
-            first, last = tables * bits // width, ((tables + 1) * bits - 1) // width
-            for hit, agree in zip(found, same):
-                span = agree[first] if first == last else np.concatenate(agree[first:last + 1], axis=1)
-                at = tables * bits - first * width
-                hit |= span[:, at:at + bits].all(axis=1)
-            tables += 1
-            share = min(h.mean() - 2 * math.sqrt(h.mean() * (1 - h.mean()) / len(h)) for h in found)
-            if share >= recall:
-                best = (tables * each, bits, tables)
+    best = (math.inf, 1, 1)
+    for tables in (t for t in TABLES if t <= width):
+        for bits, (row, key) in enumerate(reach(numbers[:, :min(BITS, width // tables)], radius(least, tables)), start=1):
+            buckets = len(row) / len(some)
+            if tables * TABLE_COST * buckets >= best[0] or len(row) > REACHED:
                 break
-    _, bits, tables = best
-    return bits, tables, maps[:math.ceil(bits * tables / width)]
-
-
-def _keys(vectors: np.ndarray, maps: list, bits: int, tables: int) -> np.ndarray:
-    """Substrings (rows x tables) of the vectors' codes."""
-    if not bits:
-        return np.zeros((len(vectors), tables), dtype=np.int64)
-    signs = np.concatenate([(vectors - mean) @ project >= 0 for mean, project in maps], axis=1)
-    weight = 1 << np.arange(bits, dtype=np.int64)
-    return np.stack([signs[:, t * bits:(t + 1) * bits] @ weight[:signs[:, t * bits:(t + 1) * bits].shape[1]]
-                     for t in range(tables)], axis=1).astype(np.int64)
+            _, sizes = np.unique(group[row] << bits | key, return_counts=True)
+            meets = classes_per_label * ((sizes * (sizes - 1.0)).sum() / within if within else 0.0)
+            cost = tables * (TABLE_COST * buckets + max(meets, classes_per_label * buckets ** 2 / 2 ** bits))
+            best = min(best, (cost, bits, tables))
+    return best[1], best[2], (mean, project[:, :best[1] * best[2]])
+
+
+def _numbers(unit: np.ndarray, mean: np.ndarray, project: np.ndarray) -> np.ndarray:
+    """Projections whose digits don't depend on the other rows, so that every block
+    tells the same of a pair."""
+    out = np.zeros((len(unit), project.shape[1]))
+    for i, ways in enumerate(project):
+        out += (unit[:, i] - mean[i])[:, None] * ways
+    return out
+
+
+def _counted(u: np.ndarray, v: np.ndarray, bits: int, table: int, key: int) -> np.ndarray:
+    """Whether each pair of projections is nearest in ``table`` and has its middle in ``key``."""
+    mine = slice(table * bits, (table + 1) * bits)
+    here = np.flatnonzero((((u[:, mine] + v[:, mine]) >= 0) @ (1 << np.arange(bits, dtype=np.int64))) == key)
+    apart = np.zeros((len(here), u.shape[1] // bits))
+    for t in range(apart.shape[1]):
+        for i in range(t * bits, (t + 1) * bits):
+            apart[:, t] += (u[here, i] - v[here, i]) ** 2
+    out = np.zeros(len(u), dtype=bool)
+    out[here] = apart.argmin(axis=1) == table
+    return out
 
 
 def _unit(batch_column: pa.Array, dim: int) -> np.ndarray:
@@ -153,15 +156,18 @@ def _roots(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
     return root
 
 
-def _block_links(left, right, table: int, least: float):
+def _block_links(left, right, table: int, least: float, bits: int = 0, key: int = 0, maps=None):
     """Of a block: weighted links counted here for each left row, and over all of
     them the smallest id of the local component of each left and each right row."""
-    ids_l, x_l, keys_l, _ = left
-    ids_r, x_r, keys_r, copies_r = right
+    ids_l, x_l = left[:2]
+    ids_r, x_r, _, copies_r = right
     a, b = np.nonzero((x_l @ x_r.T >= least) & (ids_l[:, None] != ids_r[None, :]))
-    for t in range(table):
-        first = keys_l[a, t] != keys_r[b, t]
-        a, b = a[first], b[first]
+    if bits and len(a):
+        of_l, at_l = np.unique(a, return_inverse=True)
+        of_r, at_r = np.unique(b, return_inverse=True)
+        u, v = _numbers(x_l[of_l], *maps), _numbers(x_r[of_r], *maps)
+        here = np.concatenate([_counted(u[at_l[s:s + TOLD]], v[at_r[s:s + TOLD]], bits, table, key) for s in range(0, len(a), TOLD)])
+        a, b = a[here], b[here]
     counted = np.bincount(a, weights=copies_r[b], minlength=len(ids_l)).astype(np.int64)
     ids, node = np.unique(np.concatenate([ids_l, ids_r]), return_inverse=True)
     node_l, node_r = node[:len(ids_l)], node[len(ids_l):]
@@ -170,7 +176,7 @@ def _block_links(left, right, table: int, least: float):
 
 
 def links(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-          least: float = 0.98, recall: float = 0.98, max_values: int = 2_000_000) -> DataFrame:
+          least: float = 0.98, max_values: int = 2_000_000) -> DataFrame:
     """(id_col, n_links, component_id, kept) of every row."""
     spark = vectors.sparkSession
     vec = F.col(vec_col).cast("array<float>")
@@ -199,7 +205,7 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
                   .select("vec", F.xxhash64("label").alias("label")).orderBy("vh").toPandas())
         unit = np.array(sample["vec"].tolist(), dtype=np.float64)
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        bits, tables, maps = plan(unit, sample["label"].to_numpy(), squares / n, least, recall)
+        bits, tables, maps = plan(unit, sample["label"].to_numpy(), squares / n, least)
         found.append(freeze(_search(part, dim, bits, tables, spark.sparkContext.broadcast(maps), least), "links"))
     if found:
         every = found[0]
@@ -227,14 +233,18 @@ def _search(classes: DataFrame, dim: int, bits: int, tables: int, maps, least: f
     kind = dict(classes.dtypes)["label"]
 
     def index(batches):
+        mean, project = maps.value
         for batch in batches:
-            unit = _unit(batch.column(2), dim)
-            keys = _keys(unit, maps.value, bits, tables)
-            rows, spread = len(unit), np.tile(np.arange(len(unit)), tables)
-            at = pa.array(spread)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), pa.array(np.repeat(np.arange(tables, dtype=np.int32), rows)),
-                 pa.array(keys.T.ravel()), batch.column(1).take(at)], ["label", "tab", "key", "rep"])
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                numbers = (_unit(some.column(2), dim) - mean) @ project
+                for t in range(tables):
+                    for row, key in reach(numbers[:, t * bits:(t + 1) * bits], radius(least, tables)):
+                        pass
+                    row = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column(0).take(row), pa.array(np.full(len(key), t, dtype=np.int32)), pa.array(key), some.column(1).take(row)],
+                        ["label", "tab", "key", "rep"])
 
     spread = freeze(classes.select("label", "rep", "vec").mapInArrow(index, f"label {kind}, tab int, key long, rep long"), "index")
     sizes = (spread.groupBy("label", "tab", "key").agg(F.count("*").alias("m")).where("m > 1")
@@ -256,31 +266,30 @@ def _search(classes: DataFrame, dim: int, bits: int, tables: int, maps, least: f
         held, name = [], None
         for batch in batches:
             unit = _unit(batch.column("vec"), dim)
-            keys = _keys(unit, maps.value, bits, tables)
             names = list(zip(*(batch.column(c).to_pylist() for c in ("label", "tab", "key", "i", "j"))))
             side, rep, copies = (batch.column(c).to_numpy() for c in ("side", "rep", "copies"))
             cuts = [0, *[x for x in range(1, len(names)) if names[x] != names[x - 1]], len(names)]
             for a, b in zip(cuts, cuts[1:]):
                 if names[a] != name and held:
-                    yield from _meet_block(held, name, least)
+                    yield from _meet_block(held, name, least, bits, maps.value)
                     held = []
                 name = names[a]
-                held.append((side[a:b], rep[a:b], unit[a:b], keys[a:b], copies[a:b]))
+                held.append((side[a:b], rep[a:b], unit[a:b], copies[a:b]))
         if held:
-            yield from _meet_block(held, name, least)
+            yield from _meet_block(held, name, least, bits, maps.value)
 
     return (both.repartition("label", "tab", "key", "i", "j")
             .sortWithinPartitions("label", "tab", "key", "i", "j")
             .mapInArrow(meet, "rep long, n long, low long"))
 
 
-def _meet_block(held, name, least: float):
-    side, rep, unit, keys, copies = (np.concatenate(x) for x in zip(*held))
-    pick = lambda m: (rep[m], unit[m], keys[m], copies[m])
+def _meet_block(held, name, least: float, bits: int, maps):
+    side, rep, unit, copies = (np.concatenate(x) for x in zip(*held))
+    pick = lambda m: (rep[m], unit[m], None, copies[m])
     left = pick(side == 0)
     right = left if name[3] == name[4] else pick(side == 1)
     if len(left[0]) and len(right[0]):
-        n, low, low_r = _block_links(left, right, name[1], least)
+        n, low, low_r = _block_links(left, right, name[1], least, bits, name[2], maps)
         ids, some = left[0], n > 0
         if right is not left:
             # the mirrored block counts the right rows' links; their edges are needed once

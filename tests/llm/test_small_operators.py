@@ -214,6 +214,28 @@ def test_itq_recall_with_a_common_mean(spark):
         assert want >= 3000 and found >= 0.98 * want, (shift, found, want)
 
 
+def test_itq_loses_no_link_at_any_size(spark, monkeypatch):
+    """A label's links are those of brute force, whether few or many rows share it and
+    whatever the plan takes a bucket to cost."""
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(rng.standard_normal((1500, 64)))
+    ways = rng.standard_normal(x.shape)
+    ways = unit(ways - (ways * x).sum(axis=1, keepdims=True) * x)
+    c = rng.uniform(0.98001, 0.981, len(x))[:, None]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([x, c * x + np.sqrt(1 - c * c) * ways]))]
+    few = [r for r in rows if r[0] % 1500 < 100]
+    want = brute_near(rows)
+    assert sum(n for n, _ in want.values()) >= 3000
+    plans, plan = [], itq.plan
+    monkeypatch.setattr(itq, "plan", lambda *args: plans.append(plan(*args)) or plans[-1])
+    for cost, some in ((1000, few), (1000, rows), (3, few), (3, rows)):
+        monkeypatch.setattr(itq, "TABLE_COST", cost)
+        df = spark.createDataFrame(some, "vec_id long, embedding array<float>, label int")
+        assert {r.vec_id: (r.n_links, r.component_id) for r in itq.links(df).collect()} == {r[0]: want[r[0]] for r in some}
+    assert all(bits >= 1 for bits, *_ in plans) and len({p[:2] for p in plans}) > 1
+
+
 def test_itq_block_roots():
     """Blocks of two sides, against brute force."""
     rng = np.random.default_rng(1)
