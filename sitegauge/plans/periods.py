@@ -136,7 +136,8 @@ def data_window(months: set[tuple[str, int, int]]) -> PeriodWindow | None:
 
 
 def _tags(window: PeriodWindow) -> Column:
-    """Every output slot a monthly row feeds: (year, trimester, is_ptd, role)."""
+    """Every output slot a monthly row feeds: (year, trimester, is_ptd, role); NULL
+    for one that it doesn't."""
     y, m = F.col("year"), F.col("month")
     Y, M, ppe, label = window.max_year, window.max_month, window.prev_period_end, window.label
 
@@ -156,14 +157,14 @@ def _tags(window: PeriodWindow) -> Column:
         ptd = y.isin(Y - 1, Y) & (m > ppe) & (m <= M)
         tags += [F.when(ptd, tag(y, F.lit(label), True, "cur")),
                  F.when(ptd & (y == Y - 1), tag(F.lit(Y), F.lit(label), True, "prev"))]
-    return F.filter(F.array(*tags), lambda t: t.isNotNull())
+    return F.array(*tags)
 
 
 def period_totals(monthly: DataFrame, window: PeriodWindow) -> DataFrame:
     """Sums per (site, year, trimester, is_ptd) with previous-year sums beside
     them. A measure is NULL where its fact has no row for that site and
     period, 0 where rows exist but are all NULL (trap T3)."""
-    tagged = monthly.select("*", F.explode(_tags(window)).alias("t"))
+    tagged = monthly.select("*", F.explode(_tags(window)).alias("t")).where(F.col("t").isNotNull())
     cur, prev = F.col("t.role") == "cur", F.col("t.role") == "prev"
     is_vol, is_loy = F.col("source") == VOLUME, F.col("source") == LOYALTY
 

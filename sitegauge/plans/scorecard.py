@@ -23,6 +23,8 @@ Scale notes:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,9 +83,12 @@ def enrich_sites(roster: DataFrame, hierarchy: DataFrame) -> DataFrame:
     return roster.join(owners, "site_id", "left")
 
 
-def survey_table(world) -> DataFrame:
-    """Survey files of both layouts, unioned and scored."""
-    return survey_ratios(normalise_files(world.survey_files))
+def survey_table(world, once: bool = False) -> DataFrame:
+    """Survey files of both layouts, unioned and scored (V1, U1, C1, C2). With
+    ``once`` the caller reads the table a single time, so files that are rendered
+    from a table need no copy of their own."""
+    files = world.survey_files
+    return survey_ratios(normalise_files(files.once() if once and hasattr(files, "once") else files))
 
 
 def _slot_array(pairs: list[Pair]) -> Column:
@@ -138,12 +143,14 @@ def penetration_points(c: Column) -> Column:
     return out.otherwise(F.lit(0)).cast("long")
 
 
-def score_table(kpis: DataFrame, survey: DataFrame) -> DataFrame:
+def score_table(kpis: DataFrame, survey: DataFrame, pairs: list[Pair] | None = None) -> DataFrame:
     """Points and total per roster site and scored slot (K5-K7).
 
     A missing KPI earns 0 points (a NULL comparison is false, as a NaN one
     is in pandas); a missing survey ratio makes its points and the total
-    NULL. Thresholds are compared on the unrounded double KPIs (T15).
+    NULL. Thresholds are compared on the unrounded double KPIs (T15). With the
+    plan's ``pairs``, survey rows of other slots, which no scored row meets,
+    are left before the join.
     """
     # The survey row of wave yyyy+t serves the closed slot (yyyy, t) and the
     # period-to-date slot of the same label. Keying the join exactly like the
@@ -155,6 +162,9 @@ def score_table(kpis: DataFrame, survey: DataFrame) -> DataFrame:
         F.expr("substring(wave_id, 5)").try_cast("long").alias("trimester"),
         F.explode(F.array(F.lit(False), F.lit(True))).alias("is_ptd"),
         "service_ratio", "facility_ratio", "experience_score")
+    if pairs is not None:
+        scored_slots = [_slot_filter(p) for p in pairs if p.score_ok]
+        ratios = ratios.where(reduce(or_, scored_slots, F.lit(False)))
     wave = F.concat(F.col("year").cast("string"), F.col("trimester").cast("string"))
     scored = (kpis.where(F.col("score_ok")).drop("score_ok")
               .join(ratios, ["site_id", "year", "trimester", "is_ptd"], "left")
@@ -197,7 +207,7 @@ def build_scorecard(world, period_label: int | None = None,
     pulls = {
         "monthly": lambda: monthly_facts(world.volume_records, world.loyalty_records,
                                          world.roster, calendar),
-        "survey": lambda: survey_table(world)}
+        "survey": lambda: survey_table(world, once=True)}
     if snapshot_root is None:
         frozen = freeze_many({name: pull() for name, pull in pulls.items()})
         monthly, survey = frozen["monthly"], frozen["survey"]
@@ -217,7 +227,7 @@ def build_scorecard(world, period_label: int | None = None,
         totals = monthly.limit(0)
     sites = enrich_sites(roster, world.hierarchy)
     kpis = kpi_table(sites, totals, plan)
-    scored = score_table(kpis, survey)
+    scored = score_table(kpis, survey, plan.pairs)
     return Scorecard(world.name, calendar, plan, roster, sites, survey, totals, kpis, scored)
 
 

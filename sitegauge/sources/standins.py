@@ -123,6 +123,11 @@ class SurveyFiles:
                                         self._split_year)
         return self._files
 
+    def once(self) -> list[DataFrame]:
+        """The files for a reader that writes them itself: not materialised before,
+        each aggregates its own waves."""
+        return self._files or _survey_files(self._survey, self._split_year)
+
     def __iter__(self):
         return iter(self._render())
 

@@ -87,6 +87,20 @@ def test_points_and_totals(card):
     assert k["A"]["volume_growth"] == 50 / 40 - 1 and k["A"]["penetration"] == 0.1
 
 
+def test_only_survey_rows_of_scored_slots_are_joined(card, spark):
+    """Other slots' survey rows are left before the join, and the scores are the same;
+    a stand-in's survey is written once, as the scorecard's own table."""
+    every, own = sc.score_table(card.kpis, card.survey), sc.score_table(card.kpis, card.survey, card.plan.pairs)
+    assert own.count() > 0 and sorted(map(str, every.collect())) == sorted(map(str, own.collect()))
+    none = sc.score_table(card.kpis, card.survey, [])
+    assert none.where("service_ratio is not null").count() == 0 < own.where("service_ratio is not null").count()
+    from sitegauge.sources.standins import customer_world
+    stand_in = customer_world(spark, "/root/testdata/sf0.001")
+    built = sc.build_scorecard(stand_in)
+    assert stand_in.survey_files._files is None
+    assert sorted(map(str, built.survey.collect())) == sorted(map(str, sc.survey_table(stand_in).collect()))
+
+
 def test_rank_and_averages(card, world):
     ranks = {r["site_id"]: (r["region"], r["rank"]) for r in sc.region_rank(card).collect()}
     assert ranks == {"B": ("North", 1), "A": ("North", 2), "C": ("North", 3)}
