@@ -36,31 +36,38 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in keep])
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys (NULLs are keys) of more than one row, written and read back, so that
-    their real size decides how they are joined."""
+def _mark(keys: Sequence[str]) -> Column:
+    """A number that equal keys (NULLs are keys) share."""
+    return F.shiftright(F.xxhash64(*keys), 32).cast("int")
+
+
+def repeated_marks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Marks of the keys of more than one row, and of the few that share a hash with
+    another, written and read back, so that their real size decides how they are
+    joined."""
     from sitegauge.session import freeze
-    return freeze(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "repeated-keys")
+    again = df.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return freeze(again.select(F.shiftright("_h", 32).cast("int").alias("_mark")), "repeated-keys")
 
 
 def keep_first_late(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                     keep: Sequence[str] | None = None) -> DataFrame:
     """:func:`keep_first` in two phases (A9), for wide rows.
 
-    First a hash aggregate counts the rows of each key; it reads and moves keys
-    only, and leaves those that repeat. Then the rows are read with the repeated
-    keys beside them: a row that is alone passes as it is, without a shuffle
-    when the repeated keys are few (broadcast by their written size) and with
-    one when they are many; the others go through :func:`first_of_few`. Neither
-    phase sorts all rows.
+    First a hash aggregate counts the rows of each key; it reads keys only, moves
+    their hashes, and leaves the marks of those that repeat. Then the rows are read
+    with the marks beside them: a row without one is alone and passes as it is,
+    without a shuffle when the marks are few (broadcast by their written size: four
+    bytes a repeated key) and with one when they are many; the others go through
+    :func:`first_of_few`, which compares the keys themselves, so a row that only
+    shares a mark stays too. Neither phase sorts all rows.
     """
     keep = [c for c in (keep or df.columns) if c not in keys]
-    again = repeated_keys(df, keys).select(*[F.col(k).alias(f"_again_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_again_{k}")) for k in keys]
+    again = repeated_marks(df, keys)
     names = [f"_order_{i}" for i in range(len(order))]
-    rows = df.select(*keys, *keep, *[c.alias(n) for c, n in zip(_cols(order), names)])
-    alone = rows.join(again, same, "left_anti").select(*keys, *keep)
-    return alone.unionByName(first_of_few(rows.join(again, same, "left_semi"), keys, names).select(*keys, *keep))
+    rows = df.select(*keys, *keep, *[c.alias(n) for c, n in zip(_cols(order), names)], _mark(keys).alias("_mark"))
+    alone = rows.join(again, "_mark", "left_anti").select(*keys, *keep)
+    return alone.unionByName(first_of_few(rows.join(again, "_mark", "left_semi"), keys, names).select(*keys, *keep))
 
 
 def first_of_few(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

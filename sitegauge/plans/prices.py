@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegauge.functions.columns import parse_money, us_date_text
@@ -119,7 +119,19 @@ def dedupe_first(log: DataFrame) -> DataFrame:
                            keep=["product", *VENDORS, "date"])
 
 
+#: Text days of four-digit years whose day every month has.
+PLAIN_DAY = r"^(0[1-9]|1[0-2])/(0[1-9]|1[0-9]|2[0-8])/(?!0000)[0-9]{4}\z"
+
+
+def text_day(c: str) -> Column:
+    """``to_date(c, "MM/dd/yyyy")``. Parsing is dear: plain days are put together from
+    their digits, and only the others are parsed."""
+    month, day, year = (F.substring(c, at, n).try_cast("int") for at, n in ((1, 2), (4, 2), (7, 4)))
+    return F.when(F.col(c).rlike(PLAIN_DAY), F.make_date(year, month, day)).otherwise(F.to_date(c, "MM/dd/yyyy"))
+
+
 def sort_final(df: DataFrame) -> DataFrame:
     """Optional chronological order (O2, T13): text days do not sort across
-    years, so the sort uses the parsed date."""
-    return df.orderBy("product", F.to_date("date", "MM/dd/yyyy"))
+    years, so the sort uses the parsed date, as a column: an expression would be
+    evaluated at every comparison."""
+    return df.withColumn("_day", text_day("date")).orderBy("product", "_day").drop("_day")

@@ -34,11 +34,11 @@ from sitegauge.plans.survey_scores import WIDE_LABELS
 from sitegauge.session import ensure_checkpoint_dir
 from sitegauge.sources.fact_store import latest_month as latest_stored_month
 from sitegauge.sources.fact_store import write_bucketed, write_facts
-from sitegauge.sources.price_log import append_log, clean_prices, read_price_log_csv, write_final_csv
+from sitegauge.sources.price_log import append_log, clean_prices, parse_prices, read_price_log_text, write_final_csv
 from sitegauge.sources.quarantine import read_log_lines, split, tagged
 from sitegauge.sources.schemas import PRICE_LOG, VENDORS
-from sitegauge.sources.standins import (PRICE_INGEST_ORDER, customer_world, price_log_records,
-                                        supplier_world, table)
+from sitegauge.sources.standins import (PRICE_INGEST_ORDER, customer_world, price_log_records, price_log_source,
+                                        price_log_text, supplier_world, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,10 +116,11 @@ def _folder(spark, name: str) -> str:
 
 
 def _log_lines(spark, sf_dir, folder: str) -> str:
-    """The stand-in log as CSV text in ingest order, as scrape runs append it."""
+    """The stand-in log as CSV text in ingest order, as scrape runs append it. Rows are
+    sorted as they stand in the table and made text where they are written."""
     path = f"{folder}/csv"
-    raw = price_log_records(spark, sf_dir)
-    (raw.orderBy(*PRICE_INGEST_ORDER).select("product", *VENDORS, "date")
+    raw = price_log_text(price_log_source(spark, sf_dir).orderBy(*PRICE_INGEST_ORDER))
+    (raw.select("product", *VENDORS, "date")
      .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
     return path
 
@@ -129,11 +130,12 @@ def q_prices_csv_job(spark, sf_dir):
     stored log by year (one year twice, as a re-run does), de-duplicated, written
     as the final CSV list and read back (S5, Z1, A9, O2, Z2)."""
     folder = _folder(spark, "prices")
-    log = read_price_log_csv(spark, _log_lines(spark, sf_dir, folder)).withColumn(
+    lines = read_price_log_text(spark, _log_lines(spark, sf_dir, folder)).withColumn(
         "snapshot_date", F.substring("date", 7, 4))
+    log = parse_prices(lines)
     append_log(log, f"{folder}/log")
     first_year = F.col("snapshot_date") == F.lit("1995")
-    append_log(log.where(first_year), f"{folder}/log")
+    append_log(parse_prices(lines.where(first_year)), f"{folder}/log")
     stored = spark.read.schema(log.schema).parquet(f"{folder}/log")
     final = keep_first_late(stored, ["product", "date"], ["ingest_file", "ingest_seq"], keep=["product", *VENDORS, "date"])
     write_final_csv(sort_final(final.select("product", *VENDORS, "date")), f"{folder}/final")

@@ -16,7 +16,13 @@ from sitegauge.sources.schemas import PRICE_LOG_TEXT, VENDORS
 
 def read_price_log_csv(spark: SparkSession, path: str,
                        null_tokens=MISSING_PRICE_TOKENS) -> DataFrame:
-    """Read a price-log CSV (header, quoted commas) and tag file order.
+    """Read a price-log CSV (header, quoted commas) and tag file order."""
+    return parse_prices(read_price_log_text(spark, path), null_tokens)
+
+
+def read_price_log_text(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of :func:`read_price_log_csv` with their prices still as text, so that
+    rows can be chosen before their prices are parsed.
 
     ``ingest_file`` / ``ingest_seq`` record where each row came from; within
     one file, ``monotonically_increasing_id`` follows the byte order of the
@@ -24,12 +30,16 @@ def read_price_log_csv(spark: SparkSession, path: str,
     """
     raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
            .schema(PRICE_LOG_TEXT).csv(path))
-    return (raw.select(
-        "product",
-        *[parse_money(v, null_tokens).alias(v) for v in VENDORS],
-        "date",
+    return raw.select(
+        "product", *VENDORS, "date",
         F.col("_metadata.file_path").alias("ingest_file"),
-        F.monotonically_increasing_id().alias("ingest_seq")))
+        F.monotonically_increasing_id().alias("ingest_seq"))
+
+
+def parse_prices(df: DataFrame, null_tokens=MISSING_PRICE_TOKENS) -> DataFrame:
+    """Parse all six vendor columns in one projection."""
+    return df.select(*[parse_money(c, null_tokens).alias(c) if c in VENDORS else F.col(c)
+                       for c in df.columns])
 
 
 def clean_prices(df: DataFrame) -> DataFrame:

@@ -230,19 +230,31 @@ def price_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     vendor column ``l_suppkey % 6`` as ``$1,234.50`` and the other five hold
     ``N/A``. ``ingest_*`` columns give the keep-first order.
     """
-    from sitegauge.sources.schemas import VENDORS
-    li = table(spark, sf_dir, "lineitem")
-    price = F.concat(F.lit("$"), F.format_number(F.col("l_extendedprice"), 2))
-    slot = F.col("l_suppkey") % len(VENDORS)
-    return li.select(
-        F.col("l_partkey").cast("string").alias("product"),
-        *[F.when(slot == i, price).otherwise(F.lit("N/A")).alias(v)
-          for i, v in enumerate(VENDORS)],
-        F.date_format("l_shipdate", "MM/dd/yyyy").alias("date"),
+    return price_log_text(price_log_source(spark, sf_dir))
+
+
+def price_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a price-log row is made of, in the table's own compact types, for steps
+    that move rows before their text is needed."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("part"), F.col("l_shipdate").alias("day"),
         F.col("l_orderkey").alias("ingest_order"),
         F.col("l_linenumber").alias("ingest_line"),
         F.col("l_suppkey").alias("ingest_supplier"),
         F.col("l_extendedprice").alias("ingest_amount"))
 
 
+def price_log_text(source: DataFrame) -> DataFrame:
+    """Rows of :func:`price_log_source` as scraped text."""
+    from sitegauge.sources.schemas import VENDORS
+    price = F.concat(F.lit("$"), F.format_number(F.col("ingest_amount"), 2))
+    slot = F.col("ingest_supplier") % len(VENDORS)
+    return source.select(
+        F.col("part").cast("string").alias("product"),
+        *[F.when(slot == i, price).otherwise(F.lit("N/A")).alias(v)
+          for i, v in enumerate(VENDORS)],
+        F.date_format("day", "MM/dd/yyyy").alias("date"),
+        "ingest_order", "ingest_line", "ingest_supplier", "ingest_amount")
+
+
 PRICE_INGEST_ORDER = ("ingest_order", "ingest_line", "ingest_supplier", "ingest_amount")

@@ -42,6 +42,18 @@ def test_late_keep_first_equals_keep_first(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_late_keep_first_with_shared_marks(spark, monkeypatch):
+    """Repeated keys meet their rows by four bytes; keys that share a mark stay apart."""
+    from sitegauge.operators import dedupe
+    rows = spark.range(0, 200, 1, 4).select((F.col("id") % 150).cast("string").alias("k"), F.col("id").alias("o"), (F.col("id") * 2).alias("v"))
+    marks = dedupe.repeated_marks(rows, ["k"])
+    assert marks.dtypes == [("_mark", "int")] and marks.count() == 50
+    want = sorted(map(str, keep_first(rows, ["k"], ["o"], keep=["v"]).collect()))
+    every = marks.first()[0]
+    monkeypatch.setattr(dedupe, "_mark", lambda keys: F.lit(every))
+    assert sorted(map(str, keep_first_late(rows, ["k"], ["o"], keep=["k", "v"]).collect())) == want
+
+
 def test_keep_first_hot_key_many_partitions(spark):
     # one key holds most rows, spread over many input partitions
     df = spark.range(0, 20000, numPartitions=16).select(

@@ -40,6 +40,24 @@ def test_read_dedupe_write_golden(spark, scratch):
     assert back.count() == 3 and back.columns == ["product", *VENDORS, "date"]
 
 
+def test_final_days_are_sorted_as_a_column(spark):
+    """In the order of the parsed day, whatever way it is parsed, and parsed before the
+    sort, not at every comparison; a day that is none still fails the job."""
+    days = ["12/31/1999", "01/02/2000", "02/29/2000", "02/28/2000", "03/01/2000", "10/30/1999", "12/09/2001", "01/01/0001", None]
+    df = spark.createDataFrame([(p, d) for p in ("b", "a", None) for d in days], "product string, date string").repartition(5)
+    final = sort_final(df)
+    assert final.columns == ["product", "date"]
+    got = [tuple(r) for r in final.collect()]
+    want = df.select("*", F.to_date("date", "MM/dd/yyyy").alias("day")).collect()
+    order = lambda r: (r[0] is not None, r[0], r[2] is not None, r[2])
+    assert got == [(r[0], r[1]) for r in sorted(want, key=order)]
+    sorts = [x for x in final._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort [" in x]
+    assert len(sorts) == 1 and "_day" in sorts[0] and "(" not in sorts[0].split("Sort [")[1].split("]")[0]
+    for bad in ("02/30/2000", "2000-01-02", "1/2/2000", "01/02/2000\n"):
+        with pytest.raises(PySparkException):
+            sort_final(spark.createDataFrame([("a", bad), ("b", "01/02/2000")], "product string, date string")).collect()
+
+
 HTML = ('<html><body><div class="product-name">Tab &amp; Co</div><div class="product-name">Desk</div>'
         '<div class="row cell zero x"><a href="/1">$1,299.00</a></div>'
         '<div class="cell zero"><a href="/2">N/A</a></div>'
