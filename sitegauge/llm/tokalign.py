@@ -21,7 +21,8 @@ one row a block, not one a document; the counts then return to their block and
 meet its documents. Both tokenizers work word by word where that changes no
 token (neither's pieces run on across a space; else on whole texts), so a worker
 keeps the tokens of recent words (about ``WORDS``) and puts texts together from
-them.
+them. For the same reason new words are encoded many at once, as one text, whose
+tokens are told apart by their bytes.
 
 Defined results: a text that is null, empty, or that a tokenizer doesn't give
 back byte for byte (the space marker itself in a text, for one) has no tokens:
@@ -37,7 +38,7 @@ import json
 import os
 import re
 from functools import partial
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,8 @@ CALL_BYTES, BLOCK_BYTES = 1 << 20, 4 << 20
 EXPAND = 1 << 22
 #: Words (and, 16 times as many, tokens) that a worker keeps before it begins anew.
 WORDS = 400_000
+#: Bytes of new words that are encoded as one text.
+RUN_BYTES = 1 << 14
 #: Words begin at a space behind something that is no white space.
 CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -162,23 +165,59 @@ class Words:
         self.ids = self.ends = self.starts = self.sizes = np.zeros(0, dtype=np.int64)
         self.same = np.zeros(0, dtype=bool)
 
-    def add(self, words: list[str], raw: list[bytes]) -> None:
-        """Encode further words; their numbers follow those of the words before."""
-        side, ids, spans, sizes = self.side, [], [], []
-        for i, s in side.encode(words):
-            ids += i
-            spans += s
-            sizes.append(len(i))
-        decoded = [side.bytes[x] for x in ids]
-        ids, sizes = np.array(ids, dtype=np.int64), np.array(sizes, dtype=np.int64)
-        spans = np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(ids)).reshape(-1, 2)
-        starts = np.cumsum(sizes) - sizes
-        ends = cuts(*side.in_bytes(spans, starts, sizes, words, raw).T, side.sizes[ids], np.repeat(starts, sizes))
-        # bytes word by word only where not all are the same
+    def runs(self, words: list[str], raw: list[bytes]) -> list[tuple[int, int]]:
+        """(first, end) of the words that are encoded as one text, which is cut into
+        them again: none ends in white space. The space marker stands alone, as B
+        doesn't give it back."""
+        out, first, held = [], 0, 0
+        for i, (w, x) in enumerate(zip(words, raw)):
+            alone = MARK in w or w[-1].isspace()
+            if i > first and (alone or held > RUN_BYTES):
+                out.append((first, i))
+                first, held = i, 0
+            held += len(x)
+            if alone:
+                out.append((i, i + 1))
+                first, held = i + 1, 0
+        return out + [(first, len(words))] * (first < len(words))
+
+    def add(self, words: list[str], raw: list[bytes], joined: bool = False) -> None:
+        """Encode further words; their numbers follow those of the words before. With
+        ``joined`` (tokens don't run on from word to word) many are one text."""
+        side = self.side
+        runs = self.runs(words, raw) if joined else [(i, i + 1) for i in range(len(words))]
+        told = list(side.encode(["".join(words[a:b]) for a, b in runs]))
+        good = [b - a == 1 or b"".join([side.bytes[x] for x in i]) == b"".join(raw[a:b]) for (a, b), (i, _) in zip(runs, told)]
+        if not all(good):
+            # what isn't given back byte for byte is encoded again word by word
+            single = [(i, i + 1) for (a, b), g in zip(runs, good) if not g for i in range(a, b)]
+            again = dict(zip(single, side.encode([words[a] for a, _ in single])))
+            told = [x for (a, b), g, x in zip(runs, good, told) for x in ([x] if g else [again[i, i + 1] for i in range(a, b)])]
+            runs = [x for (a, b), g in zip(runs, good) for x in ([(a, b)] if g else [(i, i + 1) for i in range(a, b)])]
         count = np.array([len(x) for x in raw], dtype=np.int64)
-        same = np.bincount(np.repeat(np.arange(len(words)), sizes), weights=side.sizes[ids], minlength=len(words)) == count
-        if not same.all() or b"".join(decoded) != b"".join(raw):
-            same = np.array([b"".join(decoded[a:a + n]) == x for a, n, x in zip(starts.tolist(), sizes.tolist(), raw)], dtype=bool)
+        ends = np.cumsum(count)
+        first, last = np.array(runs, dtype=np.int64).reshape(-1, 2).T
+        per_run = np.array([len(i) for i, _ in told], dtype=np.int64)
+        ids = np.fromiter(chain.from_iterable(i for i, _ in told), np.int64, int(per_run.sum()))
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(s for _, s in told)), np.int64, 2 * len(ids)).reshape(-1, 2)
+        # a token's word: that in which its bytes end; its run's only word, if it is one
+        starts = np.cumsum(per_run) - per_run
+        to = np.cumsum(side.sizes[ids])
+        base = (ends - count)[first]
+        to = to + np.repeat(base - np.append(0, to)[starts], per_run)
+        many = np.repeat(last - first > 1, per_run)
+        word = np.where(many, np.searchsorted(ends, to), np.repeat(first, per_run))
+        if (many & (to - side.sizes[ids] < (ends - count)[word])).any():
+            return self.add(words, raw)      # a token of two words
+        begins = side.in_bytes(spans, starts, per_run, ["".join(words[a:b]) for a, b in runs], [b"".join(raw[a:b]) for a, b in runs])
+        begins = begins - ((ends - count)[word] - np.repeat(base, per_run))[:, None]
+        sizes = np.bincount(word, minlength=len(words))
+        starts = np.cumsum(sizes) - sizes
+        ends = cuts(*begins.T, side.sizes[ids], np.repeat(starts, sizes))
+        # bytes word by word only where a word was alone
+        same = np.ones(len(words), dtype=bool)
+        for a in first[last - first == 1].tolist():
+            same[a] = b"".join([side.bytes[x] for x in ids[starts[a]:starts[a] + sizes[a]].tolist()]) == raw[a]
         self.starts = np.append(self.starts, starts + len(self.ids))
         self.sizes = np.append(self.sizes, sizes)
         self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, ends)
@@ -261,13 +300,14 @@ class Aligner:
             self.known.clear()
             self.words_a.clear()
             self.words_b.clear()
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        if new:
+        known, before = self.known, len(self.known)
+        numbers = [known.setdefault(w, len(known)) for w in words]
+        if len(known) > before:
+            new = list(islice(known, before, None))
             raw = [w.encode() for w in new]
-            self.words_a.add(new, raw)
-            self.words_b.add(new, raw)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        return np.array([self.known[w] for w in words], dtype=np.int64)
+            self.words_a.add(new, raw, self.by_word)
+            self.words_b.add(new, raw, self.by_word)
+        return np.array(numbers, dtype=np.int64)
 
     @classmethod
     def of(cls, vocabulary: str, model: str) -> Aligner:

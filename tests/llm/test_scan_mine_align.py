@@ -245,6 +245,29 @@ def test_alignment_without_word_memory_or_small_groups(spark, monkeypatch):
     assert fast.align(texts[:3])[4] == one[4][:3]
 
 
+def test_new_words_are_encoded_many_at_once(spark, monkeypatch):
+    """As one text, with the tokens that each word has alone, whatever stands beside it."""
+    one = tokalign.Aligner(tokalign.VOCABULARY, tokalign.MODEL)
+    words = list(dict.fromkeys(w for t in alignment_texts(spark) if t for w in one.cut(t)))
+    raw = [w.encode() for w in words]
+    for size in (1 << 14, 50, 1):
+        monkeypatch.setattr(tokalign, "RUN_BYTES", size)
+        for side in (one.a, one.b):
+            alone, joined, texts = tokalign.Words(side), tokalign.Words(side), []
+            alone.add(words, raw)
+            encode = side.encode
+            monkeypatch.setattr(side, "encode", lambda x, e=encode: texts.extend(x) or e(x))
+            joined.add(words, raw, joined=True)
+            monkeypatch.undo()
+            monkeypatch.setattr(tokalign, "RUN_BYTES", size)
+            for name in ("ids", "ends", "starts", "sizes", "same"):
+                assert (getattr(alone, name) == getattr(joined, name)).all(), name
+            assert (size > 50) <= (len(texts) < len(words) / 4)
+            empty = tokalign.Words(side)
+            empty.add([], [], joined=True)
+            assert len(empty.sizes) == 0
+
+
 def test_linked_groups_of_any_size():
     rng = np.random.default_rng(1)
     sizes = [(1, 1), (2, 3), (300, 200), (1, 1), (90, 70), (2, 1)]
