@@ -19,10 +19,12 @@ distinct pairs, which stands once for the block. Only the blocks' lists are
 shuffled by pair (counts, and the best count of an A id), so a common pair costs
 one row a block, not one a document; the counts then return to their block and
 meet its documents. Both tokenizers work word by word where that changes no
-token (neither's pieces run on across a space; else on whole texts), so a worker
-keeps the tokens of recent words (about ``WORDS``) and puts texts together from
-them. For the same reason new words are encoded many at once, as one text, whose
-tokens are told apart by their bytes.
+token (neither's pieces run on across a space; else on whole texts). A word's
+tokens end together at its end, so its groups are its own: a worker keeps the
+groups and linked pairs of recent words (about ``WORDS``; when there are more, those
+met in several calls stay) and puts texts together from them. For the same reason new
+words are encoded many at once, as one text, whose tokens are told apart by their
+bytes.
 
 Defined results: a text that is null, empty, or that a tokenizer doesn't give
 back byte for byte (the space marker itself in a text, for one) has no tokens:
@@ -36,7 +38,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 from functools import partial
 from itertools import chain, islice
 
@@ -55,12 +56,13 @@ VOCABULARY, MODEL = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_
 CALL_BYTES, BLOCK_BYTES = 1 << 20, 4 << 20
 #: Pairs that are written out one by one at once.
 EXPAND = 1 << 22
-#: Words (and, 16 times as many, tokens) that a worker keeps before it begins anew.
+#: Words (and, 16 times as many, pairs) that a worker keeps before it leaves half of them.
 WORDS = 400_000
 #: Bytes of new words that are encoded as one text.
-RUN_BYTES = 1 << 14
-#: Words begin at a space behind something that is no white space.
-CUT = re.compile(r"(?<=\S)(?= )")
+RUN_BYTES = 1 << 12
+#: White space in UTF-8, as numbers of one, two and three bytes.
+BLANKS = [np.array([int.from_bytes(x) for x in (chr(i).encode() for i in range(1 << 16) if chr(i).isspace()) if len(x) == n])
+          for n in (1, 2, 3)]
 
 
 def byte_letters() -> dict[str, int]:
@@ -154,8 +156,30 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total[-1] if len(total) else 0) + np.repeat(starts - total + sizes, sizes)
 
 
+def after_blank(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space stands before the bytes ``at`` of UTF-8 whose first
+    character is of one byte."""
+    blank = np.isin(np.arange(256), BLANKS[0])[text[at - 1]]
+    wide = np.flatnonzero(text[at - 1] > 127)
+    two = text[at[wide] - 2].astype(np.int64) << 8 | text[at[wide] - 1]
+    three = text[np.maximum(at[wide] - 3, 0)].astype(np.int64) << 16 | two
+    blank[wide] = np.isin(two, BLANKS[1]) | np.isin(three, BLANKS[2])
+    return blank
+
+
+def word_starts(text: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where words begin in texts that begin at ``first``, each with a space: there,
+    and at a space behind something that is no white space."""
+    mark = text == 32
+    at = np.flatnonzero(mark[1:]) + 1
+    mark[at[after_blank(text, at)]] = False
+    mark[np.append(first[1:], len(text)) - 1] = False     # B adds no space to an empty text
+    mark[first] = True
+    return np.flatnonzero(mark)
+
+
 class Words:
-    """Tokens of the words that a worker has met lately, for one side."""
+    """Tokens of words for one side."""
 
     def __init__(self, side):
         self.side = side
@@ -165,27 +189,28 @@ class Words:
         self.ids = self.ends = self.starts = self.sizes = np.zeros(0, dtype=np.int64)
         self.same = np.zeros(0, dtype=bool)
 
-    def runs(self, words: list[str], raw: list[bytes]) -> list[tuple[int, int]]:
-        """(first, end) of the words that are encoded as one text, which is cut into
+    def runs(self, text: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The first words of the runs that are encoded as one text, which is cut into
         them again: none ends in white space. The space marker stands alone, as B
         doesn't give it back."""
-        out, first, held = [], 0, 0
-        for i, (w, x) in enumerate(zip(words, raw)):
-            alone = MARK in w or w[-1].isspace()
-            if i > first and (alone or held > RUN_BYTES):
-                out.append((first, i))
-                first, held = i, 0
-            held += len(x)
-            if alone:
-                out.append((i, i + 1))
-                first, held = i + 1, 0
-        return out + [(first, len(words))] * (first < len(words))
+        alone = after_blank(text, ends)
+        mark = np.flatnonzero(text == MARK.encode()[-1])
+        mark = mark[mark > 1]
+        mark = mark[(text[mark - 1] == MARK.encode()[1]) & (text[mark - 2] == MARK.encode()[0])]
+        alone[np.searchsorted(ends, mark, side="right")] = True
+        part = np.append(0, ends[:-1]) // RUN_BYTES
+        return np.flatnonzero(alone | np.append(True, alone[:-1] | (part[1:] != part[:-1])))
 
     def add(self, words: list[str], raw: list[bytes], joined: bool = False) -> None:
         """Encode further words; their numbers follow those of the words before. With
         ``joined`` (tokens don't run on from word to word) many are one text."""
-        side = self.side
-        runs = self.runs(words, raw) if joined else [(i, i + 1) for i in range(len(words))]
+        if not words:
+            return
+        side, text = self.side, b"".join(raw)
+        count = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(count)
+        first = self.runs(np.frombuffer(text, np.uint8), ends) if joined else np.arange(len(words))
+        runs = list(zip(first.tolist(), [*first[1:].tolist(), len(words)]))
         told = list(side.encode(["".join(words[a:b]) for a, b in runs]))
         good = [b - a == 1 or b"".join([side.bytes[x] for x in i]) == b"".join(raw[a:b]) for (a, b), (i, _) in zip(runs, told)]
         if not all(good):
@@ -194,8 +219,6 @@ class Words:
             again = dict(zip(single, side.encode([words[a] for a, _ in single])))
             told = [x for (a, b), g, x in zip(runs, good, told) for x in ([x] if g else [again[i, i + 1] for i in range(a, b)])]
             runs = [x for (a, b), g in zip(runs, good) for x in ([(a, b)] if g else [(i, i + 1) for i in range(a, b)])]
-        count = np.array([len(x) for x in raw], dtype=np.int64)
-        ends = np.cumsum(count)
         first, last = np.array(runs, dtype=np.int64).reshape(-1, 2).T
         per_run = np.array([len(i) for i, _ in told], dtype=np.int64)
         ids = np.fromiter(chain.from_iterable(i for i, _ in told), np.int64, int(per_run.sum()))
@@ -206,7 +229,9 @@ class Words:
         base = (ends - count)[first]
         to = to + np.repeat(base - np.append(0, to)[starts], per_run)
         many = np.repeat(last - first > 1, per_run)
-        word = np.where(many, np.searchsorted(ends, to), np.repeat(first, per_run))
+        ended = np.zeros(len(text) + 1, dtype=np.int64)      # words before each byte
+        ended[ends[:-1] + 1] = 1
+        word = np.where(many, np.cumsum(ended)[np.minimum(to, len(text))], np.repeat(first, per_run))
         if (many & (to - side.sizes[ids] < (ends - count)[word])).any():
             return self.add(words, raw)      # a token of two words
         begins = side.in_bytes(spans, starts, per_run, ["".join(words[a:b]) for a, b in runs], [b"".join(raw[a:b]) for a, b in runs])
@@ -280,34 +305,95 @@ class Aligner:
             raise ValueError("ids are beyond the pairs' 33 bits")
         self.by_word = self.a.by_word and self.b.by_word
         self.words_a, self.words_b = Words(self.a), Words(self.b)
-        self.known: dict = {}       # word -> number
         digits = [str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
         self.wide = len(digits)
-        self.signed = np.array([d + sign for sign in (",", "|", ";", "") for d in digits], dtype=object)
+        self.signed = np.array([d + sign for sign in (",", "|", ";", "\n") for d in digits], dtype=object)
+        #: of each kept word: its number, whether both sides give it back, in how many
+        #: calls it was met, its A tokens, B tokens and groups, its groups' text, and
+        #: its linked pairs with their links
+        self.known: dict[bytes, int] = {}
+        self.same, self.met = np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int32)
+        self.sums = np.zeros((3, 0), dtype=np.int32)
+        self.texts = np.zeros(0, dtype=object)
+        self.starts = self.sizes = self.pairs = np.zeros(0, dtype=np.int64)
+        self.times = np.zeros(0, dtype=np.int32)
+
+    def starts_in(self, text: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where words begin in texts that begin at ``first``."""
+        return word_starts(text, first) if self.by_word else first
 
     def cut(self, text: str) -> list[str]:
-        """" " + text, cut before spaces that follow no white space."""
-        if not self.by_word:
-            return [" " + text]
-        words = CUT.split(" " + text)
-        if words[-1] == " " and len(words) > 1:     # B adds no space to an empty text
-            words[-2:] = [words[-2] + " "]
-        return words
-
-    def number(self, words: list[str]) -> np.ndarray:
-        """Each word's number; new words are encoded."""
-        if len(self.known) > WORDS or len(self.words_a.ids) > 16 * WORDS:
-            self.known.clear()
-            self.words_a.clear()
-            self.words_b.clear()
+        """The words of " " + text."""
+        raw = (" " + text).encode()
+        starts = self.starts_in(np.frombuffer(raw, np.uint8), np.zeros(1, dtype=np.int64)).tolist()
+        return [raw[x:y].decode() for x, y in zip(starts, [*starts[1:], len(raw)])]
+
+    def keep(self) -> None:
+        """Leave words until there is room for as many again; those met in most calls stay."""
+        stay = np.argsort(-self.met, kind="stable")[:WORDS // 2]
+        stay = stay[(self.met[stay] > 1) & (np.cumsum(self.sizes[stay]) <= 8 * WORDS)]
+        words = list(self.known)
+        self.known = {words[i]: k for k, i in enumerate(stay.tolist())}
+        self.same, self.sums, self.texts = self.same[stay], self.sums[:, stay], self.texts[stay]
+        where, self.sizes = _ragged(self.starts[stay], self.sizes[stay]), self.sizes[stay]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.pairs, self.times, self.met = self.pairs[where], self.times[where], np.zeros(len(stay), dtype=np.int32)
+
+    def number(self, words: list[bytes]) -> np.ndarray:
+        """Each distinct word's number; new words are encoded."""
+        if len(self.known) > WORDS or len(self.pairs) > 16 * WORDS:
+            self.keep()
         known, before = self.known, len(self.known)
-        numbers = [known.setdefault(w, len(known)) for w in words]
+        numbers = np.array([known.setdefault(w, len(known)) for w in words], dtype=np.int64)
         if len(known) > before:
-            new = list(islice(known, before, None))
-            raw = [w.encode() for w in new]
-            self.words_a.add(new, raw, self.by_word)
-            self.words_b.add(new, raw, self.by_word)
-        return np.array(numbers, dtype=np.int64)
+            self.learn(list(islice(known, before, None)))
+        self.met[numbers] += 1
+        return numbers
+
+    def learn(self, raw: list[bytes]) -> None:
+        """Groups and linked pairs of further words."""
+        new, n = [w.decode() for w in raw], len(raw)
+        for side in (self.words_a, self.words_b):
+            side.clear()
+            side.add(new, raw, self.by_word)
+        same = self.words_a.same & self.words_b.same
+        good = np.flatnonzero(same)
+        sizes = np.fromiter(map(len, raw), np.int64, n)[good]
+        starts = np.cumsum(sizes) - sizes
+        a, ends_a, per_a = self.words_a.tokens(good, starts)
+        b, ends_b, per_b = self.words_b.tokens(good, starts)
+        marks = np.zeros((2, int(sizes.sum()) + 1), dtype=bool)
+        marks[0, ends_a] = marks[1, ends_b] = True
+        both = marks[0] & marks[1]
+        # a token's group: common ends before its own
+        before = np.cumsum(both) - both
+        group_a, group_b = before[ends_a], before[ends_b]
+        word_of = np.zeros(int(both.sum()), dtype=np.int64)
+        word_of[group_a] = np.repeat(good, per_a)
+        key, times = linked(a, b, group_a, group_b, word_of)
+        # tokens in the order of the digest: each group's A tokens, then its B tokens
+        last_a, last_b = (np.cumsum(np.bincount(g, minlength=len(word_of))) for g in (group_a, group_b))
+        place_a = np.arange(len(a)) + np.append(0, last_b)[group_a]
+        place_b = np.arange(len(b)) + last_a[group_b]
+        sign_a = np.where(np.append(group_a[1:] != group_a[:-1], True), 1, 0)
+        last = np.append(group_b[1:] != group_b[:-1], True)
+        ends_word = np.append(word_of[1:] != word_of[:-1], True)[group_b]
+        sign_b = np.where(last, np.where(ends_word, 3, 2), 0)
+        tokens = np.empty(len(a) + len(b), dtype=object)
+        tokens[place_a] = self.signed[sign_a * self.wide + a]
+        tokens[place_b] = self.signed[sign_b * self.wide + b]
+        texts, sums = np.full(n, b"", dtype=object), np.zeros((3, n), dtype=np.int32)
+        texts[good] = "".join(tokens.tolist()).encode().split(b"\n")[:-1]
+        sums[0, good], sums[1, good] = per_a, per_b
+        sums[2] = np.bincount(word_of, minlength=n)
+        of = np.bincount(key >> 33, minlength=n)
+        self.starts = np.append(self.starts, np.cumsum(of) - of + len(self.pairs))
+        self.sizes = np.append(self.sizes, of)
+        self.pairs = np.append(self.pairs, key & (1 << 33) - 1)
+        self.times = np.append(self.times, times.astype(np.int32))
+        self.same, self.texts = np.append(self.same, same), np.append(self.texts, texts)
+        self.sums = np.append(self.sums, sums, axis=1)
+        self.met = np.append(self.met, np.zeros(n, dtype=np.int32))
 
     @classmethod
     def of(cls, vocabulary: str, model: str) -> Aligner:
@@ -321,50 +407,38 @@ class Aligner:
         n_a, n_b, groups, links = (np.zeros(len(texts), dtype=np.int64) for _ in range(4))
         digests = [""] * len(texts)
         some = np.array([i for i, t in enumerate(texts) if t], dtype=np.int64)
-        cut = [self.cut(texts[i]) for i in some.tolist()]
-        numbers = self.number([w for words in cut for w in words])
-        count = np.array([len(words) for words in cut], dtype=np.int64)
-        # texts with a word that a side doesn't give back have no tokens
-        whole = self.words_a.same[numbers] & self.words_b.same[numbers]
-        of = np.repeat(np.arange(len(cut)), count)
-        good = np.bincount(of, weights=~whole, minlength=len(cut)) == 0
-        numbers, of, some = numbers[good[of]], (np.cumsum(good) - 1)[of[good[of]]], some[good]
         if not len(some):
             return n_a, n_b, groups, links, digests, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        a_ends = self.words_a
-        sizes = np.where(a_ends.sizes[numbers] > 0, a_ends.ends[a_ends.starts[numbers] + a_ends.sizes[numbers] - 1], 0)
-        starts = np.cumsum(sizes) - sizes
-        at = int(sizes.sum())
-        a, ends_a, per_a = self.words_a.tokens(numbers, starts)
-        b, ends_b, per_b = self.words_b.tokens(numbers, starts)
-        n_a[some], n_b[some] = (np.bincount(of, weights=x, minlength=len(some)).astype(np.int64) for x in (per_a, per_b))
-        rows = some.tolist()
-        marks = np.zeros((2, at + 1), dtype=bool)
-        marks[0, ends_a] = marks[1, ends_b] = True
-        both = marks[0] & marks[1]
-        # a token's group: common ends before its own
-        before = np.cumsum(both) - both
-        group_a, group_b = before[ends_a], before[ends_b]
-        doc_of = np.zeros(int(both.sum()), dtype=np.int64)
-        doc_of[group_a] = np.repeat(rows, n_a[rows])
-        key, times = linked(a, b, group_a, group_b, doc_of)
-        np.add.at(groups, doc_of, 1)
-        np.add.at(links, key >> 33, times)
-        # tokens in the order of the digest: each group's A tokens, then its B tokens
-        place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")
-        place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
-        sign_a = np.where(np.append(group_a[1:] != group_a[:-1], True), 1, 0)
-        last_b = np.append(group_b[1:] != group_b[:-1], True)
-        ends_doc = np.append(doc_of[1:] != doc_of[:-1], True)[group_b]
-        sign_b = np.where(last_b, np.where(ends_doc, 3, 2), 0)
-        words = np.empty(len(a) + len(b), dtype=object)
-        words[place_a] = self.signed[sign_a * self.wide + a]
-        words[place_b] = self.signed[sign_b * self.wide + b]
-        words, first = words.tolist(), 0
-        for i in rows:
-            end = first + int(n_a[i] + n_b[i])
-            digests[i] = hashlib.sha256("".join(words[first:end]).encode()).hexdigest()
-            first = end
+        raw = [(" " + texts[i]).encode() for i in some.tolist()]
+        ends = np.cumsum([len(x) for x in raw])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        first = np.append(0, ends[:-1])
+        starts = self.starts_in(data, first)
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, *map(pa.py_buffer, (np.append(starts, len(data)), data))]).dictionary_encode()
+        numbers = self.number(words.dictionary.to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy()]
+        of = np.searchsorted(first, starts, side="right") - 1
+        # texts with a word that a side doesn't give back have no tokens
+        good = np.bincount(of, weights=~self.same[numbers], minlength=len(some)) == 0
+        numbers, of = numbers[good[of]], some[of[good[of]]]
+        for out, values in zip((n_a, n_b, groups), self.sums):
+            out += np.bincount(of, weights=values[numbers], minlength=len(texts)).astype(np.int64)
+        told = self.texts[numbers].tolist()
+        rows = some[good]
+        for i, x, y in zip(rows.tolist(), np.searchsorted(of, rows).tolist(), np.searchsorted(of, rows, side="right").tolist()):
+            digests[i] = hashlib.sha256(b";".join(told[x:y])).hexdigest()
+        # each word of a document once, then each pair
+        once, often = np.unique(of << 32 | numbers, return_counts=True)
+        word = once & (1 << 32) - 1
+        sizes = self.sizes[word]
+        where = _ragged(self.starts[word], sizes)
+        key = np.repeat(once >> 32 << 33, sizes) | self.pairs[where]
+        times = np.repeat(often, sizes) * self.times[where]
+        order = np.argsort(key)
+        key, times = key[order], times[order]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+        key, times = key[begin], np.add.reduceat(times, begin) if len(begin) else times
+        links += np.bincount(key >> 33, weights=times, minlength=len(texts)).astype(np.int64)
         return n_a, n_b, groups, links, digests, key, times
 
 
@@ -405,8 +479,11 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, model:
 
         def finish():
             every = np.concatenate([x[-2] & (1 << 33) - 1 for _, x in held])
-            pairs, number, counts = np.unique(every, return_inverse=True, return_counts=True)
-            number, at = number.ravel(), 0
+            told = pa.array(every).dictionary_encode()
+            pairs, number, at = told.dictionary.to_numpy(), told.indices.to_numpy(), 0
+            order = np.argsort(pairs)
+            pairs, counts = pairs[order], np.bincount(number, minlength=len(pairs))[order]
+            number = np.argsort(order)[number]
             for ids, (n_a, n_b, groups, links, digests, key, times) in held:
                 n, mine = len(ids), number[at:at + len(key)]
                 at += len(key)

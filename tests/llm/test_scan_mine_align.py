@@ -268,6 +268,23 @@ def test_new_words_are_encoded_many_at_once(spark, monkeypatch):
             assert len(empty.sizes) == 0
 
 
+def test_words_of_several_calls_stay_when_the_memory_is_full(monkeypatch):
+    """Common words are encoded once, however many others come and go; a call looks each word up once."""
+    monkeypatch.setattr(tokalign, "WORDS", 20)
+    one, whole = (tokalign.Aligner(tokalign.VOCABULARY, tokalign.MODEL) for _ in range(2))
+    whole.by_word = False
+    encoded, looked, encode, number = [], [], one.b.encode, one.number
+    monkeypatch.setattr(one.b, "encode", lambda x: encoded.extend(x) or encode(x))
+    monkeypatch.setattr(one, "number", lambda x: looked.append(len(x)) or number(x))
+    for k in range(10):
+        texts = ["the river over there"] * 2 + [" ".join(f"the w{k}x{i}" for i in range(8)), "the ▁"]
+        for x, y in zip(one.align(texts), whole.align(texts)):
+            assert list(x) == list(y)
+    assert "".join(encoded).count(" river") == 1
+    assert looked == [4 + 8 + 1] * 10
+    assert len(one.known) <= 20 + 13 and len(one.texts) == len(one.sizes) == len(one.known)
+
+
 def test_linked_groups_of_any_size():
     rng = np.random.default_rng(1)
     sizes = [(1, 1), (2, 3), (300, 200), (1, 1), (90, 70), (2, 1)]
